@@ -81,7 +81,8 @@ def split_bad_rows(df: DataFrame, name: str, max_nulls: int = 2,
     """F1 + S10 in one pass: the flagged rows are written once, partitioned by the flag."""
     flagged = quality.flag_bad_rows(df, max_nulls)
     if stage:
-        flagged = materialize(flagged, f"{name}-flagged", ["_bad"])
+        # Partition values come back as text; the filters below prune to one folder.
+        flagged = materialize(flagged, f"{name}-flagged", ["_bad"]).withColumn("_bad", F.col("_bad") == "true")
     good = flagged.where(~F.col("_bad")).drop("_bad", "null_count").select(*df.columns)
     bad = flagged.where(F.col("_bad")).drop("_bad").select(*df.columns, "null_count")
     return good, bad

@@ -382,3 +382,219 @@ def a3(spark, sf):
     return out.select("column", "count", F.round("lower_bound", 4).alias("lower_bound"),
                       F.round("upper_bound", 4).alias("upper_bound"), "min", "max",
                       F.round("mean", 4).alias("mean"), F.round("median", 4).alias("median"))
+
+
+# =============================================================== the job over the driver's tables
+
+_RUNS: dict[tuple[str, str], object] = {}
+
+
+def job_result(spark: SparkSession, sf: str):
+    """The whole run (clean, load, check) over ``sf``, once per application and input."""
+    from runway.plans import job
+    from runway.session import shared_path
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        root = shared_path(spark, "job")
+        _RUNS[key] = job.run(spark, tpch.sources(spark, sf), root)
+    return _RUNS[key]
+
+
+def _tables(spark, sf) -> dict[str, DataFrame]:
+    return job_result(spark, sf).tables
+
+
+W = Q.warehouse_with
+
+
+def _star(name: str, sql_body: str, fn):
+    register(name, W() + sql_body)(fn)
+
+
+# ---- T1-T5: cleaned sources
+register("t1_clean_bookings", Q.with_(*Q.SOURCES_CLEAN) + "SELECT * FROM bookings_clean")(
+    lambda spark, sf: job_result(spark, sf).cleaned["bookings"])
+register("t2_clean_flights", Q.with_(*Q.SOURCES_CLEAN) + "SELECT * FROM flights_clean")(
+    lambda spark, sf: job_result(spark, sf).cleaned["flights"])
+register("t3_clean_logs", Q.with_(Q.LOGS_RAW, Q.LOGS_CLEAN) + "SELECT * FROM logs_clean")(
+    lambda spark, sf: job_result(spark, sf).cleaned["logs"].withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz")))
+register("t4_clean_weather", Q.with_(Q.WEATHER_RAW, Q.WEATHER_CLEAN) + "SELECT * FROM weather_clean")(
+    lambda spark, sf: job_result(spark, sf).cleaned["weather"].withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz")))
+register("t5_clean_maintenance", Q.with_(*Q.SOURCES_CLEAN) + "SELECT * FROM maintenance_clean")(
+    lambda spark, sf: job_result(spark, sf).cleaned["maintenance"])
+
+# ---- M6-M14, M16: warehouse tables after a fresh load
+for _name, _table in [("m6_dim_airports", "dim_airports"), ("m7_dim_aircraft", "dim_aircraft"),
+                      ("m8_dim_dates", "dim_dates"), ("m9_dim_passengers", "dim_passengers"),
+                      ("m10_dim_flights", "dim_flights"), ("m11_fact_bookings", "fact_bookings"),
+                      ("m12_fact_flights", "fact_flights"), ("m13_fact_revenue", "fact_revenue"),
+                      ("m14_fact_maintenance", "fact_maintenance")]:
+    register(_name, W() + f"SELECT * FROM {_table}")(
+        (lambda tbl: lambda spark, sf: _tables(spark, sf)[tbl])(_table))
+
+register("a7_revenue_fact", W() + """
+SELECT flight_id, date_id, total_revenue, passenger_count, avg_ticket_price, confirmed_count, cancelled_count
+FROM fact_revenue""")(lambda spark, sf: _tables(spark, sf)["fact_revenue"].drop("revenue_id"))
+
+
+@register("a7_revenue_all_statuses", W() + """
+SELECT fb.flight_id, fb.booking_date_id AS date_id, CAST(sum(fb.ticket_price) AS DECIMAL(15,2)) AS total_revenue,
+       count(fb.booking_id) AS passenger_count, """ + Q.avg_dec("fb.ticket_price") + """ AS avg_ticket_price,
+       count(*) FILTER (WHERE ds.status_code = 'confirmed') AS confirmed_count,
+       count(*) FILTER (WHERE ds.status_code = 'cancelled') AS cancelled_count
+FROM fact_bookings fb JOIN dim_statuses ds ON fb.status_id = ds.status_id
+GROUP BY fb.flight_id, fb.booking_date_id""")
+def a7_all(spark, sf):
+    from runway.plans.warehouse import revenue_aggregate
+    t = _tables(spark, sf)
+    return revenue_aggregate(t["fact_bookings"], t["dim_statuses"], None)
+
+
+@register("m15_status_usage", W() + """
+SELECT s.status_id, s.status_code, s.category,
+       (SELECT count(*) FROM fact_bookings f WHERE f.status_id = s.status_id)
+     + (SELECT count(*) FROM fact_flights f WHERE f.status_id = s.status_id)
+     + (SELECT count(*) FROM fact_maintenance f WHERE f.status_id = s.status_id) AS facts
+FROM dim_statuses s""")
+def m15(spark, sf):
+    t = _tables(spark, sf)
+    used = (t["fact_bookings"].select("status_id").unionAll(t["fact_flights"].select("status_id"))
+            .unionAll(t["fact_maintenance"].select("status_id")).groupBy("status_id").count())
+    return (t["dim_statuses"].join(used, "status_id", "left")
+            .select("status_id", "status_code", "category", F.coalesce("count", F.lit(0)).alias("facts")))
+
+
+@register("m16_dim_weather", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE, Q.WEATHER_RAW, Q.WEATHER_CLEAN) + """
+SELECT row_number() OVER (ORDER BY airport_id NULLS FIRST, observation_time NULLS FIRST) AS weather_id, *
+FROM (SELECT a.airport_id, w."timestamp" AS observation_time,
+             min(""" + Q.dec('w.temperature', 5, 2) + """) AS temperature,
+             arg_min(CAST(w.humidity AS INTEGER), """ + Q.dec('w.temperature', 5, 2) + """) AS humidity,
+             arg_min(""" + Q.dec('w.wind_speed', 5, 2) + """, """ + Q.dec('w.temperature', 5, 2) + """) AS wind_speed,
+             arg_min(CAST(w.visibility AS INTEGER), """ + Q.dec('w.temperature', 5, 2) + """) AS visibility,
+             arg_min(w.conditions, """ + Q.dec('w.temperature', 5, 2) + """) AS conditions
+      FROM weather_clean w LEFT JOIN dim_airports a ON w.airport_code = a.airport_code
+      GROUP BY a.airport_id, w."timestamp")""")
+def m16(spark, sf):
+    return _tables(spark, sf)["dim_weather"].withColumn(
+        "observation_time", F.col("observation_time").cast("timestamp_ntz"))
+
+
+# ---- J4-J7: star views
+_star("j4_flights_view", "SELECT * FROM flights_view",
+      lambda spark, sf: marts.flights_view(_tables(spark, sf)))
+_star("j5_bookings_view", "SELECT * FROM bookings_view",
+      lambda spark, sf: marts.bookings_view(_tables(spark, sf)))
+_star("j6_maintenance_view", "SELECT * FROM maintenance_view",
+      lambda spark, sf: marts.maintenance_view(_tables(spark, sf)))
+_star("j7_fact_status_join", """
+SELECT fb.booking_id, ds.status_code FROM fact_bookings fb JOIN dim_statuses ds ON fb.status_id = ds.status_id""",
+      lambda spark, sf: _tables(spark, sf)["fact_bookings"].join(
+          _tables(spark, sf)["dim_statuses"], "status_id").select("booking_id", "status_code"))
+
+
+def _fv(spark, sf):
+    return marts.flights_view(_tables(spark, sf), ordered=False)
+
+
+def _bv(spark, sf):
+    return marts.bookings_view(_tables(spark, sf), ordered=False)
+
+
+def _mv(spark, sf):
+    return marts.maintenance_view(_tables(spark, sf), ordered=False)
+
+
+# ---- A8-A22 over the views
+_star("a8_kpis", """
+SELECT 'total_flights' AS metric, CAST(count(*) AS DOUBLE) AS value FROM flights_view
+UNION ALL SELECT 'total_bookings', CAST(count(*) AS DOUBLE) FROM bookings_view
+UNION ALL SELECT 'total_revenue', CAST(sum(ticket_price) AS DOUBLE) FROM bookings_view
+UNION ALL SELECT 'avg_price', CAST(avg(ticket_price) AS DOUBLE) FROM bookings_view""",
+      lambda spark, sf: marts.kpis(_fv(spark, sf), _bv(spark, sf)))
+_star("a9_maintenance_kpis", """
+SELECT count(*) AS total_maintenance, sum(cost) AS total_cost,
+       count(*) FILTER (WHERE status_code = 'completed') AS completed,
+       count(*) FILTER (WHERE status_code = 'planned') AS planned
+FROM maintenance_view""", lambda spark, sf: marts.maintenance_kpis(_mv(spark, sf)))
+_star("a10_booking_status_counts", """
+SELECT status, count(*) AS "count" FROM bookings_view WHERE status IS NOT NULL GROUP BY status""",
+      lambda spark, sf: marts.frequency(_bv(spark, sf), "status"))
+_star("a10_flights_by_departure", """
+SELECT departure, count(*) AS "count" FROM flights_view WHERE departure IS NOT NULL GROUP BY departure""",
+      lambda spark, sf: marts.frequency(_fv(spark, sf), "departure"))
+_star("a10_aircraft_usage", """
+SELECT aircraft_id, count(*) AS "count" FROM flights_view WHERE aircraft_id IS NOT NULL GROUP BY aircraft_id""",
+      lambda spark, sf: marts.frequency(_fv(spark, sf), "aircraft_id"))
+_star("a10_maintenance_type_counts", """
+SELECT type_name, count(*) AS "count" FROM maintenance_view WHERE type_name IS NOT NULL GROUP BY type_name""",
+      lambda spark, sf: marts.frequency(_mv(spark, sf), "type_name"))
+_star("a11_flight_status_share", """
+SELECT status, count(*) AS "count",
+       printf('%.1f', round_even(count(*) * 100.0 / (SELECT count(*) FROM flights_view WHERE status IS NOT NULL), 1)) || '%' AS percent
+FROM flights_view WHERE status IS NOT NULL GROUP BY status""",
+      lambda spark, sf: marts.frequency_share(_fv(spark, sf), "status"))
+_star("a12_flights_by_date", """
+SELECT flight_date, count(*) AS "count" FROM flights_view WHERE flight_date IS NOT NULL GROUP BY flight_date""",
+      lambda spark, sf: marts.count_by(_fv(spark, sf), "flight_date"))
+_star("a13_revenue_by_airport", """
+SELECT departure_airport, sum(ticket_price) AS revenue FROM bookings_view
+WHERE departure_airport IS NOT NULL GROUP BY departure_airport""",
+      lambda spark, sf: marts.sum_by(_bv(spark, sf), "departure_airport", "ticket_price", "revenue"))
+_star("a13_cost_by_type", """
+SELECT type_name, sum(cost) AS cost FROM maintenance_view WHERE type_name IS NOT NULL GROUP BY type_name""",
+      lambda spark, sf: marts.sum_by(_mv(spark, sf), "type_name", "cost", "cost"))
+_star("a13_cost_by_aircraft", """
+SELECT aircraft_code, sum(cost) AS cost FROM maintenance_view WHERE aircraft_code IS NOT NULL GROUP BY aircraft_code""",
+      lambda spark, sf: marts.sum_by(_mv(spark, sf), "aircraft_code", "cost", "cost"))
+_star("a14_price_by_departure", """
+SELECT departure_airport, round(avg(CAST(ticket_price AS DOUBLE)), 6) AS mean,
+       round(quantile_cont(CAST(ticket_price AS DOUBLE), 0.5), 6) AS median, count(ticket_price) AS "count"
+FROM bookings_view WHERE departure_airport IS NOT NULL GROUP BY departure_airport""",
+      lambda spark, sf: marts.mean_median_count_by(_bv(spark, sf), "departure_airport", "ticket_price")
+      .select("departure_airport", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"), "count"))
+_star("a14_price_by_aircraft", """
+SELECT aircraft_type, round(avg(CAST(ticket_price AS DOUBLE)), 6) AS mean,
+       round(quantile_cont(CAST(ticket_price AS DOUBLE), 0.5), 6) AS median, count(ticket_price) AS "count"
+FROM bookings_view WHERE aircraft_type IS NOT NULL GROUP BY aircraft_type""",
+      lambda spark, sf: marts.mean_median_count_by(_bv(spark, sf), "aircraft_type", "ticket_price")
+      .select("aircraft_type", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"), "count"))
+_star("a15_price_by_weekday", f"""
+SELECT CAST(isodow(booking_date) - 1 AS INTEGER) AS weekday, dayname(booking_date) AS day_name,
+       round(avg(CAST(ticket_price AS DOUBLE)), 6) AS mean, count(*) AS "count",
+       {DAY_RU_SQL.format(d='min(booking_date)')} AS day_name_ru
+FROM bookings_view WHERE booking_date IS NOT NULL GROUP BY ALL""",
+      lambda spark, sf: marts.by_weekday(_bv(spark, sf), "booking_date", "ticket_price")
+      .withColumn("mean", F.round(F.col("mean").cast("double"), 6)))
+_star("a16_price_describe", """
+SELECT count(ticket_price) AS "count", round(avg(CAST(ticket_price AS DOUBLE)), 6) AS mean,
+       round(stddev_samp(CAST(ticket_price AS DOUBLE)), 6) AS std, CAST(min(ticket_price) AS DOUBLE) AS "min",
+       round(quantile_cont(CAST(ticket_price AS DOUBLE), 0.25), 6) AS p25,
+       round(quantile_cont(CAST(ticket_price AS DOUBLE), 0.5), 6) AS p50,
+       round(quantile_cont(CAST(ticket_price AS DOUBLE), 0.75), 6) AS p75, CAST(max(ticket_price) AS DOUBLE) AS "max"
+FROM bookings_view""",
+      lambda spark, sf: marts.price_stats(_bv(spark, sf)).select(
+          "count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min",
+          F.round("p25", 6).alias("p25"), F.round("p50", 6).alias("p50"), F.round("p75", 6).alias("p75"), "max"))
+_star("a18_delay_summary", """
+SELECT count(*) AS flights_with_data,
+       round(avg(date_diff('microsecond', scheduled_departure, actual_departure) / 60000000.0), 6) AS avg_delay,
+       max(date_diff('microsecond', scheduled_departure, actual_departure) / 60000000.0) AS max_delay,
+       count(*) FILTER (WHERE actual_departure > scheduled_departure) AS delayed,
+       count(*) - count(*) FILTER (WHERE actual_departure > scheduled_departure) AS on_time
+FROM flights_view WHERE actual_departure IS NOT NULL AND scheduled_departure IS NOT NULL""",
+      lambda spark, sf: marts.delay_summary(_fv(spark, sf)).withColumn("avg_delay", F.round("avg_delay", 6)))
+register("a19_price_histogram", W("""
+hb AS (SELECT CAST(min(ticket_price) AS DOUBLE) AS lo, CAST(max(ticket_price) AS DOUBLE) AS hi FROM bookings_view),
+hx AS (SELECT least(CAST(floor((CAST(ticket_price AS DOUBLE) - lo) / ((hi - lo) / 20)) AS INTEGER), 19) AS bin, lo, hi
+       FROM bookings_view, hb WHERE ticket_price IS NOT NULL)""") + """
+SELECT bin, round(lo + bin * ((hi - lo) / 20), 4) AS bin_start, round(lo + (bin + 1) * ((hi - lo) / 20), 4) AS bin_end,
+       count(*) AS "count"
+FROM hx GROUP BY bin, lo, hi""")(
+    lambda spark, sf: marts.price_histogram(_bv(spark, sf)).select(
+        "bin", F.round("bin_start", 4).alias("bin_start"), F.round("bin_end", 4).alias("bin_end"), "count"))
+_star("a20_filter_bounds", """
+SELECT min(ticket_price) AS min_price, max(ticket_price) AS max_price,
+       min(booking_date) AS min_date, max(booking_date) AS max_date FROM bookings_view""",
+      lambda spark, sf: marts.filter_bounds(_bv(spark, sf)))
