@@ -52,6 +52,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], id_col: str,
     return existing.unionByName(fresh).select(target.columns)
 
 
+def upsert_on_key(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """M2: upsert where the natural key is the table key (no numbering): incoming rows win."""
+    cols = [c for c in target.columns if c not in keys]
+    s = source.select(*keys, *cols, F.lit(True).alias("_in_src"))
+    j = target.alias("t").join(s.alias("s"), keys, "full_outer")
+    return j.select(*keys, *[F.when(F.col("s._in_src"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+                             for c in cols]).select(target.columns)
+
+
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     """M3: ``INSERT ... ON CONFLICT DO NOTHING`` as an anti join plus new keys."""
     cols = [c for c in target.columns if c != id_col]

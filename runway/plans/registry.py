@@ -598,3 +598,387 @@ _star("a20_filter_bounds", """
 SELECT min(ticket_price) AS min_price, max(ticket_price) AS max_price,
        min(booking_date) AS min_date, max(booking_date) AS max_date FROM bookings_view""",
       lambda spark, sf: marts.filter_bounds(_bv(spark, sf)))
+
+
+# =============================================================== 2.5 imputation and report views
+
+def _events_with_gaps(spark, sf) -> DataFrame:
+    """Events with NULLs made from the data: no value for errors, no type for large values."""
+    e = _t(spark, sf, "events")["events"]
+    return e.select("event_id", F.when(F.col("value") <= 100, F.col("event_type")).alias("event_type"),
+                    F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+
+
+EVENTS_GAPS = """
+ev AS (SELECT event_id, CASE WHEN value <= 100 THEN event_type END AS event_type,
+              CASE WHEN event_type <> 'error' THEN value END AS value FROM events),
+ev_median AS (SELECT quantile_cont(value, 0.5) AS m FROM ev),
+ev_mode AS (SELECT event_type AS v FROM ev WHERE event_type IS NOT NULL
+            GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 1)"""
+
+
+@register("a4_median_imputation", Q.with_(EVENTS_GAPS) + """
+SELECT event_id, coalesce(value, (SELECT m FROM ev_median)) AS value FROM ev""")
+def a4(spark, sf):
+    filled, _ = stats.smart_fill(_events_with_gaps(spark, sf).drop("event_type"), exclude={"event_id"})
+    return filled.select("event_id", "value")
+
+
+@register("a5_mode_imputation", Q.with_(EVENTS_GAPS) + """
+SELECT event_id, coalesce(event_type, (SELECT v FROM ev_mode)) AS event_type FROM ev""")
+def a5(spark, sf):
+    filled, _ = stats.smart_fill(_events_with_gaps(spark, sf).drop("value"), exclude={"event_id"})
+    return filled.select("event_id", "event_type")
+
+
+@register("a6_fill_report", Q.with_(EVENTS_GAPS) + """
+SELECT 'value' AS "column", 'median' AS method, CAST((SELECT m FROM ev_median) AS VARCHAR) AS value,
+       (SELECT count(*) FROM ev WHERE value IS NULL) AS filled
+UNION ALL
+SELECT 'event_type', 'mode', (SELECT v FROM ev_mode), (SELECT count(*) FROM ev WHERE event_type IS NULL)""")
+def a6(spark, sf):
+    _, report = stats.smart_fill(_events_with_gaps(spark, sf), exclude={"event_id"})
+    return report
+
+
+@register("a17_null_profile", Q.with_(Q.BOOKINGS_RAW) + """
+SELECT "column", nulls, round_even(nulls * 100.0 / rows, 1) AS percent FROM (
+  SELECT count(*) AS rows,
+         count(*) FILTER (WHERE id IS NULL) AS id,
+         count(*) FILTER (WHERE booking_ref IS NULL) AS booking_ref,
+         count(*) FILTER (WHERE passenger_name IS NULL) AS passenger_name,
+         count(*) FILTER (WHERE flight_number IS NULL) AS flight_number,
+         count(*) FILTER (WHERE departure_airport IS NULL) AS departure_airport,
+         count(*) FILTER (WHERE arrival_airport IS NULL) AS arrival_airport,
+         count(*) FILTER (WHERE departure_time IS NULL) AS departure_time,
+         count(*) FILTER (WHERE arrival_time IS NULL) AS arrival_time,
+         count(*) FILTER (WHERE aircraft_type IS NULL) AS aircraft_type,
+         count(*) FILTER (WHERE ticket_price IS NULL OR isnan(ticket_price)) AS ticket_price,
+         count(*) FILTER (WHERE currency IS NULL) AS currency,
+         count(*) FILTER (WHERE booking_date IS NULL) AS booking_date,
+         count(*) FILTER (WHERE status IS NULL) AS status
+  FROM bookings_raw)
+UNPIVOT (nulls FOR "column" IN (id, booking_ref, passenger_name, flight_number, departure_airport, arrival_airport,
+                                departure_time, arrival_time, aircraft_type, ticket_price, currency, booking_date,
+                                status))
+WHERE nulls > 0""")
+def a17(spark, sf):
+    return quality.null_profile(tpch.bookings(_t(spark, sf, "orders", "customer")))
+
+
+def _completeness_sql(table: str, cols: list[str]) -> str:
+    nulls = " + ".join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in cols)
+    return f"(SELECT (1 - ({nulls}) / (count(*) * {len(cols)}.0)) * 100 FROM {table})"
+
+
+_CLEAN_COLS = {
+    "bookings": Q.BOOKING_COLS, "flights": Q.FLIGHT_COLS, "maintenance": Q.MAINT_COLS,
+    "logs": ["timestamp", "level", "flight_number", "message"],
+    "weather": ["airport_code", "timestamp", "temperature", "humidity", "wind_speed", "visibility", "conditions"],
+}
+_REQ = {"bookings": ["booking_ref", "passenger_name", "flight_number", "departure_airport", "arrival_airport",
+                     "ticket_price", "status"],
+        "flights": ["flight_number", "departure", "arrival", "status"],
+        "maintenance": ["aircraft_code", "maintenance_type", "scheduled_date", "status", "cost"]}
+
+REPORT_SQL = Q.with_(*Q.SOURCES_CLEAN, Q.LOGS_RAW, Q.LOGS_CLEAN, Q.WEATHER_RAW, Q.WEATHER_CLEAN) + f"""
+, rep AS (
+  SELECT 'bookings' AS source, (SELECT count(*) FROM bk_good) AS initial_rows,
+         (SELECT count(*) FROM bookings_clean) AS final_rows,
+         (SELECT count(*) FROM bk_flag WHERE null_count > 2) AS rejected_rows,
+         (SELECT count(*) FROM bk_good) - (SELECT count(*) FROM bookings_clean) AS duplicates_removed,
+         {_completeness_sql('bookings_raw', _REQ['bookings'])} AS completeness_before,
+         {_completeness_sql('bookings_clean', _CLEAN_COLS['bookings'])} AS completeness_after
+  UNION ALL
+  SELECT 'flights', (SELECT count(*) FROM flights_raw), (SELECT count(*) FROM flights_clean), 0,
+         (SELECT count(*) FROM flights_raw) - (SELECT count(*) FROM flights_clean),
+         {_completeness_sql('flights_raw', _REQ['flights'])},
+         {_completeness_sql('flights_clean', _CLEAN_COLS['flights'])}
+  UNION ALL
+  SELECT 'logs', (SELECT count(*) FROM logs_raw), (SELECT count(*) FROM logs_raw), 0, 0, NULL,
+         {_completeness_sql('logs_clean', _CLEAN_COLS['logs'])}
+  UNION ALL
+  SELECT 'weather', (SELECT count(*) FROM weather_raw), (SELECT count(*) FROM weather_raw), 0, 0, NULL,
+         {_completeness_sql('weather_clean', _CLEAN_COLS['weather'])}
+  UNION ALL
+  SELECT 'maintenance', (SELECT count(*) FROM maintenance_raw), (SELECT count(*) FROM mt_std),
+         (SELECT count(*) FROM maintenance_raw) - (SELECT count(*) FROM mt_std), 0,
+         {_completeness_sql('maintenance_raw', _REQ['maintenance'])},
+         {_completeness_sql('maintenance_clean', _CLEAN_COLS['maintenance'])})
+""".replace("WITH ", "WITH ", 1)
+# the report CTE follows the WITH list
+REPORT_SQL = REPORT_SQL.replace("\n, rep AS (", ",\nrep AS (")
+
+
+@register("a23_quality_report", REPORT_SQL + """
+SELECT source, initial_rows, final_rows, rejected_rows, duplicates_removed,
+       round(completeness_before, 6) AS completeness_before, round(completeness_after, 6) AS completeness_after
+FROM rep""")
+def a23(spark, sf):
+    r = job_result(spark, sf).report
+    return r.select("source", "initial_rows", "final_rows", "rejected_rows", "duplicates_removed",
+                    F.round("completeness_before", 6).alias("completeness_before"),
+                    F.round("completeness_after", 6).alias("completeness_after"))
+
+
+@register("a21_quality_summary", REPORT_SQL + """
+SELECT source, initial_rows, final_rows, rejected_rows, duplicates_removed,
+       printf('%.2f', completeness_after) AS completeness FROM rep""")
+def a21(spark, sf):
+    return marts.quality_summary(job_result(spark, sf).report)
+
+
+@register("s11_report_json_roundtrip", REPORT_SQL + """
+SELECT source, initial_rows, final_rows, rejected_rows FROM rep""")
+def s11(spark, sf):
+    return job_result(spark, sf).report.select("source", "initial_rows", "final_rows", "rejected_rows")
+
+
+@register("a22_fill_details", Q.with_(*Q.SOURCES_CLEAN) + """
+SELECT 'bookings' AS source, 'ticket_price' AS "column", 'median' AS method,
+       CAST((SELECT m FROM bk_median) AS VARCHAR) AS value,
+       (SELECT count(*) FROM bookings_std WHERE ticket_price IS NULL) AS filled
+UNION ALL
+SELECT 'maintenance', 'cost', 'median', CAST((SELECT m FROM mt_median) AS VARCHAR),
+       (SELECT count(*) FROM mt_std WHERE cost IS NULL)
+UNION ALL
+SELECT 'maintenance', 'description', 'mode', (SELECT v FROM mt_mode),
+       (SELECT count(*) FROM mt_std WHERE description IS NULL)""")
+def a22_fill(spark, sf):
+    return marts.fill_details(job_result(spark, sf).report)
+
+
+def _outlier_sql(source: str, table: str, col: str) -> str:
+    v = f"CAST({col} AS DOUBLE)"
+    return f"""
+SELECT '{source}' AS source, '{col}' AS "column",
+       (SELECT count(*) FROM {table} WHERE {v} < q.lo OR {v} > q.hi) AS "count",
+       (SELECT min({v}) FROM {table}) AS "min", (SELECT max({v}) FROM {table}) AS "max",
+       round(lo, 6) AS lower_bound, round(hi, 6) AS upper_bound
+FROM (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+      FROM (SELECT quantile_cont({v}, 0.25) AS q1, quantile_cont({v}, 0.75) AS q3 FROM {table})) q"""
+
+
+@register("a22_outlier_details", Q.with_(*Q.SOURCES_CLEAN, Q.WEATHER_RAW, Q.WEATHER_CLEAN) + " UNION ALL ".join(
+    [_outlier_sql("bookings", "bookings_clean", "ticket_price")] +
+    [_outlier_sql("weather", "weather_clean", c) for c in ("temperature", "humidity", "wind_speed")]))
+def a22_out(spark, sf):
+    d = marts.outlier_details(job_result(spark, sf).report)
+    return d.select("source", "column", "count", "min", "max", F.round("lower_bound", 6).alias("lower_bound"),
+                    F.round("upper_bound", 6).alias("upper_bound"))
+
+
+# =============================================================== 2.6 distinct, set operations, sort
+
+@register("d1_dedupe_full_rows", "SELECT DISTINCT * FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders)")
+def d1(spark, sf):
+    o = _t(spark, sf, "orders")["orders"]
+    return dedupe.dedupe_rows(o.unionAll(o), None)
+
+
+@register("d1_dedupe_ignoring_id", Q.with_(Q.BOOKINGS_RAW) + f"""
+SELECT min(id) AS id, {Q._bk_keys} FROM bookings_raw GROUP BY {Q._bk_keys}""")
+def d1b(spark, sf):
+    return dedupe.dedupe_rows(tpch.bookings(_t(spark, sf, "orders", "customer")))
+
+
+@register("d2_first_row_per_key", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE) + "SELECT * FROM route_src")
+def d2(spark, sf):
+    from runway.plans.warehouse import route_source
+    c = job_result(spark, sf).cleaned
+    return route_source(c["bookings"], c["flights"])
+
+
+@register("d3_distinct_values", "SELECT DISTINCT c_nationkey FROM customer WHERE c_nationkey IS NOT NULL")
+def d3(spark, sf):
+    return dedupe.distinct_values(_t(spark, sf, "customer")["customer"], "c_nationkey")
+
+
+@register("d4_union_distinct", """
+SELECT DISTINCT nationkey FROM (SELECT c_nationkey AS nationkey FROM customer UNION ALL
+                                SELECT s_nationkey FROM supplier) WHERE nationkey IS NOT NULL""")
+def d4(spark, sf):
+    t = _t(spark, sf, "customer", "supplier")
+    return dedupe.union_distinct([(t["customer"], "c_nationkey"), (t["supplier"], "s_nationkey")], "nationkey")
+
+
+@register("d5_union_by_name", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL FROM orders WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, NULL, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'P'""")
+def d5(spark, sf):
+    o = _t(spark, sf, "orders")["orders"]
+    parts = [o.where("o_orderstatus = 'F'"),
+             o.where("o_orderstatus = 'O'").drop("o_orderpriority"),
+             o.where("o_orderstatus = 'P'").drop("o_totalprice").select("o_orderpriority", "o_orderkey", "o_custkey",
+                                                                     "o_orderstatus", "o_orderdate")]
+    return dedupe.union_by_name(parts).select(o.columns)
+
+
+@register("d6_union_projections", Q.with_(Q.BOOKINGS_RAW, Q.FLIGHTS_RAW) + """
+SELECT flight_number, departure_airport, arrival_airport FROM bookings_raw
+UNION ALL SELECT flight_number, departure, arrival FROM flights_raw""")
+def d6(spark, sf):
+    t = _t(spark, sf, "orders", "customer", "lineitem")
+    b = tpch.bookings(t).select("flight_number", "departure_airport", "arrival_airport")
+    f = tpch.flights_report(t).select("flight_number", F.col("departure").alias("departure_airport"),
+                                      F.col("arrival").alias("arrival_airport"))
+    return dedupe.union_by_name([b, f])
+
+
+_star("d7_distinct_in_check", """
+SELECT DISTINCT ds.status_code FROM fact_bookings fb JOIN dim_statuses ds ON fb.status_id = ds.status_id""",
+      lambda spark, sf: _tables(spark, sf)["fact_bookings"].join(_tables(spark, sf)["dim_statuses"], "status_id")
+      .select("status_code").distinct())
+
+
+@register("d8_order_by", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey")
+def d8(spark, sf):
+    o = _t(spark, sf, "orders")["orders"]
+    return o.select("o_orderkey", "o_orderdate", "o_totalprice").orderBy(F.col("o_orderdate").desc(), "o_orderkey")
+
+
+@register("d9_weekday_order", """
+SELECT CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday, dayname(o_orderdate) AS day_name, count(*) AS "count"
+FROM orders GROUP BY ALL ORDER BY weekday""")
+def d9(spark, sf):
+    o = _t(spark, sf, "orders")["orders"]
+    return (o.groupBy(F.weekday(F.to_date("o_orderdate")).alias("weekday"), X.day_name("o_orderdate").alias("day_name"))
+            .count().orderBy("weekday"))
+
+
+# =============================================================== 2.7 merges and keys
+
+@register("m1_upsert_update", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE) + """
+SELECT airport_id, airport_code, airport_code AS airport_name, lower(airport_code) AS city, 'Россия' AS country
+FROM dim_airports
+UNION ALL
+SELECT (SELECT max(airport_id) FROM dim_airports) + row_number() OVER (ORDER BY n_name), n_name, n_name, n_name, 'Россия'
+FROM nation WHERE n_name NOT IN (SELECT airport_code FROM dim_airports)""")
+def m1(spark, sf):
+    from runway.operators.merge import upsert
+    target = _tables(spark, sf)["dim_airports"]
+    n = _t(spark, sf, "nation")["nation"]
+    src = target.select("airport_code", F.col("airport_code").alias("airport_name"),
+                        F.lower("airport_code").alias("city"), "country").unionByName(
+        n.select(F.col("n_name").alias("airport_code"), F.col("n_name").alias("airport_name"),
+                 F.col("n_name").alias("city"), F.lit("Россия").alias("country")))
+    return upsert(target, src, ["airport_code"], "airport_id")
+
+
+@register("m2_upsert_dates", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE) + f"""
+SELECT {Q.CALENDAR} FROM (SELECT full_date AS d FROM dim_dates UNION
+                          SELECT CAST(l_shipdate AS DATE) FROM lineitem)""")
+def m2(spark, sf):
+    from runway.operators.merge import upsert_on_key
+    target = _tables(spark, sf)["dim_dates"]
+    li = _t(spark, sf, "lineitem")["lineitem"]
+    days = li.select(X.to_date("l_shipdate").alias("d")).distinct()
+    src = days.select(*[c.alias(k) for k, c in X.calendar_columns("d").items()])
+    return upsert_on_key(target, src, ["date_id"])
+
+
+@register("m3_insert_missing", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE) + """
+SELECT passenger_id, passenger_name FROM dim_passengers
+UNION ALL
+SELECT (SELECT max(passenger_id) FROM dim_passengers) + row_number() OVER (ORDER BY c_name), c_name
+FROM (SELECT DISTINCT c_name FROM customer WHERE c_name NOT IN (SELECT passenger_name FROM dim_passengers))""")
+def m3(spark, sf):
+    from runway.operators.merge import insert_missing
+    target = _tables(spark, sf)["dim_passengers"]
+    names = dedupe.distinct_values(_t(spark, sf, "customer")["customer"], "c_name", "passenger_name")
+    return insert_missing(target, names, ["passenger_name"], "passenger_id")
+
+
+@register("m4_upsert_null_safe_rerun", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE, Q.LOGS_RAW, Q.LOGS_CLEAN) + """
+SELECT * FROM dim_flights
+UNION ALL
+SELECT (SELECT max(flight_id) FROM dim_flights) + row_number() OVER (ORDER BY flight_number), flight_number,
+       NULL, NULL, NULL, NULL
+FROM (SELECT DISTINCT flight_number FROM logs_clean WHERE flight_number IS NOT NULL)""")
+def m4(spark, sf):
+    from runway.operators.merge import upsert
+    target = _tables(spark, sf)["dim_flights"]
+    logs = job_result(spark, sf).cleaned["logs"]
+    src = dedupe.distinct_values(logs, "flight_number").select(
+        "flight_number", *[F.lit(None).cast("long").alias(c) for c in
+                           ("departure_airport_id", "arrival_airport_id", "aircraft_id")],
+        F.lit(None).cast("int").alias("scheduled_duration_minutes"))
+    keys = ["flight_number", "departure_airport_id", "arrival_airport_id"]
+    once = upsert(target, src, keys, "flight_id", update_cols=["aircraft_id"], null_safe=True)
+    once = once.checkpoint()
+    # A re-run with the same routes must not add rows whose key holds NULLs.
+    return upsert(once, src, keys, "flight_id", update_cols=["aircraft_id"], null_safe=True)
+
+
+@register("m5_surrogate_keys", """
+SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS sk FROM orders""")
+def m5(spark, sf):
+    o = _t(spark, sf, "orders")["orders"].select("o_custkey", "o_orderkey")
+    return assign_keys(o, ["o_custkey", "o_orderkey"], "sk")
+
+
+# =============================================================== 2.9 data-quality checks
+
+def _checks(spark, sf) -> DataFrame:
+    return job_result(spark, sf).checks
+
+
+def _check_sql(name: str, count_sql: str) -> str:
+    return f"SELECT '{name}' AS \"check\", CAST(({count_sql}) AS BIGINT) AS violations, ({count_sql}) = 0 AS passed"
+
+
+_CHECK_SQL = {
+    "v1c_not_empty": [
+        ("dim_airports_not_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM dim_airports"),
+        ("dim_aircraft_not_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM dim_aircraft"),
+        ("dim_dates_not_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM dim_dates"),
+        ("fact_flights_not_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM fact_flights"),
+        ("fact_bookings_not_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM fact_bookings")],
+    "v2c_unique_keys": [
+        ("no_duplicate_airports", "SELECT count(*) FROM (SELECT airport_code FROM dim_airports GROUP BY 1 HAVING count(*) > 1)"),
+        ("no_duplicate_aircraft", "SELECT count(*) FROM (SELECT aircraft_code FROM dim_aircraft GROUP BY 1 HAVING count(*) > 1)"),
+        ("no_duplicate_dates", "SELECT count(*) FROM (SELECT date_id FROM dim_dates GROUP BY 1 HAVING count(*) > 1)")],
+    "v3c_non_negative": [
+        ("flight_prices_positive", "SELECT count(*) FROM fact_bookings WHERE ticket_price < 0 OR ticket_price IS NULL")],
+    "v4c_date_in_range": [
+        ("flight_dates_valid", "SELECT count(*) FROM fact_flights ff JOIN dim_dates dd ON ff.flight_date_id = dd.date_id "
+                               "WHERE dd.full_date < DATE '2020-01-01' OR dd.full_date > DATE '2030-12-31'")],
+    "v5c_code_format": [
+        ("airport_codes_format", "SELECT count(*) FROM dim_airports WHERE length(airport_code) <> 3 "
+                                 "OR NOT regexp_matches(airport_code, '^[A-Z]{3}$')")],
+    "v6c_min_length": [
+        ("flight_numbers_format", "SELECT count(*) FROM fact_flights ff JOIN dim_flights df ON ff.flight_id = df.flight_id "
+                                  "WHERE df.flight_number IS NULL OR length(df.flight_number) < 2")],
+    "v7c_allowed_values": [
+        ("booking_status_values", "SELECT count(*) FROM (SELECT DISTINCT ds.status_code FROM fact_bookings fb JOIN "
+                                  "dim_statuses ds ON fb.status_id = ds.status_id WHERE ds.status_code NOT IN "
+                                  "('confirmed', 'cancelled', 'pending', 'completed'))"),
+        ("flight_status_values", "SELECT count(*) FROM (SELECT DISTINCT ds.status_code FROM fact_flights ff JOIN "
+                                 "dim_statuses ds ON ff.status_id = ds.status_id WHERE ds.status_code NOT IN "
+                                 "('scheduled', 'landed', 'delayed', 'cancelled', 'diverted'))")],
+    "v8c_not_null": [
+        ("no_null_flight_numbers", "SELECT count(*) FROM fact_flights ff JOIN dim_flights df ON ff.flight_id = df.flight_id "
+                                   "WHERE df.flight_number IS NULL"),
+        ("no_null_booking_refs", "SELECT count(*) FROM fact_bookings WHERE booking_ref IS NULL")],
+    "v9c_declared_constraints": [
+        ("fk_bookings_passenger", "SELECT count(*) FROM fact_bookings f WHERE passenger_id IS NOT NULL AND passenger_id "
+                                  "NOT IN (SELECT passenger_id FROM dim_passengers)"),
+        ("fk_bookings_flight", "SELECT count(*) FROM fact_bookings f WHERE flight_id IS NOT NULL AND flight_id NOT IN "
+                               "(SELECT flight_id FROM dim_flights)"),
+        ("fk_flights_flight", "SELECT count(*) FROM fact_flights f WHERE flight_id IS NOT NULL AND flight_id NOT IN "
+                              "(SELECT flight_id FROM dim_flights)"),
+        ("orphan_bookings_status", "SELECT count(*) FROM fact_bookings f WHERE status_id IS NULL OR status_id NOT IN "
+                                   "(SELECT status_id FROM dim_statuses)"),
+        ("orphan_flights_status", "SELECT count(*) FROM fact_flights f WHERE status_id IS NULL OR status_id NOT IN "
+                                  "(SELECT status_id FROM dim_statuses)"),
+        ("orphan_maintenance_status", "SELECT count(*) FROM fact_maintenance f WHERE status_id IS NULL OR status_id "
+                                      "NOT IN (SELECT status_id FROM dim_statuses)")],
+}
+
+for _qname, _items in _CHECK_SQL.items():
+    register(_qname, W() + "\nUNION ALL\n".join(_check_sql(n, s) for n, s in _items))(
+        (lambda names: lambda spark, sf: _checks(spark, sf).where(F.col("check").isin(names)))(
+            [n for n, _ in _items]))

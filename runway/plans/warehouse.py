@@ -21,7 +21,7 @@ from runway import schemas as S
 from runway.functions import expr as X
 from runway.operators import dedupe
 from runway.operators.keys import assign_keys
-from runway.operators.merge import insert_missing, upsert
+from runway.operators.merge import insert_missing, upsert, upsert_on_key
 from runway.sources import sinks
 
 # ------------------------------------------------------------------ dimensions
@@ -65,15 +65,7 @@ def date_source(bookings: DataFrame, flights: DataFrame) -> DataFrame:
 
 def load_dim_dates(target: DataFrame, bookings: DataFrame, flights: DataFrame) -> DataFrame:
     """M8 = M2: upsert on date_id (the key is the natural key, no numbering)."""
-    src = date_source(bookings, flights)
-    cols = [c for c in target.columns if c != "date_id"]
-    t = target.alias("t")
-    s = src.alias("s")
-    j = t.join(s, F.col("t.date_id") == F.col("s.date_id"), "full_outer")
-    out = j.select(F.coalesce(F.col("s.date_id"), F.col("t.date_id")).alias("date_id"),
-                   *[F.when(F.col("s.date_id").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-                     for c in cols])
-    return out.select(target.columns)
+    return upsert_on_key(target, date_source(bookings, flights), ["date_id"])
 
 
 def load_dim_passengers(target: DataFrame, bookings: DataFrame) -> DataFrame:
