@@ -982,3 +982,112 @@ for _qname, _items in _CHECK_SQL.items():
     register(_qname, W() + "\nUNION ALL\n".join(_check_sql(n, s) for n, s in _items))(
         (lambda names: lambda spark, sf: _checks(spark, sf).where(F.col("check").isin(names)))(
             [n for n, _ in _items]))
+
+
+# =============================================================== 2.1 sources and sinks
+
+def _scratch(spark, name: str) -> str:
+    from runway.session import shared_path
+    return shared_path(spark, name)
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@register("s2_csv_files_header_check", """
+SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+def s2(spark, sf):
+    """Three CSV folders: reordered columns with an extra one, the plain layout, and one missing a column."""
+    from runway.sources import readers
+    o = _t(spark, sf, "orders")["orders"]
+    root = _scratch(spark, "s2-csv")
+    w = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    (o.where("o_orderstatus = 'F'").select("o_orderpriority", "o_orderkey", F.lit("x").alias("note"), "o_custkey",
+                                           "o_orderstatus", "o_totalprice", "o_orderdate")
+     .write.options(**w).csv(f"{root}/a"))
+    o.where("o_orderstatus = 'O'").write.options(**w).csv(f"{root}/b")
+    o.where("o_orderstatus = 'P'").drop("o_orderpriority").write.options(**w).csv(f"{root}/c")
+    return readers.read_csv_files(spark, [f"{root}/a", f"{root}/b", f"{root}/c", f"{root}/missing"],
+                                  ORDER_COLS, o.schema, on_error="skip")
+
+
+@register("s3_csv_maintenance_skip", Q.with_(Q.MAINTENANCE_RAW.replace("FROM part)", "FROM part WHERE p_type <> 'SMALL')")) +
+          "SELECT * FROM maintenance_raw")
+def s3(spark, sf):
+    from runway import schemas as S
+    from runway.sources import readers
+    p = _t(spark, sf, "part")["part"]
+    root = _scratch(spark, "s3-csv")
+    w = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    tpch.maintenance({"part": p.where("p_type <> 'SMALL'")}).write.options(**w).csv(f"{root}/good")
+    tpch.maintenance({"part": p.where("p_type = 'SMALL'")}).drop("cost").write.options(**w).csv(f"{root}/bad")
+    return readers.read_csv_files(spark, [f"{root}/good", f"{root}/bad"], [f.name for f in S.MAINTENANCE.fields],
+                                  S.MAINTENANCE, on_error="skip")
+
+
+@register("s4_json_logs", Q.with_(Q.LOGS_RAW) + "SELECT * FROM logs_raw")
+def s4(spark, sf):
+    from runway import schemas as S
+    from runway.sources import readers
+    path = _scratch(spark, "s4-json")
+    tpch.server_logs(_t(spark, sf, "events")).write.json(path)
+    return readers.read_json(spark, [path], S.LOGS, json_array=False)
+
+
+@register("s5_json_weather", Q.with_(Q.WEATHER_RAW) + "SELECT * FROM weather_raw")
+def s5(spark, sf):
+    from runway import schemas as S
+    from runway.sources import readers
+    path = _scratch(spark, "s5-json")
+    tpch.weather(_t(spark, sf, "events")).write.json(path)
+    return readers.read_json(spark, [path], S.WEATHER, json_array=False)
+
+
+@register("s6_column_set_validation", "SELECT * FROM orders")
+def s6(spark, sf):
+    from runway.sources import readers
+    o = _t(spark, sf, "orders")["orders"]
+    return readers.select_expected(o.withColumn("extra_col", F.lit(1)), ORDER_COLS)
+
+
+@register("s9_parquet_roundtrip", "SELECT * FROM lineitem")
+def s9(spark, sf):
+    from runway.sources import sinks
+    path = _scratch(spark, "s9-parquet")
+    li = _t(spark, sf, "lineitem")["lineitem"]
+    sinks.write_parquet(li, path, partition_by=["l_returnflag"])
+    return spark.read.parquet(path).select(li.columns)
+
+
+@register("s10_reject_sink", Q.with_(Q.BOOKINGS_RAW) + f"""
+SELECT *, {Q.null_count_sql(Q.BOOKING_COLS)} AS null_count FROM bookings_raw
+WHERE {Q.null_count_sql(Q.BOOKING_COLS)} > 2""")
+def s10(spark, sf):
+    from runway.sources import sinks
+    _, bad = cleaning.split_bad_rows(tpch.bookings(_t(spark, sf, "orders", "customer")), "s10")
+    path = _scratch(spark, "s10-rejects")
+    sinks.write_rejects(bad, path)
+    return spark.read.parquet(path)
+
+
+@register("s12_full_refresh", f"""
+SELECT o_custkey, count(*) AS orders, {Q.dec('sum(o_totalprice)', 18, 2)} AS total FROM orders GROUP BY o_custkey""")
+def s12(spark, sf):
+    from runway.sources import sinks
+    t = _t(spark, sf, "orders", "customer")
+    path = _scratch(spark, "s12-table")
+    sinks.overwrite_table(t["customer"].select(F.col("c_custkey").alias("o_custkey")), path)
+    agg = t["orders"].groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"),
+                                               F.sum("o_totalprice").cast("decimal(18,2)").alias("total"))
+    sinks.overwrite_table(agg, path)
+    return spark.read.parquet(path)
+
+
+@register("s13_sql_scan", """
+SELECT o_orderstatus, count(*) AS n, CAST(sum(o_totalprice) AS DECIMAL(18,2)) AS total
+FROM orders GROUP BY o_orderstatus""")
+def s13(spark, sf):
+    from runway.sources import readers
+    o = _t(spark, sf, "orders")["orders"]
+    return readers.sql(spark, "SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) "
+                              "AS DECIMAL(18,2)) AS total FROM {orders} GROUP BY o_orderstatus", orders=o)
