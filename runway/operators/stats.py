@@ -35,98 +35,153 @@ def float_columns(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
 
 
-def _values(df: DataFrame, col: str) -> DataFrame:
-    v = F.col(col).cast("double")
-    return df.select(v.alias("v")).where(v.isNotNull() & ~F.isnan(v))
+# ------------------------------------------------------------ exact quantiles
 
+def _stacked(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(c, v): column index and non-NULL, non-NaN value, all columns in one frame."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                                for i, c in enumerate(cols)]))
+    v = F.col("v")
+    return df.select(pairs.alias("p")).select("p.c", "p.v").where(v.isNotNull() & ~F.isnan(v))
 
-# ------------------------------------------------------------ exact quantiles
 
-def _order_statistics(values: DataFrame, ranks: list[int], n: int, vmin: float, vmax: float,
-                      buckets: int, gather_limit: int, max_passes: int = 64) -> dict[int, float]:
-    """Values at 0-based ranks ``ranks`` of the ascending order of column ``v``.
+def _range_id(ranges: list[tuple[int, float, float]]) -> Column:
+    """Index of the (column, lo, hi) range holding each row; ranges are disjoint."""
+    expr = None
+    for i, (c, lo, hi) in enumerate(ranges):
+        cond = (F.col("c") == c) & (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr
 
-    Each pass splits the current value range into ``buckets`` equal-width
-    buckets and counts rows per bucket (a partial + final aggregate with at
-    most ``buckets`` output rows); the bucket holding a rank becomes the new
-    range.  Once a range holds at most ``gather_limit`` rows its distinct
-    values are gathered with their counts.  Hot values collapse to one
-    (value, count) row, so skew does not matter.
+
+def _order_statistics(values: DataFrame, wanted: dict[int, list[int]], summary: dict[int, tuple],
+                      buckets: int, gather_limit: int, max_passes: int = 64) -> dict[tuple[int, int], float]:
+    """Values at 0-based ranks of the ascending order of each column of ``values`` (c, v).
+
+    Each pass handles every open range of every column in one job: ranges
+    holding more than ``gather_limit`` rows are split into ``buckets``
+    equal-width buckets and counted (at most ``buckets`` rows per range come
+    back); smaller ranges return their distinct values with counts.  The
+    bucket holding a rank becomes its next range, so the search narrows by a
+    factor of ``buckets`` per pass.  Equal values collapse to one
+    (value, count) row, so a value held by a third of the rows costs nothing.
     """
-    v = F.col("v")
-    found: dict[int, float] = {}
-    # range key (lo, hi, rows below lo, rows in range) -> ranks inside it
-    pending: dict[tuple[float, float, int, int], list[int]] = {(vmin, vmax, 0, n): sorted(set(ranks))}
+    found: dict[tuple[int, int], float] = {}
+    # (column, lo, hi, rows below lo, rows in range) -> ranks inside it
+    pending: dict[tuple, list[int]] = {}
+    for c, ks in wanted.items():
+        n, lo, hi = summary[c]
+        pending[(c, lo, hi, 0, n)] = sorted(set(ks))
     for _ in range(max_passes):
+        for key in [k for k in pending if k[1] == k[2]]:
+            for k in pending.pop(key):
+                found[(key[0], k)] = key[1]
         if not pending:
             return found
-        nxt: dict[tuple[float, float, int, int], list[int]] = {}
-        for (lo, hi, below, rows), ks in pending.items():
-            if lo == hi:
-                for k in ks:
-                    found[k] = lo
-                continue
-            in_range = values.where((v >= lo) & (v <= hi))
-            if rows <= gather_limit:
-                counted = in_range.groupBy("v").count().orderBy("v").collect()
-                cum = below
-                it = iter(counted)
-                cur = next(it)
-                for k in sorted(ks):
-                    while cum + cur["count"] <= k:
-                        cum += cur["count"]
-                        cur = next(it)
-                    found[k] = cur["v"]
-                continue
-            width = (hi - lo) / buckets
-            bucket = F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-            hist = (in_range.groupBy(bucket.alias("b"))
-                    .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-                    .orderBy("b").collect())
-            for k in ks:
-                cum = below
-                for h in hist:
-                    if k < cum + h["n"]:
-                        nxt.setdefault((h["lo"], h["hi"], cum, h["n"]), []).append(k)
-                        break
-                    cum += h["n"]
+        small = [k for k in pending if k[4] <= gather_limit]
+        large = [k for k in pending if k[4] > gather_limit]
+        nxt: dict[tuple, list[int]] = {}
+        if small:
+            rid = _range_id([(k[0], k[1], k[2]) for k in small])
+            rows = (values.select(rid.alias("r"), "v").where(F.col("r").isNotNull())
+                    .groupBy("r", "v").count().collect())
+            by_range: dict[int, list] = {}
+            for r in rows:
+                by_range.setdefault(r["r"], []).append((r["v"], r["count"]))
+            for i, key in enumerate(small):
+                counted = sorted(by_range.get(i, []))
+                cum, j = key[3], 0
+                for k in sorted(pending[key]):
+                    while cum + counted[j][1] <= k:
+                        cum += counted[j][1]
+                        j += 1
+                    found[(key[0], k)] = counted[j][0]
+        if large:
+            ranges = [(k[0], k[1], k[2]) for k in large]
+            rid = _range_id(ranges)
+            lo_arr = F.array(*[F.lit(float(k[1])) for k in large])
+            width_arr = F.array(*[F.lit((k[2] - k[1]) / buckets) for k in large])
+            r1 = F.col("r") + 1
+            bucket = F.least(F.floor((F.col("v") - F.element_at(lo_arr, r1)) / F.element_at(width_arr, r1))
+                             .cast("int"), F.lit(buckets - 1))
+            hist = (values.select(rid.alias("r"), "v").where(F.col("r").isNotNull())
+                    .groupBy("r", bucket.alias("b"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                    .collect())
+            by_range = {}
+            for h in hist:
+                by_range.setdefault(h["r"], []).append((h["b"], h["n"], h["lo"], h["hi"]))
+            for i, key in enumerate(large):
+                hs = sorted(by_range.get(i, []))
+                for k in pending[key]:
+                    cum = key[3]
+                    for _b, n, lo, hi in hs:
+                        if k < cum + n:
+                            nxt.setdefault((key[0], lo, hi, cum, n), []).append(k)
+                            break
+                        cum += n
         pending = nxt
     raise RuntimeError("exact quantile search did not converge")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], *, buckets: int = 1024,
-                    gather_limit: int = 100_000) -> tuple[list[float | None], int]:
-    """Exact quantiles with linear interpolation (pandas ``quantile`` / Spark ``percentile``).
+@dataclass
+class ColumnSummary:
+    column: str
+    count: int
+    min: float | None
+    max: float | None
+    mean: float | None
+    quantiles: list[float | None]
 
-    Returns (quantiles, non-null count).  NULL and NaN are skipped.
-    """
-    values = _values(df, col)
-    row = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n = row["n"]
-    if n == 0:
-        return [None] * len(probs), 0
-    positions = [p * (n - 1) for p in probs]
-    ranks = sorted({int(math.floor(x)) for x in positions} | {int(math.ceil(x)) for x in positions})
-    stat = _order_statistics(values, ranks, n, row["lo"], row["hi"], buckets, gather_limit)
-    out = []
-    for pos in positions:
-        k0, k1 = int(math.floor(pos)), int(math.ceil(pos))
-        a, b = stat[k0], stat[k1]
-        out.append(a if k0 == k1 else a + (b - a) * (pos - k0))
-    return out, n
 
+def summarize(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool = True,
+              buckets: int = 1024, gather_limit: int = 100_000) -> list[ColumnSummary]:
+    """Count, min, max, mean and quantiles (linear interpolation) of several columns.
 
-def approx_quantiles(df: DataFrame, col: str, probs: list[float],
-                     accuracy: int = 10_000) -> tuple[list[float | None], int]:
-    """Bounded-memory alternative: ``percentile_approx`` (one pass, GK sketch)."""
-    values = _values(df, col)
-    row = values.agg(F.percentile_approx("v", probs, accuracy).alias("q"),
-                     F.count(F.lit(1)).alias("n")).first()
-    return (list(row["q"]) if row["q"] is not None else [None] * len(probs)), row["n"]
+    NULL and NaN are skipped, as pandas does.  ``exact`` uses the histogram
+    search above (a few passes over one stacked projection of the columns,
+    whatever their number); otherwise ``percentile_approx`` in a single pass.
+    """
+    if not cols:
+        return []
+    values = _stacked(df, cols)
+    aggs = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("mean")]
+    if not exact:
+        aggs.append(F.percentile_approx("v", probs, 10_000).alias("q"))
+    rows = {r["c"]: r for r in values.groupBy("c").agg(*aggs).collect()}
+    out = []
+    if exact:
+        wanted, positions = {}, {}
+        for c in range(len(cols)):
+            if c not in rows:
+                continue
+            n = rows[c]["n"]
+            pos = [p * (n - 1) for p in probs]
+            positions[c] = pos
+            wanted[c] = sorted({int(math.floor(x)) for x in pos} | {int(math.ceil(x)) for x in pos})
+        summary = {c: (rows[c]["n"], rows[c]["lo"], rows[c]["hi"]) for c in wanted}
+        stat = _order_statistics(values, wanted, summary, buckets, gather_limit)
+    for c, name in enumerate(cols):
+        if c not in rows:
+            out.append(ColumnSummary(name, 0, None, None, None, [None] * len(probs)))
+            continue
+        r = rows[c]
+        if exact:
+            qs = []
+            for pos in positions[c]:
+                k0, k1 = int(math.floor(pos)), int(math.ceil(pos))
+                a, b = stat[(c, k0)], stat[(c, k1)]
+                qs.append(a if k0 == k1 else a + (b - a) * (pos - k0))
+        else:
+            qs = [float(x) for x in r["q"]]
+        out.append(ColumnSummary(name, r["n"], r["lo"], r["hi"], r["mean"], qs))
+    return out
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], exact: bool = True):
-    return exact_quantiles(df, col, probs) if exact else approx_quantiles(df, col, probs)
+    """Quantiles of one column and its non-NULL count."""
+    s = summarize(df, [col], probs, exact=exact)[0]
+    return s.quantiles, s.count
 
 
 def median(df: DataFrame, col: str, exact: bool = True) -> float | None:
@@ -165,13 +220,8 @@ class Bounds:
 
 def iqr_bounds(df: DataFrame, columns: list[str], exact: bool = True) -> list[Bounds]:
     present = set(numeric_columns(df))
-    out = []
-    for c in columns:
-        if c not in present:
-            continue
-        (q1, med, q3), _ = quantiles(df, c, [0.25, 0.5, 0.75], exact)
-        out.append(Bounds(c, q1, med, q3))
-    return out
+    cols = [c for c in columns if c in present]
+    return [Bounds(s.column, *s.quantiles) for s in summarize(df, cols, [0.25, 0.5, 0.75], exact=exact)]
 
 
 def outlier_predicate(col: str, b: Bounds) -> Column:
@@ -184,22 +234,18 @@ def outlier_predicate(col: str, b: Bounds) -> Column:
 def detect_outliers(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """A3: IQR bounds and outlier count, min, max, mean, median per numeric column.
 
-    The bounds are scalars, so the counting pass is a single aggregate over
-    all columns with the bounds as literals (pushed into generated code).
+    One summary (count, min, max, mean, quartiles) covers all columns; the
+    outlier counts are then a single aggregate with the bounds as literals.
     """
     spark = df.sparkSession
-    bounds = iqr_bounds(df, columns, exact)
-    if not bounds:
+    present = set(numeric_columns(df))
+    summaries = summarize(df, [c for c in columns if c in present], [0.25, 0.5, 0.75], exact=exact)
+    if not summaries:
         return spark.createDataFrame([], OUTLIER_SCHEMA)
-    aggs = []
-    for i, b in enumerate(bounds):
-        v = F.col(b.column).cast("double")
-        v = F.when(~F.isnan(v), v)
-        aggs += [F.count_if(outlier_predicate(b.column, b)).alias(f"c{i}"),
-                 F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"), F.avg(v).alias(f"av{i}")]
-    row = df.agg(*aggs).first()
-    rows = [(b.column, row[f"c{i}"], b.lower, b.upper, row[f"mn{i}"], row[f"mx{i}"],
-             row[f"av{i}"], b.median) for i, b in enumerate(bounds)]
+    bounds = [Bounds(s.column, *s.quantiles) for s in summaries]
+    row = df.agg(*[F.count_if(outlier_predicate(b.column, b)).alias(f"c{i}") for i, b in enumerate(bounds)]).first()
+    rows = [(b.column, row[f"c{i}"], b.lower, b.upper, s.min, s.max, s.mean, b.median)
+            for i, (b, s) in enumerate(zip(bounds, summaries))]
     return spark.createDataFrame(rows, OUTLIER_SCHEMA)
 
 
@@ -267,8 +313,8 @@ def smart_fill(df: DataFrame, exclude: set[str] | None = None, exact: bool = Tru
     txt_fill = [c for c in txt if counts[c] > 0]
     report, fills = [], {}
     types = {f.name: f.dataType for f in df.schema.fields}
-    for c in num_fill:
-        med = median(df, c, exact)
+    for summ in summarize(df, num_fill, [0.5], exact=exact):
+        c, med = summ.column, summ.quantiles[0]
         if med is None:
             continue
         fills[c] = F.when(missing[c], F.lit(med).cast(types[c])).otherwise(F.col(c))
@@ -286,7 +332,7 @@ def smart_fill(df: DataFrame, exclude: set[str] | None = None, exact: bool = Tru
 
 def describe(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, 25%, 50%, 75%, max of one column."""
-    (q1, q2, q3), _ = quantiles(df, col, [0.25, 0.5, 0.75], exact)
+    q1, q2, q3 = summarize(df, [col], [0.25, 0.5, 0.75], exact=exact)[0].quantiles
     v = F.col(col).cast("double")
     agg = df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
                  F.min(v).alias("min"), F.max(v).alias("max"))
