@@ -23,14 +23,20 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
 
 def assign_keys(df: DataFrame, natural_key: list[str], id_col: str, start: int = 0,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, unique: bool = True) -> DataFrame:
     """Return ``df`` with ``id_col`` = start + 1, start + 2, ... in natural-key order.
 
-    ``natural_key`` must be unique in ``df``.  NULLs sort first.
+    NULLs sort first.  With ``unique=False`` rows may repeat the ordering
+    columns (facts); a random tiebreaker then spreads such repeats over
+    several range partitions instead of one, and only decides which of the
+    interchangeable rows gets which key.
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in natural_key]
+    if not unique:
+        df = df.withColumn("_tie", F.rand(seed=7))
+        order.append(F.col("_tie"))
     ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     # Reliable checkpoint: partition contents are fixed on the shared folder,
     # so a lost executor recomputes from files, not from a new range sample.
@@ -43,10 +49,10 @@ def assign_keys(df: DataFrame, natural_key: list[str], id_col: str, start: int =
         offsets.append(running)
         running += counts.get(p, 0)
     if not offsets:
-        return df.withColumn(id_col, F.lit(None).cast("long")).limit(0)
+        return df.drop("_tie").withColumn(id_col, F.lit(None).cast("long")).limit(0)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (pid + 1).cast("int"))
-    return tagged.withColumn(id_col, offset + pos + 1).drop("_mid")
+    return tagged.withColumn(id_col, offset + pos + 1).drop("_mid", "_tie")
 
 
 def max_key(df: DataFrame, id_col: str) -> int:

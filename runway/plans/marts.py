@@ -32,7 +32,8 @@ def flights_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
                  F.col("scheduled_arrival_time").alias("scheduled_arrival"),
                  F.col("actual_departure_time").alias("actual_departure"),
                  F.col("actual_arrival_time").alias("actual_arrival"), "delay_minutes", "aircraft_id")
-    return v.orderBy("flight_date", "flight_number") if ordered else v
+    # The unique last key lets the range partitioner split a date that holds many flights.
+    return v.orderBy("flight_date", "flight_number", "flight_instance_id") if ordered else v
 
 
 def bookings_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
@@ -53,7 +54,7 @@ def bookings_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
          .join(ac, "_ac", "left"))
     v = v.select("booking_id", "booking_ref", "passenger_name", "flight_number", "departure_airport",
                  "arrival_airport", "booking_date", "status", "ticket_price", "currency", "aircraft_type")
-    return v.orderBy(F.col("booking_date").desc()) if ordered else v
+    return v.orderBy(F.col("booking_date").desc(), "booking_id") if ordered else v
 
 
 def maintenance_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
@@ -65,7 +66,7 @@ def maintenance_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame
     v = fm.join(da, "aircraft_id").join(mt, "maintenance_type_id").join(ds, "status_id").select(
         "maintenance_id", "aircraft_code", "aircraft_type", "type_code", "type_name", "status_code",
         "status_name", "scheduled_date", "completed_date", "cost", "description")
-    return v.orderBy(F.col("scheduled_date").desc()) if ordered else v
+    return v.orderBy(F.col("scheduled_date").desc(), "maintenance_id") if ordered else v
 
 
 # ------------------------------------------------------------------ KPIs and tables

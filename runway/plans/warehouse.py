@@ -191,7 +191,7 @@ def build_fact_flights(flights: DataFrame, dim_flights: DataFrame, airports: Dat
         "flight_number", "aircraft_id")
     order = ["flight_date_id", "flight_number", "scheduled_departure_time", "actual_departure_time",
              "actual_arrival_time", "aircraft_id", "flight_id", "status_id"]
-    return assign_keys(facts, order, "flight_instance_id").select(FACT_FLIGHT_COLUMNS)
+    return assign_keys(facts, order, "flight_instance_id", unique=False).select(FACT_FLIGHT_COLUMNS)
 
 
 def revenue_aggregate(fact_bookings: DataFrame, statuses: DataFrame,
@@ -230,7 +230,7 @@ def build_fact_maintenance(maintenance: DataFrame, aircraft: DataFrame, mtypes:
                      F.coalesce(F.col("description"), F.lit("")).alias("description"))
     order = ["scheduled_date", "aircraft_id", "maintenance_type_id", "status_id", "completed_date",
              "cost", "description"]
-    return assign_keys(facts, order, "maintenance_id").select(
+    return assign_keys(facts, order, "maintenance_id", unique=False).select(
         "maintenance_id", "aircraft_id", "maintenance_type_id", "status_id", "scheduled_date",
         "completed_date", "cost", "description")
 
