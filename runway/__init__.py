@@ -1,0 +1 @@
+"""runway: an airline data warehouse expressed as Spark DataFrame operations."""

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference runs one daily batch and has no streams, watermarks, windows
+or state, so there is no streaming operator to build (see README).
+"""
