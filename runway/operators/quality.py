@@ -65,6 +65,16 @@ def completeness_percent(df: DataFrame, cols: list[str]) -> float | None:
     return (1 - row["nulls"] / (row["rows"] * len(cols))) * 100
 
 
+def rows_and_completeness(df: DataFrame) -> tuple[int, float | None]:
+    """Row count and completeness over all columns, one aggregate."""
+    cols = df.columns
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum(null_count(cols, float_columns(df))).alias("nulls")).first()
+    if not row["rows"]:
+        return 0, None
+    return row["rows"], (1 - row["nulls"] / (row["rows"] * len(cols))) * 100
+
+
 def flag_bad_rows(df: DataFrame, max_nulls: int = 2, flag: str = "_bad") -> DataFrame:
     """add ``null_count`` and a boolean flag for rows with more than ``max_nulls`` NULLs."""
     nc = null_count(df.columns, float_columns(df))

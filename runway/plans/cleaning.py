@@ -88,6 +88,13 @@ def split_bad_rows(df: DataFrame, name: str, max_nulls: int = 2,
     return good, bad
 
 
+def _split_counts(good: DataFrame, bad: DataFrame) -> tuple[int, int]:
+    """Row counts of both sides of a split in one job."""
+    both = good.select(F.lit(False).alias("b")).unionAll(bad.select(F.lit(True).alias("b")))
+    got = {r["b"]: r["count"] for r in both.groupBy("b").count().collect()}
+    return got.get(False, 0), got.get(True, 0)
+
+
 def _fill_map(fill: DataFrame) -> dict:
     return {r["column"]: (r["method"], r["value"], r["filled"]) for r in fill.collect()}
 
@@ -107,10 +114,10 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
                        exact: bool = True, stage: bool = True) -> Cleaned:
     spark = df.sparkSession
     required = REQUIRED[source]
-    before = quality.completeness_percent(df, required)
     good, bad = split_bad_rows(df, source, stage=stage)
-    initial = good.count()
-    rejected = bad.count()
+    # Both figures read the staged rows (all of the source), not the source again.
+    before = quality.completeness_percent(good.unionByName(bad.drop("null_count")), required)
+    initial, rejected = _split_counts(good, bad)
     if dedupe_after_standardize:
         cleaned = dedupe.dedupe_rows(standardize_formats(good), ignore_cols)
     else:
@@ -120,9 +127,10 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
     deduped = cleaned.count()
     filled, fill = stats.smart_fill(cleaned, exclude=set(ignore_cols or ()), exact=exact)
     outliers = stats.detect_outliers(filled, outlier_cols, exact)
-    final = quality.validate_results(filled, source, required).first()
+    # The report needs only completeness from the final check: one aggregate, no shuffle.
+    after = quality.completeness_percent(filled, filled.columns)
     report = _report(spark, source, initial, deduped, rejected, initial - deduped, before,
-                     final["completeness_percent"], _fill_map(fill), _outlier_map(outliers))
+                     after, _fill_map(fill), _outlier_map(outliers))
     return Cleaned(filled, bad, report)
 
 
@@ -147,9 +155,8 @@ def transform_logs(df: DataFrame, **_) -> Cleaned:
     if "level" in df.columns:
         fixes["level"] = X.upper_trim("level")
     clean = df.withColumns(fixes) if fixes else df
-    final = quality.validate_results(clean, "logs", REQUIRED["logs"]).first()
-    n = final["total_rows"]
-    report = _report(spark, "logs", n, n, 0, 0, None, final["completeness_percent"], {}, {})
+    n, after = quality.rows_and_completeness(clean)
+    report = _report(spark, "logs", n, n, 0, 0, None, after, {}, {})
     return Cleaned(clean, clean.limit(0), report)
 
 
@@ -163,10 +170,8 @@ def transform_weather(df: DataFrame, exact: bool = True, **_) -> Cleaned:
         fixes["airport_code"] = X.normalize_airport("airport_code")
     clean = df.withColumns(fixes) if fixes else df
     outliers = stats.detect_outliers(clean, ["temperature", "humidity", "wind_speed"], exact)
-    final = quality.validate_results(clean, "weather", REQUIRED["weather"]).first()
-    n = final["total_rows"]
-    report = _report(spark, "weather", n, n, 0, 0, None, final["completeness_percent"], {},
-                     _outlier_map(outliers))
+    n, after = quality.rows_and_completeness(clean)
+    report = _report(spark, "weather", n, n, 0, 0, None, after, {}, _outlier_map(outliers))
     return Cleaned(clean, clean.limit(0), report)
 
 
@@ -191,17 +196,15 @@ def standardize_maintenance(df: DataFrame) -> DataFrame:
 def transform_maintenance(df: DataFrame, exact: bool = True, stage: bool = True, **_) -> Cleaned:
     """T5: completeness, bad-row split, standardisation, imputation; no dedupe."""
     spark = df.sparkSession
-    before = quality.completeness_percent(df, REQUIRED["maintenance"])
     good, bad = split_bad_rows(df, "maintenance", stage=stage)
+    before = quality.completeness_percent(good.unionByName(bad.drop("null_count")), REQUIRED["maintenance"])
+    n, rejected = _split_counts(good, bad)
     std = standardize_maintenance(good)
     if stage:
         std = materialize(std, "maintenance-std")
-    n = std.count()
-    rejected = bad.count()
     filled, fill = stats.smart_fill(std, exact=exact)
-    final = quality.validate_results(filled, "maintenance", REQUIRED["maintenance"]).first()
-    report = _report(spark, "maintenance", n + rejected, n, rejected, 0, before,
-                     final["completeness_percent"], _fill_map(fill), {})
+    after = quality.completeness_percent(filled, filled.columns)
+    report = _report(spark, "maintenance", n + rejected, n, rejected, 0, before, after, _fill_map(fill), {})
     return Cleaned(filled, bad, report)
 
 
