@@ -367,3 +367,76 @@ def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
     for c in cols:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
     return df.agg(*aggs)
+
+
+# ------------------------------------------------------------ grouped exact quantiles
+
+def grouped_quantiles(df: DataFrame, key: str, value: str, probs: list[float], *, buckets: int = 1024,
+                      gather_limit: int = 100_000, max_passes: int = 64) -> DataFrame:
+    """Exact quantiles of ``value`` per ``key`` (linear interpolation; NULL/NaN skipped).
+
+    The same histogram narrowing as ``summarize``, run per group as joins:
+    the search state is a DataFrame with one row per (group, rank) - as many
+    rows as the answer has - checkpointed each pass.  Each pass joins the
+    values to their group's open range (the state side is small and is
+    broadcast when its measured size allows; otherwise AQE splits a hot
+    group), and aggregates bucket counts with partial aggregation, so no
+    task ever holds a group's values.  Per-range windows see at most
+    ``buckets`` or ``gather_limit`` rows.  Output: key, q0, q1, ...
+    """
+    from pyspark.sql import Window
+
+    v = F.col(value).cast("double")
+    vals = df.select(F.col(key).alias("g"), v.alias("v")).where(
+        F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    base = vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    targets = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("n") - 1)
+        targets.append(F.struct(F.lit(i).alias("pi"), F.floor(pos).cast("long").alias("k0"),
+                                F.ceil(pos).cast("long").alias("k1"), (pos - F.floor(pos)).alias("frac")))
+    wanted = base.select("g", "lo", "hi", "n", F.explode(F.array(*targets)).alias("t")).select(
+        "g", "lo", "hi", "n", "t.*")
+    ranks = wanted.select("g", "lo", "hi", "n", F.explode(F.array_distinct(F.array("k0", "k1"))).alias("k"))
+    state = ranks.select("g", "k", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("rows"),
+                         F.lit(None).cast("double").alias("val"))
+    state = state.checkpoint()
+    done = F.col("val").isNotNull() | (F.col("lo") == F.col("hi"))
+    for _ in range(max_passes):
+        state = state.withColumn("val", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("val")))
+        open_ = state.where(~done)
+        if open_.isEmpty():
+            break
+        rng = open_.select("g", "lo", "hi", "below", "rows").distinct()
+        joined = vals.join(rng, "g").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+        rkey = ["g", "lo", "hi", "below", "rows"]
+        # Small ranges: distinct values with counts, then the value covering each rank.
+        small = joined.where(F.col("rows") <= gather_limit).groupBy(*rkey, "v").count()
+        w = Window.partitionBy(*rkey).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        small = small.withColumn("cum", F.col("below") + F.sum("count").over(w))
+        hit_small = (open_.where(F.col("rows") <= gather_limit).alias("s")
+                     .join(small.alias("c"), rkey)
+                     .where((F.col("k") < F.col("cum")) & (F.col("k") >= F.col("cum") - F.col("count")))
+                     .select("g", "k", "lo", "hi", "below", "rows", F.col("v").alias("val")))
+        # Large ranges: bucket counts; the bucket covering a rank becomes its range.
+        width = (F.col("hi") - F.col("lo")) / buckets
+        bucket = F.least(F.floor((F.col("v") - F.col("lo")) / width).cast("int"), F.lit(buckets - 1))
+        hist = (joined.where(F.col("rows") > gather_limit).groupBy(*rkey, bucket.alias("b"))
+                .agg(F.count(F.lit(1)).alias("bn"), F.min("v").alias("blo"), F.max("v").alias("bhi")))
+        wb = Window.partitionBy(*rkey).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hist = hist.withColumn("cum", F.col("below") + F.sum("bn").over(wb))
+        hit_large = (open_.where(F.col("rows") > gather_limit).join(hist, rkey)
+                     .where((F.col("k") < F.col("cum")) & (F.col("k") >= F.col("cum") - F.col("bn")))
+                     .select("g", "k", F.col("blo").alias("lo"), F.col("bhi").alias("hi"),
+                             (F.col("cum") - F.col("bn")).alias("below"), F.col("bn").alias("rows"),
+                             F.lit(None).cast("double").alias("val")))
+        state = state.where(done).unionByName(hit_small).unionByName(hit_large).checkpoint()
+    else:
+        raise RuntimeError("grouped quantile search did not converge")
+    got = state.select("g", "k", "val")
+    a = got.select("g", F.col("k").alias("k0"), F.col("val").alias("a"))
+    b = got.select("g", F.col("k").alias("k1"), F.col("val").alias("b"))
+    q = (wanted.join(a, ["g", "k0"]).join(b, ["g", "k1"])
+         .select("g", "pi", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("q")))
+    out = q.groupBy("g").pivot("pi", list(range(len(probs)))).agg(F.first("q"))
+    return out.select(F.col("g").alias(key), *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))])

@@ -15,7 +15,7 @@ from runway import schemas as S
 from runway.operators import checks as C
 from runway.plans import cleaning
 from runway.plans.warehouse import Warehouse
-from runway.sources import sinks
+from runway.sources import readers, sinks
 
 
 @dataclass
@@ -27,6 +27,21 @@ class JobResult:
     checks: DataFrame
 
 
+def extract_raw(spark: SparkSession, config: dict, root: str) -> dict[str, DataFrame]:
+    """Extract: read every configured source and write the raw zone, one parquet table per source.
+
+    Disabled or unreadable sources (policy ``skip``) become empty tables of
+    the source schema, so the later stages always find all five.
+    """
+    frames = readers.extract_sources(spark, config, S.SOURCE_SCHEMAS)
+    out = {}
+    for name, df in frames.items():
+        path = f"{root}/raw/{name}_raw"
+        sinks.write_parquet(df, path)
+        out[name] = spark.read.schema(S.SOURCE_SCHEMAS[name]).parquet(path)
+    return out
+
+
 def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True):
     """T1-T5, with the cleaned zone, the reject tables and the quality report written under ``root``."""
     cleaned, rejects, reports = {}, {}, []
@@ -82,6 +97,11 @@ def quality_checks(t: dict[str, DataFrame]) -> DataFrame:
     return C.run_suite(suite)
 
 
+def run_from_config(spark: SparkSession, config: dict, root: str, exact: bool = True) -> JobResult:
+    """Extract -> transform -> load -> test, as the reference's four scripts in order."""
+    return run(spark, extract_raw(spark, config, root), root, exact)
+
+
 def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True) -> JobResult:
     cleaned, rejects, report = clean_all(spark, raw, root, exact)
     wh = Warehouse(spark, f"{root}/dwh")

@@ -123,16 +123,15 @@ def sum_by(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
 def mean_median_count_by(df: DataFrame, key: str, value: str, exact: bool = True) -> DataFrame:
     """Mean, median and count of ``value`` per ``key``.
 
-    The exact median first collapses equal values per group to (value, count),
-    so a group dominated by a few prices stays small; ``exact=False`` uses
-    ``percentile_approx`` with bounded memory per group.
+    The exact median is the distributed per-group search of
+    ``stats.grouped_quantiles`` (no task holds a group's values);
+    ``exact=False`` uses ``percentile_approx`` with bounded memory per group.
     """
     base = df.where(F.col(key).isNotNull())
     v = F.col(value).cast("double")
     summary = base.groupBy(key).agg(F.avg(v).alias("mean"), F.count(v).alias("count"))
     if exact:
-        vc = base.where(v.isNotNull()).groupBy(key, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-        med = vc.groupBy(key).agg(F.percentile(F.col("_v"), F.lit(0.5), F.col("_n")).alias("median"))
+        med = stats.grouped_quantiles(base, key, value, [0.5]).withColumnRenamed("q0", "median")
     else:
         med = base.groupBy(key).agg(F.percentile_approx(v, 0.5, 10_000).cast("double").alias("median"))
     return summary.join(med, key, "left").select(key, "mean", "median", "count").orderBy(key)

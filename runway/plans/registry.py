@@ -1091,3 +1091,47 @@ def s13(spark, sf):
     o = _t(spark, sf, "orders")["orders"]
     return readers.sql(spark, "SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) "
                               "AS DECIMAL(18,2)) AS total FROM {orders} GROUP BY o_orderstatus", orders=o)
+
+
+@register("s8_extract_sources", Q.with_(Q.FLIGHTS_RAW, Q.MAINTENANCE_RAW, Q.LOGS_RAW, Q.WEATHER_RAW) + """
+SELECT 'bookings' AS source, CAST(0 AS BIGINT) AS rows
+UNION ALL SELECT 'flights', count(*) FROM flights_raw
+UNION ALL SELECT 'maintenance', count(*) FROM maintenance_raw
+UNION ALL SELECT 'logs', count(*) FROM logs_raw
+UNION ALL SELECT 'weather', count(*) FROM weather_raw""")
+def s8(spark, sf):
+    """S7/S8 + extract: files of four sources, the bookings source switched off, raw zone written."""
+    from runway.plans import job
+    t = _t(spark, sf, "orders", "lineitem", "part", "events")
+    root = _scratch(spark, "s8-extract")
+    w = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    tpch.flights_report(t).write.options(**w).csv(f"{root}/in/flights")
+    tpch.maintenance(t).write.options(**w).csv(f"{root}/in/maintenance")
+    tpch.server_logs(t).write.json(f"{root}/in/logs")
+    tpch.weather(t).write.json(f"{root}/in/weather")
+    config = {"sources": {
+        "bookings": {"enabled": False, "format": "jdbc"},
+        "flights": {"enabled": True, "format": "csv", "files": [f"{root}/in/flights", f"{root}/in/absent.csv"]},
+        "maintenance": {"enabled": True, "format": "csv", "files": [f"{root}/in/maintenance"]},
+        "logs": {"enabled": True, "format": "json", "files": [f"{root}/in/logs"], "json_array": False},
+        "weather": {"enabled": True, "format": "json", "files": [f"{root}/in/weather"], "json_array": False}},
+        "processing": {"on_validation_error": "skip"}}
+    raw = job.extract_raw(spark, config, root)
+    parts = [raw[n].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("source"), "rows")
+             for n in ("bookings", "flights", "maintenance", "logs", "weather")]
+    return dedupe.union_by_name(parts)
+
+
+@register("f2_f5_dashboard_filters", W() + """
+SELECT booking_id, booking_ref, ticket_price FROM bookings_view
+WHERE departure_airport IN ('SVO', 'LED', 'DME') AND arrival_airport IN ('LED', 'KZN', 'SVX', 'OVB', 'AER')
+  AND status IN ('confirmed') AND ticket_price BETWEEN 50000 AND 300000
+  AND (aircraft_type IN ('AUTOMOBILE', 'BUILDING') OR aircraft_type IS NULL)
+  AND booking_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""")
+def f2_f5(spark, sf):
+    v = _bv(spark, sf)
+    out = filters.booking_filters(v, departures=["SVO", "LED", "DME"], arrivals=["LED", "KZN", "SVX", "OVB", "AER"],
+                                  statuses=["confirmed"], aircraft=["AUTOMOBILE", "BUILDING"],
+                                  price_range=(50000, 300000), date_range_=("1996-01-01", "1999-12-31"))
+    return out.select("booking_id", "booking_ref", "ticket_price")

@@ -177,3 +177,16 @@ def test_booking_filters(spark):
     got = filters.booking_filters(df, statuses=["confirmed"], price_range=(9000, 20000),
                                   aircraft=["Boeing 737"], date_range_=("2024-01-20", "2024-01-24"))
     assert sorted(r.id for r in got.collect()) == [1, 4, 6, 7]
+
+
+def test_grouped_quantiles_match_numpy(spark):
+    rnd = random.Random(5)
+    rows = [("hot", float(rnd.randint(0, 50))) for _ in range(1500)]
+    rows += [(f"g{i % 7}", rnd.expovariate(0.2)) for i in range(700)] + [("g1", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    probs = [0.25, 0.5, 0.9]
+    got = {r.k: [r.q0, r.q1, r.q2] for r in
+           stats.grouped_quantiles(df, "k", "v", probs, buckets=4, gather_limit=40).collect()}
+    for k in {r[0] for r in rows if r[0] is not None}:
+        arr = np.array([v for g, v in rows if g == k and v is not None])
+        assert np.allclose(got[k], np.percentile(arr, [p * 100 for p in probs]), atol=1e-9), k
