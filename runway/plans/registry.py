@@ -8,6 +8,7 @@ Every query reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -366,27 +367,30 @@ WITH b AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_total
 SELECT 'o_totalprice' AS "column",
        (SELECT count(*) FROM orders, b WHERE o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)) AS "count",
        round(q1 - 1.5 * (q3 - q1), 4) AS lower_bound, round(q3 + 1.5 * (q3 - q1), 4) AS upper_bound,
-       (SELECT min(o_totalprice) FROM orders) AS "min", (SELECT max(o_totalprice) FROM orders) AS "max",
+       (SELECT min(o_totalprice) + 0.0 FROM orders) AS "min", (SELECT max(o_totalprice) + 0.0 FROM orders) AS "max",
        round((SELECT avg(o_totalprice) FROM orders), 4) AS mean, round(med, 4) AS median
 FROM b
 UNION ALL
 SELECT 'value', (SELECT count(*) FROM events, e WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)),
        round(q1 - 1.5 * (q3 - q1), 4), round(q3 + 1.5 * (q3 - q1), 4),
-       (SELECT min(value) FROM events), (SELECT max(value) FROM events),
+       (SELECT min(value) + 0.0 FROM events), (SELECT max(value) + 0.0 FROM events),
        round((SELECT avg(value) FROM events), 4), round(med, 4)
 FROM e""")
 def a3(spark, sf):
     t = _t(spark, sf, "orders", "events")
     parts = [stats.detect_outliers(t["orders"], ["o_totalprice"]), stats.detect_outliers(t["events"], ["value"])]
     out = parts[0].unionByName(parts[1])
+    # "+ 0.0" turns a negative zero into 0.0 on both sides (engines differ on the sign of a zero minimum).
     return out.select("column", "count", F.round("lower_bound", 4).alias("lower_bound"),
-                      F.round("upper_bound", 4).alias("upper_bound"), "min", "max",
+                      F.round("upper_bound", 4).alias("upper_bound"), (F.col("min") + 0.0).alias("min"),
+                      (F.col("max") + 0.0).alias("max"),
                       F.round("mean", 4).alias("mean"), F.round("median", 4).alias("median"))
 
 
 # =============================================================== the job over the driver's tables
 
 _RUNS: dict[tuple[str, str], object] = {}
+_RUNS_LOCK = threading.Lock()
 
 
 def job_result(spark: SparkSession, sf: str):
@@ -394,10 +398,11 @@ def job_result(spark: SparkSession, sf: str):
     from runway.plans import job
     from runway.session import shared_path
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _RUNS:
-        root = shared_path(spark, "job")
-        _RUNS[key] = job.run(spark, tpch.sources(spark, sf), root)
-    return _RUNS[key]
+    with _RUNS_LOCK:
+        if key not in _RUNS:
+            root = shared_path(spark, "job")
+            _RUNS[key] = job.run(spark, tpch.sources(spark, sf), root)
+        return _RUNS[key]
 
 
 def _tables(spark, sf) -> dict[str, DataFrame]:
@@ -511,7 +516,7 @@ _star("a8_kpis", """
 SELECT 'total_flights' AS metric, CAST(count(*) AS DOUBLE) AS value FROM flights_view
 UNION ALL SELECT 'total_bookings', CAST(count(*) AS DOUBLE) FROM bookings_view
 UNION ALL SELECT 'total_revenue', CAST(sum(ticket_price) AS DOUBLE) FROM bookings_view
-UNION ALL SELECT 'avg_price', CAST(avg(ticket_price) AS DOUBLE) FROM bookings_view""",
+UNION ALL SELECT 'avg_price', round(CAST(avg(ticket_price) AS DOUBLE), 6) FROM bookings_view""",
       lambda spark, sf: marts.kpis(_fv(spark, sf), _bv(spark, sf)))
 _star("a9_maintenance_kpis", """
 SELECT count(*) AS total_maintenance, sum(cost) AS total_cost,
@@ -753,7 +758,7 @@ def _outlier_sql(source: str, table: str, col: str) -> str:
     return f"""
 SELECT '{source}' AS source, '{col}' AS "column",
        (SELECT count(*) FROM {table} WHERE {v} < q.lo OR {v} > q.hi) AS "count",
-       (SELECT min({v}) FROM {table}) AS "min", (SELECT max({v}) FROM {table}) AS "max",
+       (SELECT min({v}) + 0.0 FROM {table}) AS "min", (SELECT max({v}) + 0.0 FROM {table}) AS "max",
        round(lo, 6) AS lower_bound, round(hi, 6) AS upper_bound
 FROM (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
       FROM (SELECT quantile_cont({v}, 0.25) AS q1, quantile_cont({v}, 0.75) AS q3 FROM {table})) q"""
@@ -764,7 +769,8 @@ FROM (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
     [_outlier_sql("weather", "weather_clean", c) for c in ("temperature", "humidity", "wind_speed")]))
 def a22_out(spark, sf):
     d = marts.outlier_details(job_result(spark, sf).report)
-    return d.select("source", "column", "count", "min", "max", F.round("lower_bound", 6).alias("lower_bound"),
+    return d.select("source", "column", "count", (F.col("min") + 0.0).alias("min"), (F.col("max") + 0.0).alias("max"),
+                    F.round("lower_bound", 6).alias("lower_bound"),
                     F.round("upper_bound", 6).alias("upper_bound"))
 
 
