@@ -61,7 +61,7 @@ def _order_statistics(values: DataFrame, wanted: dict[int, list[int]], summary:
     Each pass handles every open range of every column in one job: ranges
     holding more than ``gather_limit`` rows are split into ``buckets``
     equal-width buckets and counted (at most ``buckets`` rows per range come
-    back); smaller ranges return their distinct values with counts.  The
+    back); in smaller ranges a running count finds the value at each rank.  The
     bucket holding a rank becomes its next range, so the search narrows by a
     factor of ``buckets`` per pass.  Equal values collapse to one
     (value, count) row, so a value held by a third of the rows costs nothing.
@@ -82,20 +82,21 @@ def _order_statistics(values: DataFrame, wanted: dict[int, list[int]], summary:
         large = [k for k in pending if k[4] > gather_limit]
         nxt: dict[tuple, list[int]] = {}
         if small:
+            # The value covering each rank is found on the executors: a running count per
+            # range (at most ``gather_limit`` rows each) joined to the small rank table.
+            from pyspark.sql import Window
             rid = _range_id([(k[0], k[1], k[2]) for k in small])
-            rows = (values.select(rid.alias("r"), "v").where(F.col("r").isNotNull())
-                    .groupBy("r", "v").count().collect())
-            by_range: dict[int, list] = {}
-            for r in rows:
-                by_range.setdefault(r["r"], []).append((r["v"], r["count"]))
-            for i, key in enumerate(small):
-                counted = sorted(by_range.get(i, []))
-                cum, j = key[3], 0
-                for k in sorted(pending[key]):
-                    while cum + counted[j][1] <= k:
-                        cum += counted[j][1]
-                        j += 1
-                    found[(key[0], k)] = counted[j][0]
+            counted = (values.select(rid.alias("r"), "v").where(F.col("r").isNotNull())
+                       .groupBy("r", "v").count())
+            w = Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            counted = counted.withColumn("cum", F.sum("count").over(w))
+            wanted_ranks = [(i, k, k - key[3]) for i, key in enumerate(small) for k in pending[key]]
+            rank_df = values.sparkSession.createDataFrame(wanted_ranks, "r int, k long, rel long")
+            hits = (counted.join(F.broadcast(rank_df), "r")
+                    .where((F.col("rel") < F.col("cum")) & (F.col("rel") >= F.col("cum") - F.col("count")))
+                    .select("r", "k", "v").collect())
+            for h in hits:
+                found[(small[h["r"]][0], h["k"])] = h["v"]
         if large:
             ranges = [(k[0], k[1], k[2]) for k in large]
             rid = _range_id(ranges)
@@ -135,7 +136,7 @@ class ColumnSummary:
 
 
 def summarize(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool = True,
-              buckets: int = 1024, gather_limit: int = 100_000) -> list[ColumnSummary]:
+              buckets: int = 1024, gather_limit: int = 50_000) -> list[ColumnSummary]:
     """Count, min, max, mean and quantiles (linear interpolation) of several columns.
 
     NULL and NaN are skipped, as pandas does.  ``exact`` uses the histogram
