@@ -31,13 +31,13 @@ def assign_keys(df: DataFrame, natural_key: list[str], id_col: str, start: int =
     several range partitions instead of one, and only decides which of the
     interchangeable rows gets which key.
     """
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in natural_key]
     if not unique:
         df = df.withColumn("_tie", F.rand(seed=7))
         order.append(F.col("_tie"))
-    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE sizes the range partitions from the data.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order)
     # Reliable checkpoint: partition contents are fixed on the shared folder,
     # so a lost executor recomputes from files, not from a new range sample.
     ranged = ranged.checkpoint(eager=True)

@@ -107,6 +107,14 @@ def list_files(spark: SparkSession, paths: list[str], on_error: str = SKIP) -> l
     return out
 
 
+def _arrow_uri(path: str) -> str:
+    """Hadoop scheme names that Arrow knows by another name."""
+    for old in ("s3a://", "s3n://"):
+        if path.startswith(old):
+            return "s3://" + path[len(old):]
+    return path
+
+
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Read the first line of each file (runs inside tasks)."""
     from pyarrow import fs as pafs
@@ -114,7 +122,7 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         headers = []
         for path in pdf["path"]:
             try:
-                filesystem, inner = pafs.FileSystem.from_uri(path)
+                filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
                 with filesystem.open_input_stream(inner) as f:
                     head = f.read(1 << 16).decode("utf-8-sig", errors="replace")
                 headers.append(head.splitlines()[0] if head else "")
@@ -131,7 +139,28 @@ def read_headers(spark: SparkSession, files: list[str]) -> dict[str, str | None]
     paths = spark.createDataFrame([(f,) for f in files], "path string")
     n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
     got = paths.repartition(n).mapInPandas(_first_lines, "path string, header string").collect()
-    return {r["path"]: r["header"] for r in got}
+    headers = {r["path"]: r["header"] for r in got}
+    # Files the executors' Arrow client cannot open (e.g. no libhdfs) are read
+    # through Spark's own Hadoop filesystem on the driver, first line only.
+    for path in [p for p, h in headers.items() if h is None]:
+        headers[path] = _hadoop_first_line(spark, path)
+    return headers
+
+
+def _hadoop_first_line(spark: SparkSession, path: str) -> str | None:
+    try:
+        fs, p = _hadoop_fs(spark, path)
+        jvm = spark._jvm
+        stream = fs.open(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        return None if line is None else line.lstrip("\ufeff")
+    except Exception as exc:  # unreadable: the file is reported as lacking the columns
+        log.error("cannot read %s: %s", path, exc)
+        return None
 
 
 # ------------------------------------------------------------------ CSV

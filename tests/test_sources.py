@@ -77,3 +77,9 @@ def test_overwrite_table_reads_itself(spark, tmp_dir):
 def test_sql_scan(spark):
     df = readers.sql(spark, "SELECT count(*) AS n FROM {t} WHERE id > 2", t=spark.range(10))
     assert df.first().n == 7
+
+
+def test_header_fallback_through_hadoop(spark, tmp_dir):
+    path = write_text(os.path.join(tmp_dir, "h.csv"), "\ufeffa,b\n1,2\n")
+    assert readers._hadoop_first_line(spark, path) == "a,b"
+    assert readers._arrow_uri("s3a://bucket/x.csv") == "s3://bucket/x.csv"
