@@ -59,7 +59,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is passed so that an empty result (no files) reads back too.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def standardize_formats(df: DataFrame) -> DataFrame:
@@ -81,8 +82,8 @@ def split_bad_rows(df: DataFrame, name: str, max_nulls: int = 2,
     """F1 + S10 in one pass: the flagged rows are written once, partitioned by the flag."""
     flagged = quality.flag_bad_rows(df, max_nulls)
     if stage:
-        # Partition values come back as text; the filters below prune to one folder.
-        flagged = materialize(flagged, f"{name}-flagged", ["_bad"]).withColumn("_bad", F.col("_bad") == "true")
+        # The filters below prune to one partition folder each.
+        flagged = materialize(flagged, f"{name}-flagged", ["_bad"])
     good = flagged.where(~F.col("_bad")).drop("_bad", "null_count").select(*df.columns)
     bad = flagged.where(F.col("_bad")).drop("_bad").select(*df.columns, "null_count")
     return good, bad

@@ -49,11 +49,11 @@ def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact:
         out = fn(raw[name], exact=exact)
         path = f"{root}/cleaned/{name}_clean"
         sinks.write_parquet(out.clean, path)
-        cleaned[name] = spark.read.parquet(path)
+        cleaned[name] = spark.read.schema(out.clean.schema).parquet(path)
         if name in ("bookings", "flights", "maintenance"):
             rpath = f"{root}/cleaned/{name}_rejected"
             sinks.write_rejects(out.rejects, rpath)
-            rejects[name] = spark.read.parquet(rpath)
+            rejects[name] = spark.read.schema(out.rejects.schema).parquet(rpath)
         reports.append(out.report)
     report = reports[0]
     for r in reports[1:]:

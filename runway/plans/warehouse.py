@@ -250,6 +250,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schemas: dict = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -257,10 +258,13 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         if name in self.TABLES:
             return sinks.read_table(self.spark, self.path(name), self.TABLES[name])
+        if name in self._schemas:
+            return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         sinks.overwrite_table(df, self.path(name))
+        self._schemas[name] = df.schema
         return self.table(name)
 
     def seed(self) -> None:

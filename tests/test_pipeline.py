@@ -68,3 +68,14 @@ def test_maintenance_cleaning(spark, tmp_dir):
     assert rows["A320"].maintenance_type == "fueling" and rows["B777"].status == "in_progress"
     assert rows["A320"].cost == 525000.0  # median of 150000 and 900000
     assert rows["B777"].scheduled_date is None and rows["A320"].description == "engine mount"
+
+
+def test_job_runs_on_empty_sources(spark, tmp_dir):
+    raw = {name: spark.createDataFrame([], schema) for name, schema in S.SOURCE_SCHEMAS.items()}
+    res = job.run(spark, raw, os.path.join(tmp_dir, "empty"))
+    rep = {r.source: r for r in res.report.collect()}
+    assert all(r.final_rows == 0 for r in rep.values())
+    assert rep["bookings"].completeness_before is None
+    assert all(res.tables[n].count() == 0 for n in ("dim_airports", "fact_bookings", "fact_revenue"))
+    checks = {r.check: r for r in res.checks.collect()}
+    assert checks["dim_airports_not_empty"].violations == 1 and checks["no_duplicate_airports"].passed
