@@ -23,6 +23,11 @@ def _key_condition(t: DataFrame, s: DataFrame, keys: list[str], null_safe: bool)
     return cond
 
 
+def _known_empty(df: DataFrame) -> bool:
+    """True for an in-driver empty frame (a table before its first load); no job is run."""
+    return df.isLocal() and df.isEmpty()
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], id_col: str,
            update_cols: list[str] | None = None, null_safe: bool = False) -> DataFrame:
     """M1/M2/M4: ``INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols``.
@@ -46,6 +51,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], id_col: str,
 
     merged = j.select(F.col(f"t.{id_col}").alias(id_col), *[pick(c) for c in cols],
                       F.coalesce(F.col("t._in_tgt"), F.lit(False)).alias("_old"))
+    if not _known_empty(target):
+        # Both halves below read the join; checkpoint it so it runs once.
+        merged = merged.checkpoint()
     existing = merged.where("_old").drop("_old")
     fresh = merged.where(~F.col("_old")).drop("_old", id_col)
     fresh = assign_keys(fresh, keys, id_col, start=max_key(target, id_col))

@@ -190,3 +190,28 @@ def test_grouped_quantiles_match_numpy(spark):
     for k in {r[0] for r in rows if r[0] is not None}:
         arr = np.array([v for g, v in rows if g == k and v is not None])
         assert np.allclose(got[k], np.percentile(arr, [p * 100 for p in probs]), atol=1e-9), k
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-50, 50).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=300),
+       st.lists(st.floats(0, 1), min_size=1, max_size=4))
+def test_exact_quantiles_property(spark, vals, probs):
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = stats.summarize(df, ["v"], probs, buckets=4, gather_limit=8)[0]
+    arr = np.array([v for v in vals if v is not None])
+    if len(arr) == 0:
+        assert got.count == 0 and got.quantiles == [None] * len(probs)
+    else:
+        assert np.allclose(got.quantiles, np.percentile(arr, [p * 100 for p in probs]), rtol=1e-12, atol=1e-9)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 10**6), min_size=0, max_size=200, unique=True), st.integers(0, 1000))
+def test_assign_keys_property(spark, keys, start):
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    rows = assign_keys(df, ["k"], "sk", start=start).collect()
+    assert sorted((r.k, r.sk) for r in rows) == [(k, start + i + 1) for i, k in enumerate(sorted(keys))]
