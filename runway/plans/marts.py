@@ -194,3 +194,60 @@ def outlier_details(report: DataFrame) -> DataFrame:
     """The outlier map exploded to rows."""
     return report.select("source", F.explode("outliers_report").alias("column", "info")).select(
         "source", "column", "info.count", "info.min", "info.max", "info.lower_bound", "info.upper_bound")
+
+
+def dashboard(t: dict[str, DataFrame], report: DataFrame | None = None, *, cache: bool = False,
+              exact: bool = True, **sidebar) -> dict[str, DataFrame]:
+    """Every table and chart of the dashboard's six tabs, as lazy DataFrames.
+
+    ``sidebar`` takes the filter widgets of ``filters.booking_filters``
+    (departures, arrivals, statuses, aircraft, price_range, date_range_);
+    the booking charts use the filtered view, the KPIs and flight charts the
+    whole views, as the reference does.  With ``cache`` the three star views
+    are persisted (memory and disk) because every chart re-reads them.
+    """
+    from runway.operators import filters
+
+    fv, bv, mv = flights_view(t, ordered=False), bookings_view(t, ordered=False), maintenance_view(t, ordered=False)
+    if cache:
+        fv, bv, mv = fv.persist(), bv.persist(), mv.persist()
+    fb = filters.booking_filters(bv, **sidebar)
+    out = {
+        "kpis": kpis(fv, bv),
+        "flight_status_counts": frequency(fv, "status"),
+        "flights_by_date": count_by(fv, "flight_date"),
+        "flights_table": fv.orderBy("flight_date", "flight_number", "flight_instance_id"),
+        "booking_status_counts": frequency(fb, "status"),
+        "revenue_by_departure": sum_by(fb, "departure_airport", "ticket_price", "revenue"),
+        "price_histogram": price_histogram(fb),
+        "price_by_departure": mean_median_count_by(fb, "departure_airport", "ticket_price", exact),
+        "price_by_aircraft": mean_median_count_by(fb, "aircraft_type", "ticket_price", exact),
+        "price_by_weekday": by_weekday(fb, "booking_date", "ticket_price"),
+        "bookings_table": fb.orderBy(F.col("booking_date").desc(), "booking_id"),
+        "airports_table": t["dim_airports"].orderBy("airport_code"),
+        "flights_by_airport": frequency(fv, "departure"),
+        "aircraft_table": t["dim_aircraft"].orderBy("aircraft_code"),
+        "aircraft_usage": frequency(fv, "aircraft_id"),
+        "maintenance_kpis": maintenance_kpis(mv),
+        "maintenance_type_counts": frequency(mv, "type_name"),
+        "maintenance_status_counts": frequency(mv, "status_name"),
+        "cost_by_type": sum_by(mv, "type_name", "cost", "cost"),
+        "cost_by_aircraft": sum_by(mv, "aircraft_code", "cost", "cost"),
+        "maintenance_table": mv.orderBy(F.col("scheduled_date").desc(), "maintenance_id"),
+        "price_stats": price_stats(bv, exact),
+        "null_profile": _null_profile(bv),
+        "price_outliers": stats.outlier_rows(bv, "ticket_price", ["booking_ref", "passenger_name", "ticket_price"],
+                                             exact),
+        "flight_status_share": frequency_share(fv, "status"),
+        "delay_summary": delay_summary(fv),
+        "filter_bounds": filter_bounds(bv),
+    }
+    if report is not None:
+        out.update({"quality_summary": quality_summary(report), "fill_details": fill_details(report),
+                    "outlier_details": outlier_details(report)})
+    return out
+
+
+def _null_profile(df: DataFrame) -> DataFrame:
+    from runway.operators import quality
+    return quality.null_profile(df)

@@ -79,3 +79,13 @@ def test_job_runs_on_empty_sources(spark, tmp_dir):
     assert all(res.tables[n].count() == 0 for n in ("dim_airports", "fact_bookings", "fact_revenue"))
     checks = {r.check: r for r in res.checks.collect()}
     assert checks["dim_airports_not_empty"].violations == 1 and checks["no_duplicate_airports"].passed
+
+
+def test_dashboard_charts(spark, tmp_dir):
+    res = job.run(spark, _raw(spark, tmp_dir), os.path.join(tmp_dir, "dash"))
+    charts = marts.dashboard(res.tables, res.report, statuses=["confirmed"], price_range=(0, 50000))
+    counts = {k: v.count() for k, v in charts.items()}
+    assert counts["booking_status_counts"] == 1 and counts["kpis"] == 4 and counts["quality_summary"] == 5
+    assert counts["flights_table"] == 5 and counts["price_histogram"] >= 1
+    kp = {r.metric: r.value for r in charts["kpis"].collect()}
+    assert kp["total_bookings"] == 6.0 and kp["total_flights"] == 5.0
