@@ -56,5 +56,8 @@ def assign_keys(df: DataFrame, natural_key: list[str], id_col: str, start: int =
 
 
 def max_key(df: DataFrame, id_col: str) -> int:
+    """Largest existing key (0 for an empty table); an in-driver empty frame costs no job."""
+    if df.isLocal() and df.isEmpty():
+        return 0
     row = df.agg(F.max(id_col).alias("m")).first()
     return int(row["m"]) if row["m"] is not None else 0

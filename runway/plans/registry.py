@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runway.functions import expr as X
-from runway.operators import checks, dedupe, filters, quality, stats
+from runway.operators import dedupe, filters, quality, stats
 from runway.operators.keys import assign_keys
 from runway.plans import cleaning, marts, tpch
 from runway.plans import oracle_sql as Q
