@@ -1141,3 +1141,12 @@ def f2_f5(spark, sf):
                                   statuses=["confirmed"], aircraft=["AUTOMOBILE", "BUILDING"],
                                   price_range=(50000, 300000), date_range_=("1996-01-01", "1999-12-31"))
     return out.select("booking_id", "booking_ref", "ticket_price")
+
+
+@register("s5_json_array_weather", Q.with_(Q.WEATHER_RAW) + "SELECT * FROM weather_raw")
+def s5_array(spark, sf):
+    from runway import schemas as S
+    from runway.sources import readers, sinks
+    path = _scratch(spark, "s5-json-array")
+    sinks.write_json_array(tpch.weather(_t(spark, sf, "events")), path)
+    return readers.read_json(spark, [path], S.WEATHER, json_array=True)

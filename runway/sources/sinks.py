@@ -71,3 +71,30 @@ def write_report(df: DataFrame, path: str) -> None:
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
+
+
+def _as_array_lines(batches):
+    """One partition's JSON records as the lines of a single JSON array (runs inside tasks)."""
+    import pandas as pd
+    first = True
+    yield pd.DataFrame({"value": ["["]})
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        lines = "," + pdf["value"]
+        if first:
+            lines.iloc[0] = pdf["value"].iloc[0]
+            first = False
+        yield pd.DataFrame({"value": lines})
+    yield pd.DataFrame({"value": ["]"]})
+
+
+def write_json_array(df: DataFrame, path: str) -> None:
+    """JSON-array files, one per partition (the layout of an API dump such as the weather source).
+
+    Records are serialised by ``to_json`` on the JVM; each partition adds the
+    brackets and commas around its own records, so nothing is gathered.
+    """
+    from pyspark.sql import functions as F
+    records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    records.mapInPandas(_as_array_lines, "value string").write.mode("overwrite").text(path)
