@@ -83,3 +83,24 @@ def test_header_fallback_through_hadoop(spark, tmp_dir):
     path = write_text(os.path.join(tmp_dir, "h.csv"), "\ufeffa,b\n1,2\n")
     assert readers._hadoop_first_line(spark, path) == "a,b"
     assert readers._arrow_uri("s3a://bucket/x.csv") == "s3://bucket/x.csv"
+
+
+def test_reference_config_layout(tmp_dir):
+    from runway import config
+    text = """
+sources:
+  postgres: {enabled: false, host: db, port: 5434, database: booking_db, user: u, password: p, table: raw_bookings}
+  csv_flights: {enabled: true, files: [/data/a.csv, /data/b.csv]}
+  csv_maintenance: {enabled: true, files: [/data/m.csv]}
+  json_logs: {enabled: true, file: /data/logs.json}
+  api_weather: {enabled: false, file: /data/weather.json}
+processing:
+  on_validation_error: fail
+"""
+    path = write_text(os.path.join(tmp_dir, "config.yaml"), text)
+    conf = config.load(path)
+    s = conf["sources"]
+    assert s["flights"] == {"enabled": True, "format": "csv", "files": ["/data/a.csv", "/data/b.csv"]}
+    assert s["logs"]["files"] == ["/data/logs.json"] and s["logs"]["format"] == "json"
+    assert s["bookings"]["format"] == "jdbc" and s["bookings"]["host"] == "db" and not s["bookings"]["enabled"]
+    assert conf["processing"]["on_validation_error"] == "fail"
