@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from runway import schemas as S
 from runway.operators import checks as C
 from runway.plans import cleaning
+from runway.plans.stages import in_parallel
 from runway.plans.warehouse import Warehouse
 from runway.sources import readers, sinks
 
@@ -42,19 +43,26 @@ def extract_raw(spark: SparkSession, config: dict, root: str) -> dict[str, DataF
     return out
 
 
-def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True):
+def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True,
+              workers: int = 5):
     """T1-T5, with the cleaned zone, the reject tables and the quality report written under ``root``."""
-    cleaned, rejects, reports = {}, {}, []
-    for name, fn in cleaning.TRANSFORMS.items():
-        out = fn(raw[name], exact=exact)
+
+    def clean_one(name: str):
+        out = cleaning.TRANSFORMS[name](raw[name], exact=exact)
         path = f"{root}/cleaned/{name}_clean"
         sinks.write_parquet(out.clean, path)
-        cleaned[name] = spark.read.schema(out.clean.schema).parquet(path)
+        clean = spark.read.schema(out.clean.schema).parquet(path)
+        rejected = None
         if name in ("bookings", "flights", "maintenance"):
             rpath = f"{root}/cleaned/{name}_rejected"
             sinks.write_rejects(out.rejects, rpath)
-            rejects[name] = spark.read.schema(out.rejects.schema).parquet(rpath)
-        reports.append(out.report)
+            rejected = spark.read.schema(out.rejects.schema).parquet(rpath)
+        return clean, rejected, out.report
+
+    done = in_parallel({n: (lambda n=n: clean_one(n)) for n in cleaning.TRANSFORMS}, workers)
+    cleaned = {n: done[n][0] for n in cleaning.TRANSFORMS}
+    rejects = {n: done[n][1] for n in cleaning.TRANSFORMS if done[n][1] is not None}
+    reports = [done[n][2] for n in cleaning.TRANSFORMS]
     report = reports[0]
     for r in reports[1:]:
         report = report.unionByName(r)
@@ -102,8 +110,11 @@ def run_from_config(spark: SparkSession, config: dict, root: str, exact: bool =
     return run(spark, extract_raw(spark, config, root), root, exact)
 
 
-def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True) -> JobResult:
-    cleaned, rejects, report = clean_all(spark, raw, root, exact)
+def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True,
+        workers: int = 5) -> JobResult:
+    """Transform, load and test; independent stages run concurrently (``workers=1``: one at a time)."""
+    cleaned, rejects, report = clean_all(spark, raw, root, exact, workers)
     wh = Warehouse(spark, f"{root}/dwh")
-    tables = wh.load(cleaned["bookings"], cleaned["flights"], cleaned["maintenance"], cleaned["weather"])
+    tables = wh.load(cleaned["bookings"], cleaned["flights"], cleaned["maintenance"], cleaned["weather"],
+                     workers=workers)
     return JobResult(cleaned, rejects, report, tables, quality_checks(tables))

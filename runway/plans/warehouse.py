@@ -22,6 +22,7 @@ from runway.functions import expr as X
 from runway.operators import dedupe
 from runway.operators.keys import assign_keys
 from runway.operators.merge import insert_missing, upsert, upsert_on_key
+from runway.plans.stages import in_parallel
 from runway.sources import sinks
 
 # ------------------------------------------------------------------ dimensions
@@ -275,21 +276,35 @@ class Warehouse:
             self.save("dim_maintenance_types", S.maintenance_type_dim(self.spark))
 
     def load(self, bookings: DataFrame, flights: DataFrame, maintenance: DataFrame,
-             weather: DataFrame | None = None) -> dict[str, DataFrame]:
-        """Dimensions first (facts read their keys), then facts (full refresh)."""
+             weather: DataFrame | None = None, workers: int = 5) -> dict[str, DataFrame]:
+        """Dimensions first (facts read their keys), then facts (full refresh).
+
+        Loads that do not depend on each other run concurrently, in four waves.
+        """
         self.seed()
         t = self.table
-        airports = self.save("dim_airports", load_dim_airports(t("dim_airports"), bookings, flights))
-        aircraft = self.save("dim_aircraft", load_dim_aircraft(t("dim_aircraft"), bookings, flights))
-        dates = self.save("dim_dates", load_dim_dates(t("dim_dates"), bookings, flights))
-        passengers = self.save("dim_passengers", load_dim_passengers(t("dim_passengers"), bookings))
-        routes = self.save("dim_flights", load_dim_flights(t("dim_flights"), bookings, flights, airports, aircraft))
+        dims = in_parallel({
+            "dim_airports": lambda: self.save("dim_airports", load_dim_airports(t("dim_airports"), bookings, flights)),
+            "dim_aircraft": lambda: self.save("dim_aircraft", load_dim_aircraft(t("dim_aircraft"), bookings, flights)),
+            "dim_dates": lambda: self.save("dim_dates", load_dim_dates(t("dim_dates"), bookings, flights)),
+            "dim_passengers": lambda: self.save("dim_passengers", load_dim_passengers(t("dim_passengers"), bookings)),
+        }, workers)
+        airports, aircraft, dates, passengers = (dims[n] for n in
+                                                 ("dim_airports", "dim_aircraft", "dim_dates", "dim_passengers"))
+        wave2 = {"dim_flights": lambda: self.save("dim_flights", load_dim_flights(
+            t("dim_flights"), bookings, flights, airports, aircraft))}
         if weather is not None:
-            self.save("dim_weather", load_weather_dim(t("dim_weather"), weather, airports))
+            wave2["dim_weather"] = lambda: self.save("dim_weather", load_weather_dim(t("dim_weather"), weather, airports))
+        routes = in_parallel(wave2, workers)["dim_flights"]
         statuses, mtypes = t("dim_statuses"), t("dim_maintenance_types")
-        fb = self.save("fact_bookings", build_fact_bookings(bookings, passengers, routes, airports, dates, statuses))
-        self.save("fact_flights", build_fact_flights(flights, routes, airports, dates, statuses))
-        self.save("fact_revenue", build_fact_revenue(fb, statuses))
-        self.save("fact_maintenance", build_fact_maintenance(maintenance, aircraft, mtypes, statuses))
+        facts = in_parallel({
+            "fact_bookings": lambda: self.save("fact_bookings", build_fact_bookings(
+                bookings, passengers, routes, airports, dates, statuses)),
+            "fact_flights": lambda: self.save("fact_flights", build_fact_flights(
+                flights, routes, airports, dates, statuses)),
+            "fact_maintenance": lambda: self.save("fact_maintenance", build_fact_maintenance(
+                maintenance, aircraft, mtypes, statuses)),
+        }, workers)
+        self.save("fact_revenue", build_fact_revenue(facts["fact_bookings"], statuses))
         return {n: self.table(n) for n in
                 list(self.TABLES) + ["fact_bookings", "fact_flights", "fact_revenue", "fact_maintenance"]}
