@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> int:
     from runway.plans import job, tpch
     from runway.session import build_session
 
+    from pyspark.sql import SparkSession
+    owned = SparkSession.getActiveSession() is None
     spark = build_session(app="runway-job")
     if args.config:
         result = job.run_from_config(spark, config.load(args.config), args.out, exact=not args.approx)
@@ -34,7 +36,8 @@ def main(argv: list[str] | None = None) -> int:
     checks = result.checks.collect()
     for r in checks:
         print(f"{'PASS' if r.passed else 'FAIL'}  {r.check}: {r.violations}")
-    spark.stop()
+    if owned:
+        spark.stop()
     return 0 if all(r.passed for r in checks) else 1
 
 

@@ -89,3 +89,29 @@ def test_dashboard_charts(spark, tmp_dir):
     assert counts["flights_table"] == 5 and counts["price_histogram"] >= 1
     kp = {r.metric: r.value for r in charts["kpis"].collect()}
     assert kp["total_bookings"] == 6.0 and kp["total_flights"] == 5.0
+
+
+def test_command_line_with_reference_config(spark, tmp_dir):
+    from runway.__main__ import main
+    from runway.sources import sinks
+    f = write_text(os.path.join(tmp_dir, "in/flights.csv"), FLIGHTS_CSV)
+    m = write_text(os.path.join(tmp_dir, "in/maint.csv"), MAINTENANCE_CSV)
+    w = write_text(os.path.join(tmp_dir, "in/weather.json"), WEATHER_JSON)
+    logs_path = os.path.join(tmp_dir, "in/logs")
+    sinks.write_json_array(logs_df(spark), logs_path)
+    conf = write_text(os.path.join(tmp_dir, "config.yaml"), f"""
+sources:
+  postgres: {{enabled: false, host: db, port: 5434, database: booking_db, table: raw_bookings}}
+  csv_flights: {{enabled: true, files: ['{f}', '{tmp_dir}/in/missing.csv']}}
+  csv_maintenance: {{enabled: true, files: ['{m}']}}
+  json_logs: {{enabled: true, file: '{logs_path}'}}
+  api_weather: {{enabled: true, file: '{w}'}}
+processing:
+  on_validation_error: skip
+""")
+    out = os.path.join(tmp_dir, "cli")
+    # Bookings are switched off, so fact_bookings is empty and its not-empty check fails.
+    assert main(["--config", conf, "--out", out]) == 1
+    raw = spark.read.parquet(f"{out}/raw/flights_raw")
+    assert raw.count() == 5 and spark.read.parquet(f"{out}/raw/logs_raw").count() == 3
+    assert spark.read.parquet(f"{out}/raw/bookings_raw").count() == 0
