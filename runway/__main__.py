@@ -19,6 +19,8 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--tables", help="folder of the driver's TPC-H-style parquet tables (derived sources)")
     ap.add_argument("--out", required=True, help="shared folder for the raw, cleaned, report and warehouse zones")
     ap.add_argument("--approx", action="store_true", help="approximate quantiles (bounded memory)")
+    ap.add_argument("--partition-facts", action="store_true",
+                    help="store facts in date-key folders (pruning, dynamic partition pruning); for clusters")
     args = ap.parse_args(argv)
 
     from runway import config
@@ -29,9 +31,11 @@ def main(argv: list[str] | None = None) -> int:
     owned = SparkSession.getActiveSession() is None
     spark = build_session(app="runway-job")
     if args.config:
-        result = job.run_from_config(spark, config.load(args.config), args.out, exact=not args.approx)
+        result = job.run_from_config(spark, config.load(args.config), args.out, exact=not args.approx,
+                                     partition_facts=args.partition_facts)
     else:
-        result = job.run(spark, tpch.sources(spark, args.tables), args.out, exact=not args.approx)
+        result = job.run(spark, tpch.sources(spark, args.tables), args.out, exact=not args.approx,
+                         partition_facts=args.partition_facts)
     result.report.show(truncate=False)
     checks = result.checks.collect()
     for r in checks:

@@ -105,16 +105,21 @@ def quality_checks(t: dict[str, DataFrame]) -> DataFrame:
     return C.run_suite(suite)
 
 
-def run_from_config(spark: SparkSession, config: dict, root: str, exact: bool = True) -> JobResult:
+def run_from_config(spark: SparkSession, config: dict, root: str, exact: bool = True,
+                    partition_facts: bool = False) -> JobResult:
     """Extract -> transform -> load -> test, as the reference's four scripts in order."""
-    return run(spark, extract_raw(spark, config, root), root, exact)
+    return run(spark, extract_raw(spark, config, root), root, exact, partition_facts=partition_facts)
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True,
-        workers: int = 5) -> JobResult:
-    """Transform, load and test; independent stages run concurrently (``workers=1``: one at a time)."""
+        workers: int = 5, partition_facts: bool = False) -> JobResult:
+    """Transform, load and test; independent stages run concurrently (``workers=1``: one at a time).
+
+    ``partition_facts`` stores the facts in date-key folders (see ``Warehouse``), the layout to use
+    on a cluster; it is off by default because small local runs only pay its file-listing cost.
+    """
     cleaned, rejects, report = clean_all(spark, raw, root, exact, workers)
-    wh = Warehouse(spark, f"{root}/dwh")
+    wh = Warehouse(spark, f"{root}/dwh", partition_facts=partition_facts)
     tables = wh.load(cleaned["bookings"], cleaned["flights"], cleaned["maintenance"], cleaned["weather"],
                      workers=workers)
     return JobResult(cleaned, rejects, report, tables, quality_checks(tables))

@@ -248,9 +248,21 @@ class Warehouse:
         "dim_statuses": S.DIM_STATUSES, "dim_maintenance_types": S.DIM_MAINTENANCE_TYPES,
     }
 
-    def __init__(self, spark: SparkSession, root: str):
+    # Fact -> (date key, surrogate key) for the date-partitioned layout.
+    FACT_LAYOUT = {
+        "fact_bookings": ("booking_date_id", "booking_id"),
+        "fact_flights": ("flight_date_id", "flight_instance_id"),
+        "fact_revenue": ("date_id", "revenue_id"),
+    }
+
+    def __init__(self, spark: SparkSession, root: str, partition_facts: bool = False):
+        """``partition_facts`` writes the facts in one folder per date key: date filters then prune
+        files, and joins through ``dim_dates`` get dynamic partition pruning.  Rows are first
+        range-partitioned on (date key, surrogate key), so one date's rows may be written by several
+        tasks and a hot date is not one task's work."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition_facts = partition_facts
         self._schemas: dict = {}
 
     def path(self, name: str) -> str:
@@ -264,7 +276,12 @@ class Warehouse:
         return self.spark.read.parquet(self.path(name))
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
-        sinks.overwrite_table(df, self.path(name))
+        if self.partition_facts and name in self.FACT_LAYOUT:
+            date_key, key = self.FACT_LAYOUT[name]
+            laid_out = df.repartitionByRange(F.col(date_key), F.col(key))
+            sinks.overwrite_table(laid_out, self.path(name), partition_by=[date_key])
+        else:
+            sinks.overwrite_table(df, self.path(name))
         self._schemas[name] = df.schema
         return self.table(name)
 

@@ -115,3 +115,20 @@ processing:
     raw = spark.read.parquet(f"{out}/raw/flights_raw")
     assert raw.count() == 5 and spark.read.parquet(f"{out}/raw/logs_raw").count() == 3
     assert spark.read.parquet(f"{out}/raw/bookings_raw").count() == 0
+
+
+def test_date_partitioned_facts_prune(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    plain = job.run(spark, _raw(spark, tmp_dir), os.path.join(tmp_dir, "plain"))
+    parted = job.run(spark, _raw(spark, tmp_dir), os.path.join(tmp_dir, "parted"), partition_facts=True)
+    for name in ("fact_bookings", "fact_flights", "fact_revenue"):
+        a = sorted(repr(tuple(r[c] for c in sorted(plain.tables[name].columns))) for r in plain.tables[name].collect())
+        b = sorted(repr(tuple(r[c] for c in sorted(parted.tables[name].columns))) for r in parted.tables[name].collect())
+        assert a == b, name
+    assert os.path.isdir(os.path.join(tmp_dir, "parted/dwh/fact_flights/flight_date_id=20240201"))
+    t = parted.tables
+    q = (t["fact_flights"].join(t["dim_dates"].where(F.col("day") == 1),
+                                F.col("flight_date_id") == F.col("date_id")).select("flight_instance_id"))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert q.count() == 2
