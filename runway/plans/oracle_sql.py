@@ -263,13 +263,12 @@ dim_passengers AS (
 route_src AS (
   SELECT flight_number, departure_airport, arrival_airport, aircraft_code FROM (
     SELECT *, row_number() OVER (PARTITION BY flight_number, departure_airport, arrival_airport
-                                 ORDER BY src, oa, ob, oc) AS rn
+                                 ORDER BY src, oid, oday, otime, ocode) AS rn
     FROM (SELECT flight_number, departure_airport, arrival_airport, aircraft_type AS aircraft_code, 0 AS src,
-                 lpad(CAST(id AS VARCHAR), 20, '0') AS oa, CAST(NULL AS TIMESTAMP) AS ob, CAST(NULL AS VARCHAR) AS oc
+                 id AS oid, CAST(NULL AS DATE) AS oday, CAST(NULL AS TIMESTAMP) AS otime, CAST(NULL AS VARCHAR) AS ocode
           FROM bookings_clean
           UNION ALL
-          SELECT flight_number, departure, arrival, aircraft_id, 1, CAST(flight_date AS VARCHAR),
-                 scheduled_departure, aircraft_id
+          SELECT flight_number, departure, arrival, aircraft_id, 1, NULL, flight_date, scheduled_departure, aircraft_id
           FROM flights_clean))
   WHERE rn = 1),
 dim_flights AS (

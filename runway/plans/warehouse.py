@@ -81,16 +81,18 @@ def route_source(bookings: DataFrame, flights: DataFrame) -> DataFrame:
     Within a source the first row is the one with the smallest ordering
     columns: booking ``id``; for the report, date, scheduled time, aircraft.
     """
+    def order(id_, day, time, code):
+        return F.struct(id_.cast("long").alias("id"), day.cast("date").alias("day"),
+                        time.cast("timestamp_ntz").alias("time"), code.cast("string").alias("code")).alias("_ord")
+
+    none = F.lit(None)
     b = bookings.select("flight_number", F.col("departure_airport"), F.col("arrival_airport"),
                         F.col("aircraft_type").alias("aircraft_code"), F.lit(0).alias("_src"),
-                        F.struct(F.lpad(F.col("id").cast("string"), 20, "0").alias("a"),
-                                 F.lit(None).cast("timestamp_ntz").alias("b"),
-                                 F.lit(None).cast("string").alias("c")).alias("_ord"))
+                        order(F.col("id"), none, none, none))
     f = flights.select("flight_number", F.col("departure").alias("departure_airport"),
                        F.col("arrival").alias("arrival_airport"), F.col("aircraft_id").alias("aircraft_code"),
                        F.lit(1).alias("_src"),
-                       F.struct(F.col("flight_date").cast("string").alias("a"), F.col("scheduled_departure").alias("b"),
-                                F.col("aircraft_id").alias("c")).alias("_ord"))
+                       order(none, F.col("flight_date"), F.col("scheduled_departure"), F.col("aircraft_id")))
     both = dedupe.union_by_name([b, f])
     first = dedupe.first_per_key(both, ["flight_number", "departure_airport", "arrival_airport"], ["_src", "_ord"])
     return first.drop("_src", "_ord")
