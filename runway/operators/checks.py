@@ -96,3 +96,21 @@ def orphan_facts(fact: DataFrame, dim: DataFrame, name: str, fk: str, pk: str) -
 
 def run_suite(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
+
+
+def row_checks(df: DataFrame, conditions: dict[str, Column], empty_check: str | None = None) -> DataFrame:
+    """Several row-level checks of one table in a single pass.
+
+    ``conditions`` maps a check name to the condition a violating row meets;
+    ``empty_check`` names an extra V1c check on the same pass.  The one-row
+    aggregate is unpivoted into (check, violations, passed) rows.
+    """
+    aggs = [F.count_if(c).alias(f"c{i}") for i, c in enumerate(conditions.values())]
+    names = list(conditions)
+    if empty_check:
+        aggs.append(F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).alias(f"c{len(names)}"))
+        names.append(empty_check)
+    one = df.agg(*aggs)
+    pairs = ", ".join(f"'{n}', CAST(c{i} AS BIGINT)" for i, n in enumerate(names))
+    long = one.selectExpr(f"stack({len(names)}, {pairs}) as (check, v)")
+    return long.select("check", F.col("v").alias("violations"), (F.col("v") == 0).alias("passed"))
