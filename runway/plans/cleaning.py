@@ -49,7 +49,7 @@ SOURCE_REPORT = T.StructType([
 class Cleaned:
     clean: DataFrame
     rejects: DataFrame
-    report: DataFrame
+    report: tuple  # one row of SOURCE_REPORT; ``report_frame`` turns the rows of all sources into one table
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -105,15 +105,18 @@ def _outlier_map(out: DataFrame) -> dict:
                           r["mean"], r["median"]) for r in out.collect()}
 
 
-def _report(spark, source, initial, final, rejected, dups, before, after, fills, outliers) -> DataFrame:
-    row = (source, initial, final, rejected, dups, before, after, fills, outliers)
-    return spark.createDataFrame([row], SOURCE_REPORT)
+def _report(source, initial, final, rejected, dups, before, after, fills, outliers) -> tuple:
+    return (source, initial, final, rejected, dups, before, after, fills, outliers)
+
+
+def report_frame(spark, rows: list[tuple]) -> DataFrame:
+    """The per-source rows as one table (one local relation, not a union of one-row frames)."""
+    return spark.createDataFrame(rows, SOURCE_REPORT)
 
 
 def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
                        ignore_cols=dedupe.DEFAULT_IGNORE, dedupe_after_standardize: bool = False,
                        exact: bool = True, stage: bool = True) -> Cleaned:
-    spark = df.sparkSession
     required = REQUIRED[source]
     good, bad = split_bad_rows(df, source, stage=stage)
     # Both figures read the staged rows (all of the source), not the source again.
@@ -130,7 +133,7 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
     outliers = stats.detect_outliers(filled, outlier_cols, exact)
     # The report needs only completeness from the final check: one aggregate, no shuffle.
     after = quality.completeness_percent(filled, filled.columns)
-    report = _report(spark, source, initial, deduped, rejected, initial - deduped, before,
+    report = _report(source, initial, deduped, rejected, initial - deduped, before,
                      after, _fill_map(fill), _outlier_map(outliers))
     return Cleaned(filled, bad, report)
 
@@ -147,7 +150,6 @@ def transform_flights(df: DataFrame, **kw) -> Cleaned:
 
 def transform_logs(df: DataFrame, **_) -> Cleaned:
     """Flight number, safe timestamp, upper-case level; no rows dropped."""
-    spark = df.sparkSession
     fixes = {}
     if "flight_number" in df.columns:
         fixes["flight_number"] = X.normalize_flight_number("flight_number")
@@ -157,13 +159,12 @@ def transform_logs(df: DataFrame, **_) -> Cleaned:
         fixes["level"] = X.upper_trim("level")
     clean = df.withColumns(fixes) if fixes else df
     n, after = quality.rows_and_completeness(clean)
-    report = _report(spark, "logs", n, n, 0, 0, None, after, {}, {})
+    report = _report("logs", n, n, 0, 0, None, after, {}, {})
     return Cleaned(clean, clean.limit(0), report)
 
 
 def transform_weather(df: DataFrame, exact: bool = True, **_) -> Cleaned:
     """T4: safe timestamp, airport normalisation, outliers of three measures."""
-    spark = df.sparkSession
     fixes = {}
     if "timestamp" in df.columns:
         fixes["timestamp"] = X.safe_timestamp("timestamp")
@@ -172,7 +173,7 @@ def transform_weather(df: DataFrame, exact: bool = True, **_) -> Cleaned:
     clean = df.withColumns(fixes) if fixes else df
     outliers = stats.detect_outliers(clean, ["temperature", "humidity", "wind_speed"], exact)
     n, after = quality.rows_and_completeness(clean)
-    report = _report(spark, "weather", n, n, 0, 0, None, after, {}, _outlier_map(outliers))
+    report = _report("weather", n, n, 0, 0, None, after, {}, _outlier_map(outliers))
     return Cleaned(clean, clean.limit(0), report)
 
 
@@ -196,7 +197,6 @@ def standardize_maintenance(df: DataFrame) -> DataFrame:
 
 def transform_maintenance(df: DataFrame, exact: bool = True, stage: bool = True, **_) -> Cleaned:
     """T5: completeness, bad-row split, standardisation, imputation; no dedupe."""
-    spark = df.sparkSession
     good, bad = split_bad_rows(df, "maintenance", stage=stage)
     before = quality.completeness_percent(good.unionByName(bad.drop("null_count")), REQUIRED["maintenance"])
     n, rejected = _split_counts(good, bad)
@@ -205,7 +205,7 @@ def transform_maintenance(df: DataFrame, exact: bool = True, stage: bool = True,
         std = materialize(std, "maintenance-std")
     filled, fill = stats.smart_fill(std, exact=exact)
     after = quality.completeness_percent(filled, filled.columns)
-    report = _report(spark, "maintenance", n + rejected, n, rejected, 0, before, after, _fill_map(fill), {})
+    report = _report("maintenance", n + rejected, n, rejected, 0, before, after, _fill_map(fill), {})
     return Cleaned(filled, bad, report)
 
 

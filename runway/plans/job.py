@@ -63,10 +63,7 @@ def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact:
     done = in_parallel({n: (lambda n=n: clean_one(n)) for n in cleaning.TRANSFORMS}, workers)
     cleaned = {n: done[n][0] for n in cleaning.TRANSFORMS}
     rejects = {n: done[n][1] for n in cleaning.TRANSFORMS if done[n][1] is not None}
-    reports = [done[n][2] for n in cleaning.TRANSFORMS]
-    report = reports[0]
-    for r in reports[1:]:
-        report = report.unionByName(r)
+    report = cleaning.report_frame(spark, [done[n][2] for n in cleaning.TRANSFORMS])
     sinks.write_report(report, f"{root}/reports/quality_report")
     report = sinks.read_report(spark, f"{root}/reports/quality_report", cleaning.SOURCE_REPORT)
     return cleaned, rejects, report

@@ -298,10 +298,14 @@ class Warehouse:
              weather: DataFrame | None = None, workers: int = 5) -> dict[str, DataFrame]:
         """Dimensions first (facts read their keys), then facts (full refresh).
 
-        Loads that do not depend on each other run concurrently, in four waves.
+        Loads that do not depend on each other run concurrently, in three waves: the first-level
+        dimensions; then routes, weather and the maintenance fact (which needs only aircraft and the
+        seeded dimensions); then the bookings fact, followed in its own thread by the revenue fact
+        it feeds, next to the flights fact.
         """
         self.seed()
         t = self.table
+        statuses, mtypes = t("dim_statuses"), t("dim_maintenance_types")
         dims = in_parallel({
             "dim_airports": lambda: self.save("dim_airports", load_dim_airports(t("dim_airports"), bookings, flights)),
             "dim_aircraft": lambda: self.save("dim_aircraft", load_dim_aircraft(t("dim_aircraft"), bookings, flights)),
@@ -310,20 +314,24 @@ class Warehouse:
         }, workers)
         airports, aircraft, dates, passengers = (dims[n] for n in
                                                  ("dim_airports", "dim_aircraft", "dim_dates", "dim_passengers"))
-        wave2 = {"dim_flights": lambda: self.save("dim_flights", load_dim_flights(
-            t("dim_flights"), bookings, flights, airports, aircraft))}
+        wave2 = {
+            "dim_flights": lambda: self.save("dim_flights", load_dim_flights(
+                t("dim_flights"), bookings, flights, airports, aircraft)),
+            "fact_maintenance": lambda: self.save("fact_maintenance", build_fact_maintenance(
+                maintenance, aircraft, mtypes, statuses)),
+        }
         if weather is not None:
             wave2["dim_weather"] = lambda: self.save("dim_weather", load_weather_dim(t("dim_weather"), weather, airports))
         routes = in_parallel(wave2, workers)["dim_flights"]
-        statuses, mtypes = t("dim_statuses"), t("dim_maintenance_types")
-        facts = in_parallel({
-            "fact_bookings": lambda: self.save("fact_bookings", build_fact_bookings(
-                bookings, passengers, routes, airports, dates, statuses)),
+
+        def bookings_and_revenue():
+            fb = self.save("fact_bookings", build_fact_bookings(bookings, passengers, routes, airports, dates, statuses))
+            self.save("fact_revenue", build_fact_revenue(fb, statuses))
+
+        in_parallel({
+            "fact_bookings": bookings_and_revenue,
             "fact_flights": lambda: self.save("fact_flights", build_fact_flights(
                 flights, routes, airports, dates, statuses)),
-            "fact_maintenance": lambda: self.save("fact_maintenance", build_fact_maintenance(
-                maintenance, aircraft, mtypes, statuses)),
         }, workers)
-        self.save("fact_revenue", build_fact_revenue(facts["fact_bookings"], statuses))
         return {n: self.table(n) for n in
                 list(self.TABLES) + ["fact_bookings", "fact_flights", "fact_revenue", "fact_maintenance"]}
