@@ -348,11 +348,16 @@ def a1(spark, sf):
 
 
 @register("a2_final_report", """
-WITH g AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL)
-SELECT 'orders' AS source, CAST(sum(n) AS BIGINT) AS total_rows, 2 AS total_columns,
-       CAST(sum(n - 1) AS BIGINT) AS duplicate_count, CAST(0 AS BIGINT) AS empty_rows,
-       100.0 AS completeness_percent
-FROM g""")
+WITH g AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL),
+s AS (SELECT sum(n) AS total, sum(n - 1) AS dups,
+             coalesce(sum(n) FILTER (WHERE o_orderstatus IS NULL AND o_orderpriority IS NULL), 0) AS empty,
+             coalesce(sum(n) FILTER (WHERE o_orderstatus IS NULL), 0)
+             + coalesce(sum(n) FILTER (WHERE o_orderpriority IS NULL), 0) AS nulls
+      FROM g)
+SELECT 'orders' AS source, CAST(total AS BIGINT) AS total_rows, 2 AS total_columns,
+       CAST(dups AS BIGINT) AS duplicate_count, CAST(empty AS BIGINT) AS empty_rows,
+       (1 - CAST(nulls AS DOUBLE) / CAST(total * 2 AS DOUBLE)) * 100.0 AS completeness_percent
+FROM s""")
 def a2(spark, sf):
     o = _t(spark, sf, "orders")["orders"].select("o_orderstatus", "o_orderpriority")
     r = quality.validate_results(o, "orders", ["o_orderstatus", "o_orderpriority"])
