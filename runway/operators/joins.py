@@ -1,0 +1,26 @@
+"""Join helpers: a broadcast hint only for a side whose size has been checked.
+
+The seeded dimensions (statuses, maintenance types) are constants of the
+schema and are broadcast directly.  A dimension whose size depends on the
+data, such as the calendar of every date seen, is counted first: under the
+bound it is broadcast, above it the join is left to the planner (AQE's
+size-checked broadcast or a shuffle join).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# One row per calendar day: 100,000 days are about 270 years of dates.
+MAX_DATE_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` with a broadcast hint when it holds at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The count stops after ``max_rows + 1`` rows, and for a stored parquet
+    dimension it reads only the file footers.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

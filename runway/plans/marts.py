@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from runway.functions import expr as X
 from runway.operators import stats
+from runway.operators.joins import MAX_DATE_ROWS, bounded_broadcast
 
 
 def flights_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
@@ -19,7 +20,8 @@ def flights_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
     ff, df_, ap = t["fact_flights"], t["dim_flights"], t["dim_airports"]
     dep = ap.select(F.col("airport_id").alias("departure_airport_id"), F.col("airport_code").alias("departure"))
     arr = ap.select(F.col("airport_id").alias("arrival_airport_id"), F.col("airport_code").alias("arrival"))
-    dd = F.broadcast(t["dim_dates"].select(F.col("date_id").alias("flight_date_id"), F.col("full_date").alias("flight_date")))
+    dd = bounded_broadcast(t["dim_dates"].select(F.col("date_id").alias("flight_date_id"),
+                                                 F.col("full_date").alias("flight_date")), MAX_DATE_ROWS)
     ds = F.broadcast(t["dim_statuses"].select("status_id", F.col("status_code").alias("status")))
     ac = t["dim_aircraft"].select(F.col("aircraft_id").alias("_ac"), F.col("aircraft_code").alias("aircraft_id"))
     v = (ff.join(df_.select("flight_id", "flight_number", "departure_airport_id", "arrival_airport_id",
@@ -42,8 +44,8 @@ def bookings_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
     dep = ap.select(F.col("airport_id").alias("departure_airport_id"),
                     F.col("airport_code").alias("departure_airport"))
     arr = ap.select(F.col("airport_id").alias("arrival_airport_id"), F.col("airport_code").alias("arrival_airport"))
-    dd = F.broadcast(t["dim_dates"].select(F.col("date_id").alias("booking_date_id"),
-                                           F.col("full_date").alias("booking_date")))
+    dd = bounded_broadcast(t["dim_dates"].select(F.col("date_id").alias("booking_date_id"),
+                                                 F.col("full_date").alias("booking_date")), MAX_DATE_ROWS)
     ds = F.broadcast(t["dim_statuses"].select("status_id", F.col("status_code").alias("status")))
     ac = t["dim_aircraft"].select(F.col("aircraft_id").alias("_ac"), F.col("aircraft_code").alias("aircraft_type"))
     v = (fb.join(t["dim_passengers"], "passenger_id")

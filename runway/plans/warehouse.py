@@ -4,12 +4,13 @@ Functions here are pure: they take the cleaned sources and the current
 tables and return the new table images.  ``Warehouse`` stores them as
 parquet below one root with a staged overwrite.
 
-Join strategy: the seeded dimensions (statuses, maintenance types) and the
-date dimension (one row per calendar day) have proven small bounds and are
-broadcast explicitly.  Every other dimension grows with the data and is
-left to the planner: ``autoBroadcastJoinThreshold`` broadcasts it only when
-its measured size is below the limit, and AQE re-plans from the actual
-shuffle sizes; beyond the limit it is a shuffle join.
+Join strategy: the seeded dimensions (statuses, maintenance types) are
+constants and are broadcast explicitly; the date dimension (one row per
+calendar day seen) is counted and broadcast only under ``MAX_DATE_ROWS``.
+Every other dimension grows with the data and is left to the planner:
+``autoBroadcastJoinThreshold`` broadcasts it only when its measured size is
+below the limit, and AQE re-plans from the actual shuffle sizes; beyond the
+limit it is a shuffle join.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from runway import schemas as S
 from runway.functions import expr as X
 from runway.operators import dedupe
+from runway.operators.joins import MAX_DATE_ROWS, bounded_broadcast
 from runway.operators.keys import assign_keys
 from runway.operators.merge import insert_missing, upsert, upsert_on_key
 from runway.plans.stages import in_parallel
@@ -154,7 +156,8 @@ def build_fact_bookings(bookings: DataFrame, passengers: DataFrame, dim_flights:
     routes = route_codes(dim_flights, airports).select(
         "flight_id", "flight_number", F.col("dep_code").alias("departure_airport"),
         F.col("arr_code").alias("arrival_airport"))
-    day = F.broadcast(dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("booking_date_id")))
+    day = bounded_broadcast(dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("booking_date_id")),
+                            MAX_DATE_ROWS)
     st = statuses_for(statuses, "booking").withColumnRenamed("status_code", "status")
     j = (bookings.join(passengers.select("passenger_name", "passenger_id"), "passenger_name", "left")
          .join(routes, ["flight_number", "departure_airport", "arrival_airport"], "left")
@@ -178,7 +181,8 @@ def build_fact_flights(flights: DataFrame, dim_flights: DataFrame, airports: Dat
     """J1 x2 + J2 + N11, keys numbered in (date, flight, times) order."""
     routes = route_codes(dim_flights, airports).select(
         "flight_id", "flight_number", F.col("dep_code").alias("departure"), F.col("arr_code").alias("arrival"))
-    day = F.broadcast(dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("flight_date_id")))
+    day = bounded_broadcast(dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("flight_date_id")),
+                            MAX_DATE_ROWS)
     st = statuses_for(statuses, "flight").withColumnRenamed("status_code", "status")
     j = (flights.join(routes, ["flight_number", "departure", "arrival"], "left")
          .withColumn("_day", X.to_date("flight_date"))

@@ -65,3 +65,17 @@ def test_normalisation_stays_in_codegen(spark):
     df = spark.createDataFrame([("svo",)], "x string").select(X.normalize_airport("x").alias("a"))
     p = plan(df)
     assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_date_dimension_broadcast_only_under_its_bound(spark):
+    from runway.operators.joins import bounded_broadcast
+    fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
+    dim = spark.range(50).select(F.col("id").alias("k"))
+    with_hint = plan(fact.join(bounded_broadcast(dim, 50), "k"))
+    assert "BroadcastHashJoin" in with_hint
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over = plan(fact.join(bounded_broadcast(dim, 49), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
