@@ -373,7 +373,7 @@ def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
 # ------------------------------------------------------------ grouped exact quantiles
 
 def grouped_quantiles(df: DataFrame, key: str, value: str, probs: list[float], *, buckets: int = 1024,
-                      gather_limit: int = 100_000, max_passes: int = 64) -> DataFrame:
+                      gather_limit: int = 100_000, max_passes: int = 64, stage: bool = True) -> DataFrame:
     """Exact quantiles of ``value`` per ``key`` (linear interpolation; NULL/NaN skipped).
 
     The same histogram narrowing as ``summarize``, run per group as joins:
@@ -383,13 +383,19 @@ def grouped_quantiles(df: DataFrame, key: str, value: str, probs: list[float], *
     broadcast when its measured size allows; otherwise AQE splits a hot
     group), and aggregates bucket counts with partial aggregation, so no
     task ever holds a group's values.  Per-range windows see at most
-    ``buckets`` or ``gather_limit`` rows.  Output: key, q0, q1, ...
+    ``buckets`` or ``gather_limit`` rows.  With ``stage`` the (group, value)
+    pairs are written once to the shared folder, so the passes scan two
+    columns instead of re-running ``df``'s plan (a star join, say); pass
+    ``stage=False`` when ``df`` is already such a scan.  Output: key, q0, q1, ...
     """
     from pyspark.sql import Window
 
     v = F.col(value).cast("double")
     vals = df.select(F.col(key).alias("g"), v.alias("v")).where(
         F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    if stage:
+        from runway.sources.sinks import materialize
+        vals = materialize(vals, "quantile-values")
     base = vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     targets = []
     for i, p in enumerate(probs):

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from runway.functions import expr as X
 from runway.operators import dedupe, quality, stats
 from runway.schemas import REQUIRED
-from runway.session import shared_path
+from runway.sources.sinks import materialize
 
 FILL_STRUCT = T.StructType([
     T.StructField("method", T.StringType()),
@@ -52,17 +52,6 @@ class Cleaned:
     report: tuple  # one row of SOURCE_REPORT; ``report_frame`` turns the rows of all sources into one table
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of it (cuts lineage)."""
-    path = shared_path(df.sparkSession, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    # The schema is passed so that an empty result (no files) reads back too.
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def standardize_formats(df: DataFrame) -> DataFrame:
     """N1-N3 on the columns present."""
     cols = set(df.columns)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from runway.functions import expr as X
 from runway.operators import stats
 from runway.operators.joins import MAX_DATE_ROWS, bounded_broadcast
+from runway.sources.sinks import materialize
 
 
 def flights_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
@@ -129,11 +130,14 @@ def mean_median_count_by(df: DataFrame, key: str, value: str, exact: bool = True
     ``stats.grouped_quantiles`` (no task holds a group's values);
     ``exact=False`` uses ``percentile_approx`` with bounded memory per group.
     """
-    base = df.where(F.col(key).isNotNull())
+    base = df.where(F.col(key).isNotNull()).select(key, value)
+    if exact:
+        # Both aggregates and every search pass read this two-column table, not ``df``'s joins.
+        base = materialize(base, "group-values")
     v = F.col(value).cast("double")
     summary = base.groupBy(key).agg(F.avg(v).alias("mean"), F.count(v).alias("count"))
     if exact:
-        med = stats.grouped_quantiles(base, key, value, [0.5]).withColumnRenamed("q0", "median")
+        med = stats.grouped_quantiles(base, key, value, [0.5], stage=False).withColumnRenamed("q0", "median")
     else:
         med = base.groupBy(key).agg(F.percentile_approx(v, 0.5, 10_000).cast("double").alias("median"))
     return summary.join(med, key, "left").select(key, "mean", "median", "count").orderBy(key)

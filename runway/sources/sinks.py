@@ -47,6 +47,19 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = N
     return path
 
 
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` below the shared folder and return a scan of it.
+
+    Cuts lineage for results that several later jobs read: they scan the
+    written columns instead of recomputing the plan (joins, shuffles) each time.
+    """
+    from runway.session import shared_path
+    path = shared_path(df.sparkSession, name)
+    write_parquet(df, path, partition_by=partition_by)
+    # The schema is passed so that an empty result (no files) reads back too.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, Path = _fs(spark, path)
     return fs.exists(Path(path))
