@@ -104,11 +104,12 @@ def frequency(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
 def frequency_share(df: DataFrame, col: str) -> DataFrame:
     """A11 + N14: value counts with their share of the total as text ('12.5%').
 
-    The total is a scalar from a one-row aggregate, used as a literal (no
-    join and no unpartitioned window).
+    The view is aggregated once: the counts (one row per distinct value) are
+    staged, and the total is their sum, used as a literal (no join, no
+    unpartitioned window, no second pass over ``df``).
     """
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).count()
-    total = df.where(F.col(col).isNotNull()).count()
+    counts = materialize(df.where(F.col(col).isNotNull()).groupBy(col).count(), "value-counts")
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()["n"]
     return (counts.select(col, "count", X.percent_text("count", F.lit(total)).alias("percent"))
             .orderBy(F.col("count").desc(), F.col(col)))
 
