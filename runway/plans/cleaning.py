@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runway.functions import expr as X
+from runway.functions.expr import null_count
 from runway.operators import dedupe, quality, stats
 from runway.schemas import REQUIRED
 from runway.sources.sinks import materialize
@@ -78,11 +79,29 @@ def split_bad_rows(df: DataFrame, name: str, max_nulls: int = 2,
     return good, bad
 
 
-def _split_counts(good: DataFrame, bad: DataFrame) -> tuple[int, int]:
-    """Row counts of both sides of a split in one job."""
-    both = good.select(F.lit(False).alias("b")).unionAll(bad.select(F.lit(True).alias("b")))
-    got = {r["b"]: r["count"] for r in both.groupBy("b").count().collect()}
-    return got.get(False, 0), got.get(True, 0)
+def _split_summary(good: DataFrame, bad: DataFrame, required: list[str]) -> tuple[int, int, float | None]:
+    """Rows on each side of a split and the completeness of ``required`` over both, one job.
+
+    Completeness is that of ``quality.completeness_percent`` on all rows of the
+    source (good and bad together): the NULL counts are integers summed per
+    side, so the result is the same number.
+    """
+    missing = any(c not in good.columns for c in required)
+    measured = bool(required) and not missing
+    nulls = null_count(required, stats.float_columns(good)) if measured else F.lit(0)
+    both = good.select(F.lit(False).alias("b"), nulls.alias("z")).unionAll(
+        bad.select(F.lit(True).alias("b"), nulls.alias("z")))
+    got = {r["b"]: (r["n"], r["z"]) for r in
+           both.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum("z").alias("z")).collect()}
+    (n_good, z_good), (n_bad, z_bad) = got.get(False, (0, 0)), got.get(True, (0, 0))
+    rows = n_good + n_bad
+    if missing:
+        before = 0.0
+    elif not required or not rows:
+        before = None
+    else:
+        before = (1 - (z_good + z_bad) / (rows * len(required))) * 100
+    return n_good, n_bad, before
 
 
 def _fill_map(fill: DataFrame) -> dict:
@@ -109,8 +128,8 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
     required = REQUIRED[source]
     good, bad = split_bad_rows(df, source, stage=stage)
     # Both figures read the staged rows (all of the source), not the source again.
-    before = quality.completeness_percent(good.unionByName(bad.drop("null_count")), required)
-    initial, rejected = _split_counts(good, bad)
+    # One job over the staged split: both row counts and completeness before cleaning.
+    initial, rejected, before = _split_summary(good, bad, required)
     if dedupe_after_standardize:
         cleaned = dedupe.dedupe_rows(standardize_formats(good), ignore_cols)
     else:
@@ -187,8 +206,7 @@ def standardize_maintenance(df: DataFrame) -> DataFrame:
 def transform_maintenance(df: DataFrame, exact: bool = True, stage: bool = True, **_) -> Cleaned:
     """T5: completeness, bad-row split, standardisation, imputation; no dedupe."""
     good, bad = split_bad_rows(df, "maintenance", stage=stage)
-    before = quality.completeness_percent(good.unionByName(bad.drop("null_count")), REQUIRED["maintenance"])
-    n, rejected = _split_counts(good, bad)
+    n, rejected, before = _split_summary(good, bad, REQUIRED["maintenance"])
     std = standardize_maintenance(good)
     if stage:
         std = materialize(std, "maintenance-std")
