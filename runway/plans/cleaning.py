@@ -127,8 +127,7 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
                        exact: bool = True, stage: bool = True) -> Cleaned:
     required = REQUIRED[source]
     good, bad = split_bad_rows(df, source, stage=stage)
-    # Both figures read the staged rows (all of the source), not the source again.
-    # One job over the staged split: both row counts and completeness before cleaning.
+    # One job over the staged split (all of the source): both row counts and completeness before cleaning.
     initial, rejected, before = _split_summary(good, bad, required)
     if dedupe_after_standardize:
         cleaned = dedupe.dedupe_rows(standardize_formats(good), ignore_cols)
@@ -136,11 +135,11 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
         cleaned = standardize_formats(dedupe.dedupe_rows(good, ignore_cols))
     if stage:
         cleaned = materialize(cleaned, f"{source}-std")
-    deduped = cleaned.count()
     filled, fill = stats.smart_fill(cleaned, exclude=set(ignore_cols or ()), exact=exact)
     outliers = stats.detect_outliers(filled, outlier_cols, exact)
-    # The report needs only completeness from the final check: one aggregate, no shuffle.
-    after = quality.completeness_percent(filled, filled.columns)
+    # The report needs only completeness from the final check; imputation keeps every row, so the
+    # same aggregate gives the row count after dedupe: one job, no shuffle.
+    deduped, after = quality.rows_and_completeness(filled)
     report = _report(source, initial, deduped, rejected, initial - deduped, before,
                      after, _fill_map(fill), _outlier_map(outliers))
     return Cleaned(filled, bad, report)
