@@ -215,3 +215,17 @@ def test_assign_keys_property(spark, keys, start):
     df = spark.createDataFrame([(k,) for k in keys], "k long")
     rows = assign_keys(df, ["k"], "sk", start=start).collect()
     assert sorted((r.k, r.sk) for r in rows) == [(k, start + i + 1) for i, k in enumerate(sorted(keys))]
+
+
+def test_split_summary_equals_counts_and_completeness(spark):
+    from runway.plans.cleaning import _split_summary
+    df = bookings_df(spark)
+    good, bad = quality.mark_bad_rows(df, 2)
+    bad = bad.drop("null_count")
+    required = ["passenger_name", "ticket_price", "status"]
+    n_good, n_bad, before = _split_summary(good, bad, required)
+    assert (n_good, n_bad) == (good.count(), bad.count())
+    assert before == quality.completeness_percent(good.unionByName(bad), required)
+    assert _split_summary(good, bad, ["absent"])[2] == 0.0
+    empty = good.limit(0)
+    assert _split_summary(empty, empty, required) == (0, 0, None)
