@@ -250,9 +250,18 @@ def detect_outliers(df: DataFrame, columns: list[str], exact: bool = True) -> Da
     return spark.createDataFrame(rows, OUTLIER_SCHEMA)
 
 
-def outlier_rows(df: DataFrame, col: str, keep: list[str], exact: bool = True) -> DataFrame:
-    """the rows outside the IQR bounds of ``col``, projected to ``keep``."""
-    bounds = iqr_bounds(df, [col], exact)
+def outlier_rows(df: DataFrame, col: str, keep: list[str], exact: bool = True, stage: bool = False) -> DataFrame:
+    """the rows outside the IQR bounds of ``col``, projected to ``keep``.
+
+    ``stage`` computes the bounds (several passes when exact) on a staged copy
+    of ``col`` alone: worth it when ``df`` is a join such as a star view, not
+    when it is a plain scan.
+    """
+    source = df
+    if stage and exact:
+        from runway.sources.sinks import materialize
+        source = materialize(df.select(col), "outlier-values")
+    bounds = iqr_bounds(source, [col], exact)
     if not bounds:
         return df.select(*keep).limit(0)
     return df.where(outlier_predicate(col, bounds[0])).select(*keep)

@@ -245,7 +245,7 @@ def dashboard(t: dict[str, DataFrame], report: DataFrame | None = None, *, cache
         "price_stats": price_stats(bv, exact),
         "null_profile": _null_profile(bv),
         "price_outliers": stats.outlier_rows(bv, "ticket_price", ["booking_ref", "passenger_name", "ticket_price"],
-                                             exact),
+                                             exact, stage=not cache),
         "flight_status_share": frequency_share(fv, "status"),
         "delay_summary": delay_summary(fv),
         "filter_bounds": filter_bounds(bv),
