@@ -9,12 +9,31 @@ size-checked broadcast or a shuffle join).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # One row per calendar day: 100,000 days are about 270 years of dates.
 MAX_DATE_ROWS = 100_000
 
+# (plan hash, input files, bound) -> capped row count.  A rewritten table has new file
+# names, so an entry never outlives the data it was counted on.
+_COUNTS: dict[tuple, int] = {}
+_COUNTS_LOCK = threading.Lock()
+
+
+def capped_count(df: DataFrame, max_rows: int) -> int:
+    """Rows of ``df``, counting no further than ``max_rows + 1``; remembered per plan and file set."""
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    with _COUNTS_LOCK:
+        if key in _COUNTS:
+            return _COUNTS[key]
+    n = df.limit(max_rows + 1).count()
+    with _COUNTS_LOCK:
+        _COUNTS[key] = n
+    return n
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint when it holds at most ``max_rows`` rows, else ``df`` unchanged.
@@ -22,5 +41,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     The count stops after ``max_rows + 1`` rows, and for a stored parquet
     dimension it reads only the file footers.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if capped_count(df, max_rows) <= max_rows else df
