@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as E
 import tools.check_oracle as checker
 from tools.check_oracle import TABLES, digest
+from tools.plan_audit import audit, plan_text
 
 checker.EXACT = True  # floats compared bit for bit, as a value hash would
 
@@ -39,6 +40,10 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
+    # Plan shape: no Cartesian or nested-loop join, no window or sort funnelled into one
+    # partition, no Python step.
+    shape = audit(plan_text(df))
+    assert (shape["cross"], shape["single"], shape["python"]) == (0, 0, 0), shape
     rows = [tuple(r) for r in df.collect()]
     cur = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
