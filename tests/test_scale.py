@@ -79,3 +79,13 @@ def test_date_dimension_broadcast_only_under_its_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
+
+
+def test_capped_count_is_recounted_after_a_rewrite(spark, tmp_dir):
+    from runway.operators.joins import capped_count
+    from runway.sources import sinks
+    path = f"{tmp_dir}/dim"
+    sinks.overwrite_table(spark.range(10).toDF("k"), path)
+    assert capped_count(spark.read.parquet(path), 100) == 10
+    sinks.overwrite_table(spark.range(500).toDF("k"), path)
+    assert capped_count(spark.read.parquet(path), 100) == 101  # stops one past the bound
