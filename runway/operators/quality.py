@@ -6,7 +6,7 @@ with ``stack`` so a wide table yields a long, bounded result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,14 +65,21 @@ def completeness_percent(df: DataFrame, cols: list[str]) -> float | None:
     return (1 - row["nulls"] / (row["rows"] * len(cols))) * 100
 
 
-def rows_and_completeness(df: DataFrame) -> tuple[int, float | None]:
-    """Row count and completeness over all columns, one aggregate."""
-    cols = df.columns
-    row = df.agg(F.count(F.lit(1)).alias("rows"),
-                 F.sum(null_count(cols, float_columns(df))).alias("nulls")).first()
+def completeness_columns(df: DataFrame) -> list[Column]:
+    """Aggregate columns ``rows`` and ``nulls`` over all of ``df``'s columns (see ``completeness_of``)."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum(null_count(df.columns, float_columns(df))).alias("nulls")]
+
+
+def completeness_of(row, n_columns: int) -> tuple[int, float | None]:
+    """Row count and completeness percent from an aggregate row holding ``completeness_columns``."""
     if not row["rows"]:
         return 0, None
-    return row["rows"], (1 - row["nulls"] / (row["rows"] * len(cols))) * 100
+    return row["rows"], (1 - row["nulls"] / (row["rows"] * n_columns)) * 100
+
+
+def rows_and_completeness(df: DataFrame) -> tuple[int, float | None]:
+    """Row count and completeness over all columns, one aggregate."""
+    return completeness_of(df.agg(*completeness_columns(df)).first(), len(df.columns))
 
 
 def flag_bad_rows(df: DataFrame, max_nulls: int = 2, flag: str = "_bad") -> DataFrame:

@@ -232,22 +232,38 @@ def outlier_predicate(col: str, b: Bounds) -> Column:
     return (v < F.lit(b.lower)) | (v > F.lit(b.upper))
 
 
+def outlier_search(df: DataFrame, columns: list[str], exact: bool = True) -> list[tuple[Bounds, ColumnSummary]]:
+    """A3's statistics: one summary (count, min, max, mean, quartiles) covering every numeric column."""
+    present = set(numeric_columns(df))
+    summaries = summarize(df, [c for c in columns if c in present], [0.25, 0.5, 0.75], exact=exact)
+    return [(Bounds(s.column, *s.quantiles), s) for s in summaries]
+
+
+def outlier_count_columns(found: list[tuple[Bounds, ColumnSummary]]) -> list[Column]:
+    """Aggregate columns ``_out{i}``: rows outside each column's bounds (bounds as literals)."""
+    return [F.count_if(outlier_predicate(b.column, b)).alias(f"_out{i}") for i, (b, _) in enumerate(found)]
+
+
+def outlier_rows_of(found: list[tuple[Bounds, ColumnSummary]], agg_row) -> list[tuple]:
+    """Rows of OUTLIER_SCHEMA from the search and an aggregate row holding ``outlier_count_columns``."""
+    return [(b.column, agg_row[f"_out{i}"], b.lower, b.upper, s.min, s.max, s.mean, b.median)
+            for i, (b, s) in enumerate(found)]
+
+
 def detect_outliers(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """A3: IQR bounds and outlier count, min, max, mean, median per numeric column.
 
     One summary (count, min, max, mean, quartiles) covers all columns; the
     outlier counts are then a single aggregate with the bounds as literals.
+    A caller with another aggregate over ``df`` to run can put
+    ``outlier_count_columns`` into it instead and save the pass.
     """
     spark = df.sparkSession
-    present = set(numeric_columns(df))
-    summaries = summarize(df, [c for c in columns if c in present], [0.25, 0.5, 0.75], exact=exact)
-    if not summaries:
+    found = outlier_search(df, columns, exact)
+    if not found:
         return spark.createDataFrame([], OUTLIER_SCHEMA)
-    bounds = [Bounds(s.column, *s.quantiles) for s in summaries]
-    row = df.agg(*[F.count_if(outlier_predicate(b.column, b)).alias(f"c{i}") for i, b in enumerate(bounds)]).first()
-    rows = [(b.column, row[f"c{i}"], b.lower, b.upper, s.min, s.max, s.mean, b.median)
-            for i, (b, s) in enumerate(zip(bounds, summaries))]
-    return spark.createDataFrame(rows, OUTLIER_SCHEMA)
+    row = df.agg(*outlier_count_columns(found)).first()
+    return spark.createDataFrame(outlier_rows_of(found, row), OUTLIER_SCHEMA)
 
 
 def outlier_rows(df: DataFrame, col: str, keep: list[str], exact: bool = True, stage: bool = False) -> DataFrame:

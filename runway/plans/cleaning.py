@@ -108,9 +108,14 @@ def _fill_map(fill: DataFrame) -> dict:
     return {r["column"]: (r["method"], r["value"], r["filled"]) for r in fill.collect()}
 
 
-def _outlier_map(out: DataFrame) -> dict:
-    return {r["column"]: (r["count"], r["lower_bound"], r["upper_bound"], r["min"], r["max"],
-                          r["mean"], r["median"]) for r in out.collect()}
+def _outliers_and_completeness(df: DataFrame, outlier_cols: list[str], exact: bool):
+    """A3 outliers plus row count and completeness of ``df``: after the quantile search, the outlier
+    counts and the completeness share one aggregate, so ``df`` is read once for both."""
+    found = stats.outlier_search(df, outlier_cols, exact)
+    row = df.agg(*quality.completeness_columns(df), *stats.outlier_count_columns(found)).first()
+    rows, after = quality.completeness_of(row, len(df.columns))
+    outliers = {r[0]: tuple(r[1:]) for r in stats.outlier_rows_of(found, row)}
+    return outliers, rows, after
 
 
 def _report(source, initial, final, rejected, dups, before, after, fills, outliers) -> tuple:
@@ -136,12 +141,9 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
     if stage:
         cleaned = materialize(cleaned, f"{source}-std")
     filled, fill = stats.smart_fill(cleaned, exclude=set(ignore_cols or ()), exact=exact)
-    outliers = stats.detect_outliers(filled, outlier_cols, exact)
-    # The report needs only completeness from the final check; imputation keeps every row, so the
-    # same aggregate gives the row count after dedupe: one job, no shuffle.
-    deduped, after = quality.rows_and_completeness(filled)
+    outliers, deduped, after = _outliers_and_completeness(filled, outlier_cols, exact)
     report = _report(source, initial, deduped, rejected, initial - deduped, before,
-                     after, _fill_map(fill), _outlier_map(outliers))
+                     after, _fill_map(fill), outliers)
     return Cleaned(filled, bad, report)
 
 
@@ -178,9 +180,8 @@ def transform_weather(df: DataFrame, exact: bool = True, **_) -> Cleaned:
     if "airport_code" in df.columns:
         fixes["airport_code"] = X.normalize_airport("airport_code")
     clean = df.withColumns(fixes) if fixes else df
-    outliers = stats.detect_outliers(clean, ["temperature", "humidity", "wind_speed"], exact)
-    n, after = quality.rows_and_completeness(clean)
-    report = _report("weather", n, n, 0, 0, None, after, {}, _outlier_map(outliers))
+    outliers, n, after = _outliers_and_completeness(clean, ["temperature", "humidity", "wind_speed"], exact)
+    report = _report("weather", n, n, 0, 0, None, after, {}, outliers)
     return Cleaned(clean, clean.limit(0), report)
 
 
