@@ -229,3 +229,16 @@ def test_split_summary_equals_counts_and_completeness(spark):
     assert _split_summary(good, bad, ["absent"])[2] == 0.0
     empty = good.limit(0)
     assert _split_summary(empty, empty, required) == (0, 0, None)
+
+
+def test_outliers_and_completeness_equal_separate_passes(spark):
+    from runway.plans.cleaning import _outliers_and_completeness
+    df = spark.range(200).select(F.col("id"), F.when(F.col("id") % 9 == 0, None)
+                                 .otherwise((F.col("id") % 23).cast("double")).alias("v"),
+                                 F.when(F.col("id") == 7, 1000.0).otherwise(F.col("id") * 1.0).alias("w"))
+    outliers, rows, after = _outliers_and_completeness(df, ["v", "w", "absent"], True)
+    expected = {r["column"]: (r["count"], r["lower_bound"], r["upper_bound"], r["min"], r["max"], r["mean"],
+                              r["median"]) for r in stats.detect_outliers(df, ["v", "w", "absent"]).collect()}
+    assert outliers == expected and outliers["w"][0] == 1
+    assert (rows, after) == quality.rows_and_completeness(df)
+    assert _outliers_and_completeness(df, [], True)[0] == {}
