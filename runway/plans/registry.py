@@ -382,9 +382,12 @@ SELECT 'value', (SELECT count(*) FROM events, e WHERE value < q1 - 1.5 * (q3 - q
        round((SELECT avg(value) FROM events), 4), round(med, 4)
 FROM e""")
 def a3(spark, sf):
+    from runway.plans.stages import in_parallel
     t = _t(spark, sf, "orders", "events")
-    parts = [stats.detect_outliers(t["orders"], ["o_totalprice"]), stats.detect_outliers(t["events"], ["value"])]
-    out = parts[0].unionByName(parts[1])
+    # Two independent searches over two tables: their jobs are submitted side by side.
+    parts = in_parallel({"orders": lambda: stats.detect_outliers(t["orders"], ["o_totalprice"]),
+                         "events": lambda: stats.detect_outliers(t["events"], ["value"])})
+    out = parts["orders"].unionByName(parts["events"])
     # "+ 0.0" turns a negative zero into 0.0 on both sides (engines differ on the sign of a zero minimum).
     return out.select("column", "count", F.round("lower_bound", 4).alias("lower_bound"),
                       F.round("upper_bound", 4).alias("upper_bound"), (F.col("min") + 0.0).alias("min"),
