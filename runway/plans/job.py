@@ -36,12 +36,14 @@ def extract_raw(spark: SparkSession, config: dict, root: str) -> dict[str, DataF
     the source schema, so the later stages always find all five.
     """
     frames = readers.extract_sources(spark, config, S.SOURCE_SCHEMAS)
-    out = {}
-    for name, df in frames.items():
+
+    def land(name: str) -> DataFrame:
         path = f"{root}/raw/{name}_raw"
-        sinks.write_parquet(df, path)
-        out[name] = spark.read.schema(S.SOURCE_SCHEMAS[name]).parquet(path)
-    return out
+        sinks.write_parquet(frames[name], path)
+        return spark.read.schema(S.SOURCE_SCHEMAS[name]).parquet(path)
+
+    # The sources are independent: their writes are submitted side by side.
+    return in_parallel({name: (lambda name=name: land(name)) for name in frames})
 
 
 def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True,
