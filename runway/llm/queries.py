@@ -2,10 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing
-from .tables import load
+from . import bpe, mixing, quality, simhash, toxicity
+from .tables import crc32_mod, load
+
+
+#: Vocabulary of the byte-level BPE.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document: three words, three bits."""
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, decoded again: number of ids and digests of both."""
+    return bpe.encode(load(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, digests=True)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels outside the held-out quarter."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, learn=crc32_mod(F.col("doc_id"), 4) != 2)
+    scored = docs.select("doc_id", quality.scorer(spark, model)("text").alias("score"))
+    return scored.select("doc_id", (crc32_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +39,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op6_mixing,)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fifth."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, learn=crc32_mod(F.col("doc_id"), 5) != 0)
+    scored = docs.select("doc_id", toxicity.scorer(spark, model)("text").alias("score"))
+    return scored.select("doc_id", (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op6_mixing, op9_toxicity)}
 
 ORACLE = {
     "op6_mixing": r"""
