@@ -35,11 +35,18 @@ class Block:
         self.bits, self.grams = bits, grams
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Position and bucket of every plain word."""
+        """Position and bucket of every plain word, and again of every word that repeats the one before it.
+
+        Of all word pairs only those repeats are features; they share bucket 0, whatever the word.
+        """
         plain = _PLAIN[self.x]
         edge = np.diff(plain.astype(np.int8), prepend=np.int8(0))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        return starts, (span_hashes(self.x, starts, ends) >> np.uint64(64 - self.bits)).astype(np.int64)
+        hashes = span_hashes(self.x, starts, ends)
+        row = np.searchsorted(self.starts, starts, side="right")
+        again = 1 + np.flatnonzero((hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1]))
+        bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        return np.concatenate([starts, starts[again]]), np.concatenate([bucket, np.zeros(len(again), dtype=np.int64)])
 
     def ngrams(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each n: the bucket at every position, and which positions count."""
@@ -60,8 +67,8 @@ class Block:
         """At each position the sum of the table's values and the number of its features."""
         value, count = np.zeros(len(self.x)), np.zeros(len(self.x), dtype=np.int64)
         at, bucket = self.words()
-        value[at] += table[bucket]
-        count[at] += 1
+        np.add.at(value, at, table[bucket])
+        np.add.at(count, at, 1)
         for bucket, valid in self.ngrams():
             # An n-gram that begins with the space between two words counts where the second begins.
             value[1:len(bucket) + 1] += np.where(valid, table[bucket], 0)
@@ -85,8 +92,8 @@ def feature_blocks(column: pa.Array, bits: int, grams: tuple[int, ...], lower: b
         yield Block(row, buf, offsets, bits, grams, lower), ended
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int) -> DataFrame:
-    """doc_id, text and label (0 or 1) of at most ``per_class`` documents of each label.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: tuple[int, int]) -> DataFrame:
+    """doc_id, text and label (0 or 1) of at most ``per_class`` documents of labels 0 and 1.
 
     ``learn`` says which rows of ``labels`` may be used.  A document with contradicting labels is left out.  Ids are
     taken in the order of a hash, so the sample is the same on every run and spread over the whole table.
@@ -94,9 +101,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     known = labels.where(learn & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min(label).cast("int").alias("_label"), F.max(label).cast("int").alias("_most")).where("_label = _most")
     spread = known.withColumn("_spread", F.xxhash64("doc_id"))
-    chosen = [spread.where(F.col("_label") == y).orderBy("_spread", "doc_id").limit(per_class) for y in (0, 1)]
+    chosen = [spread.where(F.col("_label") == y).orderBy("_spread", "doc_id").limit(per_class[y]) for y in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1]).select(F.col("doc_id").alias("_id"), "_label")
     rows = docs.select(F.col("doc_id"), F.col("text")).where(F.col("text").isNotNull())
-    # At most 2 * per_class ids, so the broadcast is bounded; of repeated ids one text stays.
+    # At most sum(per_class) ids, so the broadcast is bounded; of repeated ids one text stays.
     joined = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     return joined.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("_label").alias("label"))
