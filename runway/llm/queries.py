@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, simhash, toxicity
+from . import bpe, lm, mixing, quality, simhash, toxicity
 from .tables import crc32_mod, load
 
 
@@ -34,6 +34,14 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document under a Kneser-Ney bigram model of four fifths of them."""
+    docs = load(spark, sf_dir, "documents")
+    model = lm.fit(docs, learn=crc32_mod(F.col("doc_id"), 5) != 1)
+    return lm.score(docs, model).select("doc_id", (crc32_mod(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known",
+                                        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to weights 1, 2, 3: what the mix takes of every document."""
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -48,7 +56,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op6_mixing, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op5_language_model, op6_mixing, op9_toxicity)}
 
 ORACLE = {
     "op6_mixing": r"""
