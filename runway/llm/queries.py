@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lm, mixing, quality, simhash, toxicity
+from . import bpe, imi, lm, mixing, quality, simhash, topk, toxicity
 from .tables import crc32_mod, load
 
 
@@ -34,6 +34,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products for every fiftieth vector."""
+    return topk.search(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of every document under a Kneser-Ney bigram model of four fifths of them."""
     docs = load(spark, sf_dir, "documents")
@@ -47,6 +52,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth vector."""
+    return imi.search(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels outside the held-out fifth."""
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
@@ -56,9 +66,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op5_language_model, op6_mixing, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op9_toxicity)}
 
 ORACLE = {
+    "op4_topk": r"""
+WITH parts AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) AS i, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM embeddings
+  WHERE len(embedding) = (SELECT mode(len(embedding)) FROM embeddings)
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op6_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
