@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imi, lm, mixing, quality, simhash, topk, toxicity
+from . import bpe, imi, lm, mixing, pages, quality, simhash, topk, toxicity
 from .tables import crc32_mod, load
 
 
@@ -57,6 +57,11 @@ def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imi.search(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(load(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels outside the held-out fifth."""
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
@@ -66,7 +71,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity)}
 
 ORACLE = {
     "op4_topk": r"""
