@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -30,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lcs import common_places
 from .tables import running_totals, stage
 
 # Names of HTML elements and of roles, and words common in class and id attributes.
@@ -120,35 +120,9 @@ def lines(html: str | None) -> list[tuple[str, int]]:
     return found
 
 
-def common_lines(a: list[int], b: list[int]) -> list[int]:
-    """Places of ``a`` that a longest common subsequence with ``b`` uses; bit-parallel over the lines that both have."""
-    both = set(a) & set(b)
-    places = [i for i, x in enumerate(a) if x in both]
-    b = [x for x in b if x in both]
-    masks: Counter[int] = Counter()
-    for bit, i in enumerate(places):
-        masks[a[i]] |= 1 << bit
-    ones = (1 << len(places)) - 1
-    rows, v = [], ones  # bit i of a row is 0 where the subsequence with a[:i + 1] is longer than with a[:i]
-    for x in b:
-        u = v & masks[x]
-        v = ((v + u) | (v - u)) & ones
-        rows.append(v)
-    i, j, used = len(places), len(b), []
-    while i and j:
-        if rows[j - 1] >> (i - 1) & 1:
-            i -= 1
-        elif j > 1 and not rows[j - 2] >> (i - 1) & 1:
-            j -= 1
-        else:
-            used.append(places[i - 1])
-            i, j = i - 1, j - 1
-    return used[::-1]
-
-
 def shared_open_lines(page: list[tuple[int, int]], other: list[int]) -> list[int]:
     """Places of the open lines that the page shares with its neighbour; none if it shares them all."""
-    shared = [i for i in common_lines([h for h, _ in page], other) if page[i][1] == OPEN]
+    shared = [i for i, _ in common_places([h for h, _ in page], other) if page[i][1] == OPEN]
     return [] if len(shared) == sum(kind == OPEN for _, kind in page) else shared
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imi, lm, mixing, pages, quality, simhash, topk, toxicity
+from . import bpe, imi, lm, mixing, pages, quality, simhash, substrings, topk, toxicity
 from .tables import crc32_mod, load
 
 
@@ -71,7 +71,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity)}
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents repeat from earlier ones, at a similarity of 0.8 or more."""
+    return substrings.passages(load(spark, sf_dir, "documents"), least=50, similarity=0.8)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity, op10_substrings)}
 
 ORACLE = {
     "op4_topk": r"""

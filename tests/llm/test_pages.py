@@ -5,6 +5,7 @@ from html import unescape
 from pyspark.sql import functions as F
 
 from runway.llm import pages, queries
+from runway.llm.lcs import common_places
 
 SITE = """<!DOCTYPE html><html><head><title>T</title><style>p{{x:1}}</style><script>var a="</p><article>";</script></head><body>
 <header><h1>Site name</h1></header><nav><ul><li><a href="/a">Menu {i}</a></li></ul></nav><!-- <p>commented</p> --><div class="ad big">Buy {i}!</div>
@@ -37,14 +38,13 @@ def brute_lcs(a, b):
     return t[-1][-1]
 
 
-def test_common_lines_is_a_longest_common_subsequence():
+def test_common_places_are_a_longest_common_subsequence():
     rng = random.Random(3)
     for n in range(200):
         a, b = ([rng.randrange(n % 9 + 1) for _ in range(rng.randrange(30))] for _ in range(2))
-        used = pages.common_lines(a, b)
-        assert len(used) == brute_lcs(a, b)
-        rest = iter(b)
-        assert all(a[i] in rest for i in used)
+        used = common_places(a, b)
+        assert len(used) == brute_lcs(a, b) and all(a[i] == b[j] for i, j in used)
+        assert all(x < y for u, v in zip(used, used[1:]) for x, y in zip(u, v))
 
 
 def test_unmarked_lines_shared_with_the_nearest_page_go(spark):
