@@ -1 +1,8 @@
 """runway: an airline data warehouse expressed as Spark DataFrame operations."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel by value: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

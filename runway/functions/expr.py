@@ -10,9 +10,14 @@ from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
+#: Every character that Unicode calls white space.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
 # ---- Fixed values: these must equal the reference's lookup tables. --------
 # Airport names and codes, lower-case key -> IATA code.
 AIRPORT_CODES = {
@@ -44,6 +49,14 @@ DAY_NAMES_RU = {
     "Thursday": "Четверг", "Friday": "Пятница", "Saturday": "Суббота",
     "Sunday": "Воскресенье",
 }
+
+# Texts that stand for a missing cell in CSV files, as pandas reads them by default.
+MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                 "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+# Written forms of times beside the ISO ones; month first where slashes leave it open, as pandas has it.
+TIME_FORMS = ["d.M.yyyy[ H:mm[:ss]]", "M/d/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "yyyyMMdd[ HHmmss]",
+              "d MMM yyyy[ H:mm[:ss]]", "MMM d, yyyy[ H:mm[:ss]]"]
 # ---------------------------------------------------------------------------
 
 
@@ -56,8 +69,8 @@ def _map_literal(mapping: dict[str, str]) -> Column:
 
 
 def strip_ws(c: ColumnOrName) -> Column:
-    """Remove leading/trailing whitespace of any kind (``trim`` strips spaces only)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading/trailing whitespace of any kind (``trim`` alone strips spaces only)."""
+    return F.btrim(_c(c), F.lit(WHITE_SPACE))
 
 
 def normalize_airport(c: ColumnOrName) -> Column:
@@ -88,13 +101,35 @@ def remap_or_self(c: ColumnOrName, mapping: dict[str, str] = MAINTENANCE_TYPES)
 
 
 def safe_timestamp(c: ColumnOrName) -> Column:
-    """Text to timestamp, NULL for text that does not parse (ANSI-safe)."""
-    return F.try_to_timestamp(_c(c))
+    """Text to timestamp in any of the known written forms, NULL for text in none of them (ANSI-safe)."""
+    text = strip_ws(_c(c).cast("string"))
+    # A four-digit year first: longer ones and bare times of day would be read as dates, too.
+    iso = F.when(F.substring(text, 5, 1).isin("-", ""), F.try_to_timestamp(text))
+    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(form)) for form in TIME_FORMS])
 
 
 def safe_date(c: ColumnOrName) -> Column:
     """N6 reduced to a date (maintenance dates)."""
-    return F.to_date(F.try_to_timestamp(_c(c)))
+    return F.to_date(safe_timestamp(c))
+
+
+def missing_to_null(c: ColumnOrName) -> Column:
+    """NULL for the texts that stand for a missing cell."""
+    return F.when(~_c(c).isin(MISSING_TEXTS), _c(c))
+
+
+def parse_cell(c: ColumnOrName, kind: T.DataType) -> Column:
+    """A text cell as ``kind``; text that does not parse costs that cell only (NULL)."""
+    if isinstance(kind, T.StringType):
+        return _c(c)
+    if isinstance(kind, T.DateType):
+        return safe_date(c)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return safe_timestamp(c).cast(kind)
+    text = strip_ws(c)
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+    return text.try_cast(kind)
 
 
 def safe_double(c: ColumnOrName) -> Column:

@@ -1,8 +1,10 @@
 """Distinct values, full-row and keyed de-duplication, unions.
 
-All de-duplication is hash aggregation with a map-side partial step, so a
-key that holds a third of the rows is reduced to one row per map task
-before any shuffle.
+De-duplication is aggregation with a map-side partial step, so a key that
+holds a third of the rows is reduced to one row per map task before any
+shuffle.  D1 and D3-D4 are hash aggregates; D2 picks whole rows by a
+composite order, which Spark can only aggregate over sorted input: the sort
+is local to each map task, and one row per key and task is shuffled.
 """
 
 from __future__ import annotations
@@ -19,9 +21,9 @@ DEFAULT_IGNORE = ("id", "created_at")
 def dedupe_rows(df: DataFrame, ignore_cols: tuple[str, ...] | None = DEFAULT_IGNORE) -> DataFrame:
     """Drop repeated rows.
 
-    ``ignore_cols`` are left out of the comparison (the smallest of the
-    repeated rows' values is kept for them); pass ``None`` to compare every
-    column, like the reference does.
+    ``ignore_cols`` are left out of the comparison (of each, the smallest of
+    the repeated rows' values is kept, so reruns agree); pass ``None`` to
+    compare every column, like the reference does.
     """
     if not ignore_cols:
         return df.dropDuplicates()
@@ -29,9 +31,8 @@ def dedupe_rows(df: DataFrame, ignore_cols: tuple[str, ...] | None = DEFAULT_IGN
     ignored = [c for c in df.columns if c in ignore_cols]
     if not ignored:
         return df.dropDuplicates()
-    # Keep the smallest ignored values (e.g. the first id) so reruns are deterministic.
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*ignored)).alias("_kept"))
-    return kept.select(*[F.col(f"_kept.{c}").alias(c) if c in ignored else F.col(c) for c in df.columns])
+    # One minimum per column: primitive values, so a hash aggregate (a struct would need sorted input).
+    return df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in ignored]).select(df.columns)
 
 
 def count_duplicates(df: DataFrame) -> int:

@@ -1,21 +1,25 @@
 """Dense surrogate keys without a single-partition window (M5).
 
 Keys are ``start + rank`` of the natural key, the order a SERIAL column
-would give rows inserted in natural-key order.  The rows are range-
-partitioned and sorted by the natural key and checkpointed to the shared
-folder, so the two passes below see identical partitions; then
-
-1. one aggregate counts rows per partition (one row per partition),
-2. the partition offsets (a list as long as the partition count, a proven
-   bound) become a literal array,
-3. each row's key is its partition offset plus its position in the
-   partition, taken from ``monotonically_increasing_id``.
+would give rows inserted in natural-key order.
+
+1. The input is written once to the shared folder, each row with a tiebreak
+   fixed in the file, so the range partitioner samples and sorts a scan, not
+   the joins upstream, and a re-run task sends every row to the same range.
+2. The rows are range-partitioned and sorted by the natural key, then by all
+   other columns, then by the tiebreak, and written with their partition and
+   position.  Only rows equal in every column can swap keys between runs, and
+   a natural key that repeats spans as many partitions as it needs.
+3. Rows per partition (one row each) give the partition's offset, a small
+   table that is joined; key = offset + position.
 
 No step moves a whole table through one task or the driver.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,36 +27,25 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
 
 def assign_keys(df: DataFrame, natural_key: list[str], id_col: str, start: int = 0,
-                partitions: int | None = None, unique: bool = True) -> DataFrame:
-    """Return ``df`` with ``id_col`` = start + 1, start + 2, ... in natural-key order.
-
-    NULLs sort first.  With ``unique=False`` rows may repeat the ordering
-    columns (facts); a random tiebreaker then spreads such repeats over
-    several range partitions instead of one, and only decides which of the
-    interchangeable rows gets which key.
-    """
-    order = [F.col(c).asc_nulls_first() for c in natural_key]
-    if not unique:
-        df = df.withColumn("_tie", F.rand(seed=7))
-        order.append(F.col("_tie"))
+                partitions: int | None = None) -> DataFrame:
+    """Return ``df`` with ``id_col`` = start + 1, start + 2, ... in natural-key order (NULLs first)."""
+    from runway.sources.sinks import materialize
+    spark = df.sparkSession
+    fixed = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "keys-input")
+    orderable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    order = [F.col(c).asc_nulls_first() for c in
+             [*natural_key, *(c for c in orderable if c not in natural_key), "_tie"]]
     # Without an explicit count AQE sizes the range partitions from the data.
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    ranged = ranged.sortWithinPartitions(*order)
-    # Reliable checkpoint: partition contents are fixed on the shared folder,
-    # so a lost executor recomputes from files, not from a new range sample.
-    ranged = ranged.checkpoint(eager=True)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
+    ranged = fixed.repartitionByRange(partitions, *order) if partitions else fixed.repartitionByRange(*order)
+    placed = materialize(ranged.sortWithinPartitions(*order).drop("_tie")
+                         .withColumn("_mid", F.monotonically_increasing_id()), "keys-placed")
     pid = F.shiftright(F.col("_mid"), _ROW_BITS)
-    counts = dict(tagged.groupBy(pid.alias("p")).count().collect())
-    offsets, running = [], start
-    for p in range(max(counts) + 1 if counts else 0):
-        offsets.append(running)
-        running += counts.get(p, 0)
-    if not offsets:
-        return df.drop("_tie").withColumn(id_col, F.lit(None).cast("long")).limit(0)
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (pid + 1).cast("int"))
-    return tagged.withColumn(id_col, offset + pos + 1).drop("_mid", "_tie")
+    counts = sorted(tuple(r) for r in placed.groupBy(pid.alias("p")).count().collect())  # one row per partition
+    before = accumulate((n for _, n in counts), initial=start)
+    offsets = spark.createDataFrame([(p, o) for (p, _), o in zip(counts, before)], "_pid long, _offset long")
+    keyed = placed.join(offsets, pid == F.col("_pid"))
+    position = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return keyed.withColumn(id_col, F.col("_offset") + position + 1).drop("_mid", "_pid", "_offset")
 
 
 def max_key(df: DataFrame, id_col: str) -> int:

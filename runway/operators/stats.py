@@ -54,73 +54,78 @@ def _range_id(ranges: list[tuple[int, float, float]]) -> Column:
     return expr
 
 
+def _log(v: Column) -> Column:
+    """A monotone scale on which values of any magnitude spread evenly."""
+    return F.signum(v) * F.log1p(F.abs(v))
+
+
+def _bucket(v: Column, lo: Column, hi: Column, buckets: int, logarithmic: bool) -> Column:
+    """Bucket 0 .. ``buckets`` - 1 of a finite value in [lo, hi]: equal widths on the linear or logarithmic scale.
+
+    Monotone in ``v``.  The linear scale puts lo and hi in different buckets (the halves are subtracted, so the
+    width of the widest range stays finite); where the width of a range vanishes, everything above lo is one bucket.
+    """
+    if logarithmic:
+        v, lo, hi = _log(v), _log(lo), _log(hi)
+    width = hi / buckets - lo / buckets
+    place = F.floor(v / width - lo / width)
+    inside = F.greatest(F.least(place, F.lit(buckets - 1)), F.lit(0))
+    return F.when(width > 0, inside).otherwise((v > lo).cast("long")).cast("int")
+
+
+def _finite(v: Column) -> Column:
+    return F.abs(v) < F.lit(math.inf)
+
+
 def _order_statistics(values: DataFrame, wanted: dict[int, list[int]], summary: dict[int, tuple],
-                      buckets: int, gather_limit: int, max_passes: int = 64) -> dict[tuple[int, int], float]:
+                      buckets: int, max_passes: int = 200) -> dict[tuple[int, int], float]:
     """Values at 0-based ranks of the ascending order of each column of ``values`` (c, v).
 
-    Each pass handles every open range of every column in one job: ranges
-    holding more than ``gather_limit`` rows are split into ``buckets``
-    equal-width buckets and counted (at most ``buckets`` rows per range come
-    back); in smaller ranges a running count finds the value at each rank.  The
-    bucket holding a rank becomes its next range, so the search narrows by a
-    factor of ``buckets`` per pass.  Equal values collapse to one
-    (value, count) row, so a value held by a third of the rows costs nothing.
+    ``summary[c]`` is (rows, rows at minus infinity, at plus infinity, least and
+    greatest finite value).  Infinite ranks follow from the counts.  For the
+    others each pass handles every open range of every column in one job: it is
+    split into ``buckets`` buckets and counted (at most ``buckets`` rows per
+    range come back), and the bucket holding a rank, cut to its own least and
+    greatest value, becomes the rank's next range, until both are one value.
+    Scales alternate between linear, which always splits a range, and
+    logarithmic, which splits long tails.  The search takes the same path at
+    every size; a value held by a third of the rows costs nothing.
     """
     found: dict[tuple[int, int], float] = {}
-    # (column, lo, hi, rows below lo, rows in range) -> ranks inside it
+    # (column, lo, hi, rows below lo) -> ranks inside it
     pending: dict[tuple, list[int]] = {}
     for c, ks in wanted.items():
-        n, lo, hi = summary[c]
-        pending[(c, lo, hi, 0, n)] = sorted(set(ks))
-    for _ in range(max_passes):
+        n, low, high, lo, hi = summary[c]
+        for k in sorted(set(ks)):
+            if k < low or k >= n - high:
+                found[(c, k)] = -math.inf if k < low else math.inf
+            else:
+                pending.setdefault((c, lo, hi, low), []).append(k)
+    values = values.where(_finite(F.col("v")))
+    for step in range(max_passes):
         for key in [k for k in pending if k[1] == k[2]]:
             for k in pending.pop(key):
                 found[(key[0], k)] = key[1]
         if not pending:
             return found
-        small = [k for k in pending if k[4] <= gather_limit]
-        large = [k for k in pending if k[4] > gather_limit]
+        keys = list(pending)
+        r1 = F.col("r") + 1
+        lo, hi = (F.element_at(F.array(*[F.lit(float(k[i])) for k in keys]), r1) for i in (1, 2))
+        hist = (values.select(_range_id([k[:3] for k in keys]).alias("r"), "v").where(F.col("r").isNotNull())
+                .groupBy("r", _bucket(F.col("v"), lo, hi, buckets, step % 2 == 1).alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        by_range: dict[int, list[tuple]] = {}
+        for h in hist:
+            by_range.setdefault(h["r"], []).append((h["b"], h["n"], h["lo"], h["hi"]))
         nxt: dict[tuple, list[int]] = {}
-        if small:
-            # The value covering each rank is found on the executors: a running count per
-            # range (at most ``gather_limit`` rows each) joined to the small rank table.
-            from pyspark.sql import Window
-            rid = _range_id([(k[0], k[1], k[2]) for k in small])
-            counted = (values.select(rid.alias("r"), "v").where(F.col("r").isNotNull())
-                       .groupBy("r", "v").count())
-            w = Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            counted = counted.withColumn("cum", F.sum("count").over(w))
-            wanted_ranks = [(i, k, k - key[3]) for i, key in enumerate(small) for k in pending[key]]
-            rank_df = values.sparkSession.createDataFrame(wanted_ranks, "r int, k long, rel long")
-            hits = (counted.join(F.broadcast(rank_df), "r")
-                    .where((F.col("rel") < F.col("cum")) & (F.col("rel") >= F.col("cum") - F.col("count")))
-                    .select("r", "k", "v").collect())
-            for h in hits:
-                found[(small[h["r"]][0], h["k"])] = h["v"]
-        if large:
-            ranges = [(k[0], k[1], k[2]) for k in large]
-            rid = _range_id(ranges)
-            lo_arr = F.array(*[F.lit(float(k[1])) for k in large])
-            width_arr = F.array(*[F.lit((k[2] - k[1]) / buckets) for k in large])
-            r1 = F.col("r") + 1
-            bucket = F.least(F.floor((F.col("v") - F.element_at(lo_arr, r1)) / F.element_at(width_arr, r1))
-                             .cast("int"), F.lit(buckets - 1))
-            hist = (values.select(rid.alias("r"), "v").where(F.col("r").isNotNull())
-                    .groupBy("r", bucket.alias("b"))
-                    .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                    .collect())
-            by_range = {}
-            for h in hist:
-                by_range.setdefault(h["r"], []).append((h["b"], h["n"], h["lo"], h["hi"]))
-            for i, key in enumerate(large):
-                hs = sorted(by_range.get(i, []))
-                for k in pending[key]:
-                    cum = key[3]
-                    for _b, n, lo, hi in hs:
-                        if k < cum + n:
-                            nxt.setdefault((key[0], lo, hi, cum, n), []).append(k)
-                            break
-                        cum += n
+        for i, key in enumerate(keys):
+            for k in pending[key]:
+                below = key[3]
+                for _, n, lo, hi in sorted(by_range[i]):
+                    if k < below + n:
+                        nxt.setdefault((key[0], lo, hi, below), []).append(k)
+                        break
+                    below += n
         pending = nxt
     raise RuntimeError("exact quantile search did not converge")
 
@@ -136,17 +141,20 @@ class ColumnSummary:
 
 
 def summarize(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool = True,
-              buckets: int = 1024, gather_limit: int = 50_000) -> list[ColumnSummary]:
+              buckets: int = 1024) -> list[ColumnSummary]:
     """Count, min, max, mean and quantiles (linear interpolation) of several columns.
 
-    NULL and NaN are skipped, as pandas does.  ``exact`` uses the histogram
+    NULL and NaN are skipped, as pandas does; infinite values count.  ``exact`` uses the histogram
     search above (a few passes over one stacked projection of the columns,
     whatever their number); otherwise ``percentile_approx`` in a single pass.
     """
     if not cols:
         return []
     values = _stacked(df, cols)
-    aggs = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("mean")]
+    v = F.col("v")
+    aggs = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("mean"),
+            F.count_if(v == -math.inf).alias("low"), F.count_if(v == math.inf).alias("high"),
+            F.min(F.when(_finite(v), v)).alias("flo"), F.max(F.when(_finite(v), v)).alias("fhi")]
     if not exact:
         aggs.append(F.percentile_approx("v", probs, 10_000).alias("q"))
     rows = {r["c"]: r for r in values.groupBy("c").agg(*aggs).collect()}
@@ -160,8 +168,8 @@ def summarize(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool
             pos = [p * (n - 1) for p in probs]
             positions[c] = pos
             wanted[c] = sorted({int(math.floor(x)) for x in pos} | {int(math.ceil(x)) for x in pos})
-        summary = {c: (rows[c]["n"], rows[c]["lo"], rows[c]["hi"]) for c in wanted}
-        stat = _order_statistics(values, wanted, summary, buckets, gather_limit)
+        summary = {c: tuple(rows[c][k] for k in ("n", "low", "high", "flo", "fhi")) for c in wanted}
+        stat = _order_statistics(values, wanted, summary, buckets)
     for c, name in enumerate(cols):
         if c not in rows:
             out.append(ColumnSummary(name, 0, None, None, None, [None] * len(probs)))
@@ -172,7 +180,7 @@ def summarize(df: DataFrame, cols: list[str], probs: list[float], *, exact: bool
             for pos in positions[c]:
                 k0, k1 = int(math.floor(pos)), int(math.ceil(pos))
                 a, b = stat[(c, k0)], stat[(c, k1)]
-                qs.append(a if k0 == k1 else a + (b - a) * (pos - k0))
+                qs.append(a if a == b else a + (b - a) * (pos - k0))
         else:
             qs = [float(x) for x in r["q"]]
         out.append(ColumnSummary(name, r["n"], r["lo"], r["hi"], r["mean"], qs))
@@ -226,10 +234,13 @@ def iqr_bounds(df: DataFrame, columns: list[str], exact: bool = True) -> list[Bo
 
 
 def outlier_predicate(col: str, b: Bounds) -> Column:
+    """Outside the bounds; a bound that is not a number (infinite quartiles) excludes nothing, as in pandas."""
     v = F.col(col).cast("double")
     if b.lower is None:
         return F.lit(False)
-    return (v < F.lit(b.lower)) | (v > F.lit(b.upper))
+    below = F.lit(False) if math.isnan(b.lower) else v < F.lit(b.lower)
+    above = F.lit(False) if math.isnan(b.upper) else (v > F.lit(b.upper)) & ~F.isnan(v)
+    return below | above
 
 
 def outlier_search(df: DataFrame, columns: list[str], exact: bool = True) -> list[tuple[Bounds, ColumnSummary]]:
@@ -398,77 +409,70 @@ def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
 # ------------------------------------------------------------ grouped exact quantiles
 
 def grouped_quantiles(df: DataFrame, key: str, value: str, probs: list[float], *, buckets: int = 1024,
-                      gather_limit: int = 100_000, max_passes: int = 64, stage: bool = True) -> DataFrame:
-    """Exact quantiles of ``value`` per ``key`` (linear interpolation; NULL/NaN skipped).
-
-    The same histogram narrowing as ``summarize``, run per group as joins:
-    the search state is a DataFrame with one row per (group, rank) - as many
-    rows as the answer has - checkpointed each pass.  Each pass joins the
-    values to their group's open range (the state side is small and is
-    broadcast when its measured size allows; otherwise AQE splits a hot
-    group), and aggregates bucket counts with partial aggregation, so no
-    task ever holds a group's values.  Per-range windows see at most
-    ``buckets`` or ``gather_limit`` rows.  With ``stage`` the (group, value)
-    pairs are written once to the shared folder, so the passes scan two
-    columns instead of re-running ``df``'s plan (a star join, say); pass
-    ``stage=False`` when ``df`` is already such a scan.  Output: key, q0, q1, ...
+                      max_passes: int = 200, stage: bool = True) -> DataFrame:
+    """Exact quantiles of ``value`` per ``key`` (linear interpolation; NULL/NaN skipped), with mean and count.
+
+    The same narrowing as ``summarize``, run per group as joins: the search
+    state is a small table with one row per (group, rank) - as many rows as the
+    answer has.  Each pass joins the values to their group's open ranges (the
+    state side is broadcast when its measured size allows; otherwise AQE splits
+    a hot group) and counts buckets with partial aggregation, so no task ever
+    holds a group's values; a window sees at most ``buckets`` rows.  With
+    ``stage`` the (group, value) pairs are written once to the shared folder,
+    so the passes scan two columns instead of re-running ``df``'s plan (a star
+    join, say); pass ``stage=False`` when ``df`` is already such a scan.
+    Output: key, q0, q1, ..., mean, count (of the values; a group without any has NULL quantiles).
     """
     from pyspark.sql import Window
 
+    from runway.sources.sinks import materialize
+
     v = F.col(value).cast("double")
-    vals = df.select(F.col(key).alias("g"), v.alias("v")).where(
-        F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = df.select(F.col(key).alias("g"), F.when(~F.isnan(v), v).alias("v")).where(F.col("g").isNotNull())
     if stage:
-        from runway.sources.sinks import materialize
         vals = materialize(vals, "quantile-values")
-    base = vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    v = F.col("v")
+    base = materialize(vals.groupBy("g").agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.count_if(v == -math.inf).alias("low"),
+        F.count_if(v == math.inf).alias("high"), F.min(F.when(_finite(v), v)).alias("lo"),
+        F.max(F.when(_finite(v), v)).alias("hi")), "quantile-groups")
     targets = []
     for i, p in enumerate(probs):
         pos = F.lit(p) * (F.col("n") - 1)
         targets.append(F.struct(F.lit(i).alias("pi"), F.floor(pos).cast("long").alias("k0"),
                                 F.ceil(pos).cast("long").alias("k1"), (pos - F.floor(pos)).alias("frac")))
-    wanted = base.select("g", "lo", "hi", "n", F.explode(F.array(*targets)).alias("t")).select(
-        "g", "lo", "hi", "n", "t.*")
-    ranks = wanted.select("g", "lo", "hi", "n", F.explode(F.array_distinct(F.array("k0", "k1"))).alias("k"))
-    state = ranks.select("g", "k", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("rows"),
-                         F.lit(None).cast("double").alias("val"))
-    state = state.checkpoint()
-    done = F.col("val").isNotNull() | (F.col("lo") == F.col("hi"))
-    for _ in range(max_passes):
-        state = state.withColumn("val", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("val")))
-        open_ = state.where(~done)
+    wanted = base.where("n > 0").select("*", F.explode(F.array(*targets)).alias("t")).select("g", "n", "low", "high", "lo", "hi", "t.*")
+    ranks = wanted.select("*", F.explode(F.array_distinct(F.array("k0", "k1"))).alias("k"))
+    k = F.col("k")
+    known = (F.when(k < F.col("low"), F.lit(-math.inf)).when(k >= F.col("n") - F.col("high"), F.lit(math.inf))
+             .when(F.col("lo") == F.col("hi"), F.col("lo")))
+    state = ranks.select("g", "k", "lo", "hi", F.col("low").alias("below"), known.alias("val")).distinct()
+    finite = vals.where(_finite(v))
+    rkey = ["g", "lo", "hi", "below"]
+    for step in range(max_passes):
+        state = materialize(state, "quantile-state")
+        open_ = state.where(F.col("val").isNull())
         if open_.isEmpty():
             break
-        rng = open_.select("g", "lo", "hi", "below", "rows").distinct()
-        joined = vals.join(rng, "g").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        rkey = ["g", "lo", "hi", "below", "rows"]
-        # Small ranges: distinct values with counts, then the value covering each rank.
-        small = joined.where(F.col("rows") <= gather_limit).groupBy(*rkey, "v").count()
-        w = Window.partitionBy(*rkey).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        small = small.withColumn("cum", F.col("below") + F.sum("count").over(w))
-        hit_small = (open_.where(F.col("rows") <= gather_limit).alias("s")
-                     .join(small.alias("c"), rkey)
-                     .where((F.col("k") < F.col("cum")) & (F.col("k") >= F.col("cum") - F.col("count")))
-                     .select("g", "k", "lo", "hi", "below", "rows", F.col("v").alias("val")))
-        # Large ranges: bucket counts; the bucket covering a rank becomes its range.
-        width = (F.col("hi") - F.col("lo")) / buckets
-        bucket = F.least(F.floor((F.col("v") - F.col("lo")) / width).cast("int"), F.lit(buckets - 1))
-        hist = (joined.where(F.col("rows") > gather_limit).groupBy(*rkey, bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("bn"), F.min("v").alias("blo"), F.max("v").alias("bhi")))
-        wb = Window.partitionBy(*rkey).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        hist = hist.withColumn("cum", F.col("below") + F.sum("bn").over(wb))
-        hit_large = (open_.where(F.col("rows") > gather_limit).join(hist, rkey)
-                     .where((F.col("k") < F.col("cum")) & (F.col("k") >= F.col("cum") - F.col("bn")))
-                     .select("g", "k", F.col("blo").alias("lo"), F.col("bhi").alias("hi"),
-                             (F.col("cum") - F.col("bn")).alias("below"), F.col("bn").alias("rows"),
-                             F.lit(None).cast("double").alias("val")))
-        state = state.where(done).unionByName(hit_small).unionByName(hit_large).checkpoint()
+        ranges = open_.select(*rkey).distinct()
+        inside = finite.join(ranges, "g").where((v >= F.col("lo")) & (v <= F.col("hi")))
+        bucket = _bucket(v, F.col("lo"), F.col("hi"), buckets, step % 2 == 1)
+        hist = inside.groupBy(*rkey, bucket.alias("b")).agg(
+            F.count(F.lit(1)).alias("bn"), F.min("v").alias("blo"), F.max("v").alias("bhi"))
+        w = Window.partitionBy(*rkey).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hist = hist.withColumn("cum", F.col("below") + F.sum("bn").over(w))
+        hit = open_.drop("val").join(hist, rkey).where((k < F.col("cum")) & (k >= F.col("cum") - F.col("bn"))).select(
+            "g", "k", F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("cum") - F.col("bn")).alias("below"),
+            F.when(F.col("blo") == F.col("bhi"), F.col("blo")).alias("val"))
+        state = state.where(F.col("val").isNotNull()).unionByName(hit)
     else:
         raise RuntimeError("grouped quantile search did not converge")
     got = state.select("g", "k", "val")
     a = got.select("g", F.col("k").alias("k0"), F.col("val").alias("a"))
     b = got.select("g", F.col("k").alias("k1"), F.col("val").alias("b"))
-    q = (wanted.join(a, ["g", "k0"]).join(b, ["g", "k1"])
-         .select("g", "pi", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("q")))
-    out = q.groupBy("g").pivot("pi", list(range(len(probs)))).agg(F.first("q"))
-    return out.select(F.col("g").alias(key), *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))])
+    between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("frac"))
+    q = wanted.join(a, ["g", "k0"]).join(b, ["g", "k1"]).select("g", "pi", between.alias("q"))
+    wide = q.groupBy("g").pivot("pi", list(range(len(probs)))).agg(F.first("q"))
+    out = base.select("g", "mean", "n").join(wide, "g", "left")
+    return out.select(F.col("g").alias(key), *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))],
+                      "mean", F.col("n").alias("count"))

@@ -7,6 +7,7 @@ write is one action, and later stages read columnar subsets of it.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from runway.plans.stages import in_parallel
 from runway.plans.warehouse import Warehouse
 from runway.sources import readers, sinks
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class JobResult:
@@ -33,14 +36,22 @@ def extract_raw(spark: SparkSession, config: dict, root: str) -> dict[str, DataF
     """Extract: read every configured source and write the raw zone, one parquet table per source.
 
     Disabled or unreadable sources (policy ``skip``) become empty tables of
-    the source schema, so the later stages always find all five.
+    the source schema, so the later stages always find all five.  Records that
+    could not be read are kept beside them and counted in the log by file.
     """
-    frames = readers.extract_sources(spark, config, S.SOURCE_SCHEMAS)
+    rejects: dict[str, DataFrame] = {}
+    frames = readers.extract_sources(spark, config, S.SOURCE_SCHEMAS, rejects)
 
     def land(name: str) -> DataFrame:
         path = f"{root}/raw/{name}_raw"
         sinks.write_parquet(frames[name], path)
-        return spark.read.schema(S.SOURCE_SCHEMAS[name]).parquet(path)
+        if name in rejects:
+            bad_path = f"{root}/raw/{name}_unreadable"
+            sinks.write_rejects(rejects[name], bad_path)
+            bad = spark.read.schema(rejects[name].schema).parquet(bad_path)
+            for row in bad.groupBy("file").count().collect():  # one row per file with such records
+                log.error("%s: %d records cannot be read, see %s", row["file"], row["count"], bad_path)
+        return spark.read.schema(frames[name].schema).parquet(path)
 
     # The sources are independent: their writes are submitted side by side.
     return in_parallel({name: (lambda name=name: land(name)) for name in frames})

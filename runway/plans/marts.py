@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from runway.functions import expr as X
 from runway.operators import stats
-from runway.operators.joins import MAX_DATE_ROWS, bounded_broadcast
 from runway.sources.sinks import materialize
 
 
@@ -21,9 +20,8 @@ def flights_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
     ff, df_, ap = t["fact_flights"], t["dim_flights"], t["dim_airports"]
     dep = ap.select(F.col("airport_id").alias("departure_airport_id"), F.col("airport_code").alias("departure"))
     arr = ap.select(F.col("airport_id").alias("arrival_airport_id"), F.col("airport_code").alias("arrival"))
-    dd = bounded_broadcast(t["dim_dates"].select(F.col("date_id").alias("flight_date_id"),
-                                                 F.col("full_date").alias("flight_date")), MAX_DATE_ROWS)
-    ds = F.broadcast(t["dim_statuses"].select("status_id", F.col("status_code").alias("status")))
+    dd = t["dim_dates"].select(F.col("date_id").alias("flight_date_id"), F.col("full_date").alias("flight_date"))
+    ds = t["dim_statuses"].select("status_id", F.col("status_code").alias("status"))
     ac = t["dim_aircraft"].select(F.col("aircraft_id").alias("_ac"), F.col("aircraft_code").alias("aircraft_id"))
     v = (ff.join(df_.select("flight_id", "flight_number", "departure_airport_id", "arrival_airport_id",
                             F.col("aircraft_id").alias("_ac")), "flight_id")
@@ -45,9 +43,8 @@ def bookings_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
     dep = ap.select(F.col("airport_id").alias("departure_airport_id"),
                     F.col("airport_code").alias("departure_airport"))
     arr = ap.select(F.col("airport_id").alias("arrival_airport_id"), F.col("airport_code").alias("arrival_airport"))
-    dd = bounded_broadcast(t["dim_dates"].select(F.col("date_id").alias("booking_date_id"),
-                                                 F.col("full_date").alias("booking_date")), MAX_DATE_ROWS)
-    ds = F.broadcast(t["dim_statuses"].select("status_id", F.col("status_code").alias("status")))
+    dd = t["dim_dates"].select(F.col("date_id").alias("booking_date_id"), F.col("full_date").alias("booking_date"))
+    ds = t["dim_statuses"].select("status_id", F.col("status_code").alias("status"))
     ac = t["dim_aircraft"].select(F.col("aircraft_id").alias("_ac"), F.col("aircraft_code").alias("aircraft_type"))
     v = (fb.join(t["dim_passengers"], "passenger_id")
          .join(df_.select("flight_id", "flight_number", "departure_airport_id", "arrival_airport_id",
@@ -64,8 +61,8 @@ def maintenance_view(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame
     """fact_maintenance with aircraft, maintenance type and status."""
     fm = t["fact_maintenance"]
     da = t["dim_aircraft"].select("aircraft_id", "aircraft_code", "aircraft_type")
-    mt = F.broadcast(t["dim_maintenance_types"].select("maintenance_type_id", "type_code", "type_name"))
-    ds = F.broadcast(t["dim_statuses"].select("status_id", "status_code", "status_name"))
+    mt = t["dim_maintenance_types"].select("maintenance_type_id", "type_code", "type_name")
+    ds = t["dim_statuses"].select("status_id", "status_code", "status_name")
     v = fm.join(da, "aircraft_id").join(mt, "maintenance_type_id").join(ds, "status_id").select(
         "maintenance_id", "aircraft_code", "aircraft_type", "type_code", "type_name", "status_code",
         "status_name", "scheduled_date", "completed_date", "cost", "description")
@@ -131,17 +128,14 @@ def mean_median_count_by(df: DataFrame, key: str, value: str, exact: bool = True
     ``stats.grouped_quantiles`` (no task holds a group's values);
     ``exact=False`` uses ``percentile_approx`` with bounded memory per group.
     """
-    base = df.where(F.col(key).isNotNull()).select(key, value)
     if exact:
-        # Both aggregates and every search pass read this two-column table, not ``df``'s joins.
-        base = materialize(base, "group-values")
-    v = F.col(value).cast("double")
-    summary = base.groupBy(key).agg(F.avg(v).alias("mean"), F.count(v).alias("count"))
-    if exact:
-        med = stats.grouped_quantiles(base, key, value, [0.5], stage=False).withColumnRenamed("q0", "median")
+        # Mean and count come from the first pass over the staged (group, value) pairs.
+        out = stats.grouped_quantiles(df, key, value, [0.5]).withColumnRenamed("q0", "median")
     else:
-        med = base.groupBy(key).agg(F.percentile_approx(v, 0.5, 10_000).cast("double").alias("median"))
-    return summary.join(med, key, "left").select(key, "mean", "median", "count").orderBy(key)
+        v = F.col(value).cast("double")
+        out = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+            F.avg(v).alias("mean"), F.percentile_approx(v, 0.5, 10_000).cast("double").alias("median"), F.count(v).alias("count"))
+    return out.select(key, "mean", "median", "count").orderBy(key)
 
 
 def by_weekday(df: DataFrame, date_col: str, value: str) -> DataFrame:

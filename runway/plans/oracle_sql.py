@@ -228,8 +228,8 @@ def _values(rows: list[tuple], cols: str) -> str:
 
 
 def _seeds() -> str:
-    from runway.schemas import MAINTENANCE_TYPE_SEED, STATUS_SEED
-    st = [(i + 1, c, n, cat) for i, (c, n, cat) in enumerate(STATUS_SEED)]
+    from runway.schemas import MAINTENANCE_TYPE_SEED, STATUS_ADDED, STATUS_SEED
+    st = [(i + 1, c, n, cat) for i, (c, n, cat) in enumerate(STATUS_SEED + STATUS_ADDED)]
     mt = [(i + 1, c, n, d) for i, (c, n, d) in enumerate(MAINTENANCE_TYPE_SEED)]
     return (f"dim_statuses AS (SELECT * FROM {_values(st, 'status_id, status_code, status_name, category')}),\n"
             f"dim_maintenance_types AS (SELECT * FROM "

@@ -20,8 +20,10 @@ from runway.operators.keys import assign_keys
 from runway.plans import cleaning, marts, tpch
 from runway.plans import oracle_sql as Q
 from runway.plans.tpch import load_tables
+from runway.plans.warehouse import revenue_aggregate
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
@@ -347,20 +349,19 @@ def a1(spark, sf):
                                     "arrival_airport", "ticket_price", "status"])
 
 
-@register("a2_final_report", """
-WITH g AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL),
-s AS (SELECT sum(n) AS total, sum(n - 1) AS dups,
-             coalesce(sum(n) FILTER (WHERE o_orderstatus IS NULL AND o_orderpriority IS NULL), 0) AS empty,
-             coalesce(sum(n) FILTER (WHERE o_orderstatus IS NULL), 0)
-             + coalesce(sum(n) FILTER (WHERE o_orderpriority IS NULL), 0) AS nulls
-      FROM g)
-SELECT 'orders' AS source, CAST(total AS BIGINT) AS total_rows, 2 AS total_columns,
+_ORDER_NULLS = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in ORDER_COLS)
+
+
+@register("a2_final_report", f"""
+WITH g AS (SELECT {', '.join(ORDER_COLS)}, {_ORDER_NULLS} AS z, count(*) AS n FROM orders GROUP BY ALL),
+s AS (SELECT sum(n) AS total, sum(n - 1) AS dups, coalesce(sum(n) FILTER (WHERE z = {len(ORDER_COLS)}), 0) AS empty, sum(n * z) AS nulls FROM g)
+SELECT 'orders' AS source, CAST(total AS BIGINT) AS total_rows, {len(ORDER_COLS)} AS total_columns,
        CAST(dups AS BIGINT) AS duplicate_count, CAST(empty AS BIGINT) AS empty_rows,
-       (1 - CAST(nulls AS DOUBLE) / CAST(total * 2 AS DOUBLE)) * 100.0 AS completeness_percent
+       (1 - CAST(nulls AS DOUBLE) / CAST(total * {len(ORDER_COLS)} AS DOUBLE)) * 100.0 AS completeness_percent
 FROM s""")
 def a2(spark, sf):
-    o = _t(spark, sf, "orders")["orders"].select("o_orderstatus", "o_orderpriority")
-    r = quality.validate_results(o, "orders", ["o_orderstatus", "o_orderpriority"])
+    o = _t(spark, sf, "orders")["orders"].select(ORDER_COLS)
+    r = quality.validate_results(o, "orders", ORDER_COLS)
     return r.select("source", "total_rows", "total_columns", "duplicate_count", "empty_rows", "completeness_percent")
 
 
@@ -449,7 +450,8 @@ for _name, _table in [("m6_dim_airports", "dim_airports"), ("m7_dim_aircraft", "
 
 register("a7_revenue_fact", W() + """
 SELECT flight_id, date_id, total_revenue, passenger_count, avg_ticket_price, confirmed_count, cancelled_count
-FROM fact_revenue""")(lambda spark, sf: _tables(spark, sf)["fact_revenue"].drop("revenue_id"))
+FROM fact_revenue""")(
+    lambda spark, sf: revenue_aggregate(_tables(spark, sf)["fact_bookings"], _tables(spark, sf)["dim_statuses"]))
 
 
 @register("a7_revenue_all_statuses", W() + """
@@ -460,7 +462,6 @@ SELECT fb.flight_id, fb.booking_date_id AS date_id, CAST(sum(fb.ticket_price) AS
 FROM fact_bookings fb JOIN dim_statuses ds ON fb.status_id = ds.status_id
 GROUP BY fb.flight_id, fb.booking_date_id""")
 def a7_all(spark, sf):
-    from runway.plans.warehouse import revenue_aggregate
     t = _tables(spark, sf)
     return revenue_aggregate(t["fact_bookings"], t["dim_statuses"], None)
 
@@ -1005,9 +1006,6 @@ def _scratch(spark, name: str) -> str:
     return shared_path(spark, name)
 
 
-ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-
-
 @register("s2_csv_files_header_check", """
 SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')""")
 def s2(spark, sf):
@@ -1026,7 +1024,7 @@ def s2(spark, sf):
 
 
 @register("s3_csv_maintenance_skip", Q.with_(Q.MAINTENANCE_RAW.replace("FROM part)", "FROM part WHERE p_type <> 'SMALL')")) +
-          "SELECT * FROM maintenance_raw")
+          "SELECT * REPLACE (nullif(cost, 'n/a') AS cost) FROM maintenance_raw")
 def s3(spark, sf):
     from runway import schemas as S
     from runway.sources import readers
@@ -1158,3 +1156,98 @@ def s5_array(spark, sf):
     path = _scratch(spark, "s5-json-array")
     sinks.write_json_array(tpch.weather(_t(spark, sf, "events")), path)
     return readers.read_json(spark, [path], S.WEATHER, json_array=True)
+
+
+# =============================================================== files as they come
+
+@register("s2_csv_time_forms", """
+SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_linenumber AS BIGINT)) + INTERVAL 30 MINUTE AS at
+FROM lineitem""")
+def s2_times(spark, sf):
+    """Times of four written forms in one CSV column, with and without seconds and fractions."""
+    from pyspark.sql import types as T
+
+    from runway.sources import readers
+    li = _t(spark, sf, "lineitem")["lineitem"]
+    at = (F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("l_linenumber"), mins=F.lit(30)))
+    forms = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd HH:mm:ss.SSS", "dd.MM.yyyy HH:mm"]
+    text = F.element_at(F.array(*[F.date_format(at, f) for f in forms]), (F.col("l_orderkey") % 4 + 1).cast("int"))
+    root = _scratch(spark, "s2-times")
+    li.select("l_orderkey", "l_linenumber", text.alias("at")).write.option("header", True).csv(root)
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.LongType()),
+                           T.StructField("at", T.TimestampNTZType())])
+    return readers.read_csv_files(spark, [root], schema.names, schema)
+
+
+@register("s3_csv_quoted_text", """
+SELECT p_partkey, concat('say "', p_name, '", then', chr(10), p_type) AS note, CASE WHEN p_size % 4 <> 0 THEN p_size END AS p_size
+FROM part""")
+def s3_quoted(spark, sf):
+    """Quotes, separators and line breaks inside CSV cells, and written-out missing values."""
+    from pyspark.sql import types as T
+
+    from runway.sources import readers
+    p = _t(spark, sf, "part")["part"]
+    root = _scratch(spark, "s3-quoted")
+    note = F.concat(F.lit('say "'), "p_name", F.lit('", then\n'), "p_type")
+    missing = F.element_at(F.array(*[F.lit(x) for x in ("NA", "n/a", "null", "None")]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    size = F.when(F.col("p_size") % 4 != 0, F.col("p_size").cast("string")).otherwise(missing)
+    p.select("p_partkey", note.alias("note"), size.alias("p_size")).write.options(header=True, escape='"', quoteAll=True).csv(root)
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("note", T.StringType()), T.StructField("p_size", T.LongType())])
+    return readers.read_csv_files(spark, [root], schema.names, schema)
+
+
+@register("s4_json_array_logs", Q.with_(Q.LOGS_RAW) + """
+SELECT *, concat('host', length(message) % 3) AS host FROM logs_raw""")
+def s4_array(spark, sf):
+    """Server logs as JSON arrays with a field that is not declared."""
+    from runway import schemas as S
+    from runway.sources import readers, sinks
+    path = _scratch(spark, "s4-json-array")
+    logs = tpch.server_logs(_t(spark, sf, "events"))
+    sinks.write_json_array(logs.withColumn("host", F.concat(F.lit("host"), F.length("message") % 3)), path)
+    return readers.read_json(spark, [path], S.LOGS, json_array=True)
+
+
+@register("s5_json_bad_cell", """
+SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value, event_type FROM events""")
+def s5_bad(spark, sf):
+    """One cell of another type in many records of JSON arrays, and lines that are no JSON beside them."""
+    from pyspark.sql import types as T
+
+    from runway.sources import readers
+    e = _t(spark, sf, "events")["events"]
+    path = _scratch(spark, "s5-bad")
+    value = F.when(F.col("event_type") != "error", F.col("value").cast("string")).otherwise(F.lit('"n/a"'))
+    record = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "value": '), F.coalesce(value, F.lit("null")),
+                      F.lit(', "event_type": "'), "event_type", F.lit('"}'))
+    broken = F.when(F.col("event_id") % 50 == 0, F.array(record, F.lit('{"event_id": '))).otherwise(F.array(record))
+    e.select(F.explode(broken).alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("event_type", T.StringType())])
+    rows, rejects = readers.read_json_parts(spark, [path], schema, json_array=False)
+    if rejects.count() != e.where("event_id % 50 = 0").count():
+        raise AssertionError("rows in must be rows out plus rejects")
+    return rows
+
+
+@register("a3_outliers_with_inf", """
+WITH v AS (SELECT CASE WHEN l_linenumber = 7 AND l_quantity > 49 THEN 'infinity'::DOUBLE ELSE CAST(l_extendedprice AS DOUBLE) END AS price FROM lineitem),
+q AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS q2, quantile_cont(price, 0.75) AS q3, max(price) AS hi FROM v)
+SELECT 'price' AS "column", (SELECT count(*) FROM v WHERE price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)) AS "count",
+       round(q1 - 1.5 * (q3 - q1), 4) AS lower_bound, round(q3 + 1.5 * (q3 - q1), 4) AS upper_bound, round(q2, 4) AS median
+FROM q""")
+def a3_inf(spark, sf):
+    li = _t(spark, sf, "lineitem")["lineitem"]
+    price = F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") > 49), F.lit(float("inf"))).otherwise(F.col("l_extendedprice").cast("double"))
+    found = stats.detect_outliers(li.select(price.alias("price")), ["price"])
+    return found.select("column", "count", *[F.round(c, 4).alias(c) for c in ("lower_bound", "upper_bound", "median")])
+
+
+@register("n6_time_forms", """
+SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 9 HOUR + INTERVAL 5 MINUTE AS at FROM orders""")
+def n6_forms(spark, sf):
+    o = _t(spark, sf, "orders")["orders"]
+    at = F.col("o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL '09:05' HOUR TO MINUTE")
+    forms = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm", "d.M.yyyy H:mm", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd HHmmss", "d MMM yyyy HH:mm", "MMM d, yyyy H:mm"]
+    text = F.element_at(F.array(*[F.date_format(at, f) for f in forms]), (F.col("o_orderkey") % len(forms) + 1).cast("int"))
+    return o.select("o_orderkey", X.safe_timestamp(text).cast("timestamp_ntz").alias("at"))

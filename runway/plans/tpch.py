@@ -15,15 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runway.functions.expr import AIRPORT_CODES
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-# ---- Fixed values: the airports of the reference's lookup table, in index order.
-AIRPORT_INDEX = [
-    ("SVO", "sheremetyevo"), ("LED", "pulkovo"), ("DME", "domodedovo"), ("SVX", "koltsovo"),
-    ("KZN", "kazan"), ("OVB", "tolmachevo"), ("AER", "adler"), ("KJA", "emelyanovo"),
-    ("UFA", "ufa"), ("ROV", "rostov"),
-]
-# ---------------------------------------------------------------------------
+# (code, name) of each airport of the lookup table, in its order: a name is the first key of its code.
+AIRPORT_INDEX = list({code: name for name, code in reversed(AIRPORT_CODES.items())}.items())[::-1]
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:

@@ -4,13 +4,10 @@ Functions here are pure: they take the cleaned sources and the current
 tables and return the new table images.  ``Warehouse`` stores them as
 parquet below one root with a staged overwrite.
 
-Join strategy: the seeded dimensions (statuses, maintenance types) are
-constants and are broadcast explicitly; the date dimension (one row per
-calendar day seen) is counted and broadcast only under ``MAX_DATE_ROWS``.
-Every other dimension grows with the data and is left to the planner:
-``autoBroadcastJoinThreshold`` broadcasts it only when its measured size is
-below the limit, and AQE re-plans from the actual shuffle sizes; beyond the
-limit it is a shuffle join.
+Join strategy: no dimension carries a broadcast hint.  The planner broadcasts
+one only when its measured size is below ``autoBroadcastJoinThreshold``, and
+AQE re-plans from the actual shuffle sizes; beyond the limit it is a shuffle
+join.
 """
 
 from __future__ import annotations
@@ -21,7 +18,6 @@ from pyspark.sql import functions as F
 from runway import schemas as S
 from runway.functions import expr as X
 from runway.operators import dedupe
-from runway.operators.joins import MAX_DATE_ROWS, bounded_broadcast
 from runway.operators.keys import assign_keys
 from runway.operators.merge import insert_missing, upsert, upsert_on_key
 from runway.plans.stages import in_parallel
@@ -130,8 +126,8 @@ def route_codes(dim_flights: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 def statuses_for(statuses: DataFrame, category: str) -> DataFrame:
-    """F8: the seeded status rows of one category (bounded: broadcast)."""
-    return F.broadcast(statuses.where(F.col("category") == category).select("status_id", "status_code"))
+    """F8: the status rows of one category."""
+    return statuses.where(F.col("category") == category).select("status_id", "status_code")
 
 
 def load_weather_dim(target: DataFrame, weather: DataFrame, airports: DataFrame) -> DataFrame:
@@ -156,8 +152,7 @@ def build_fact_bookings(bookings: DataFrame, passengers: DataFrame, dim_flights:
     routes = route_codes(dim_flights, airports).select(
         "flight_id", "flight_number", F.col("dep_code").alias("departure_airport"),
         F.col("arr_code").alias("arrival_airport"))
-    day = bounded_broadcast(dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("booking_date_id")),
-                            MAX_DATE_ROWS)
+    day = dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("booking_date_id"))
     st = statuses_for(statuses, "booking").withColumnRenamed("status_code", "status")
     j = (bookings.join(passengers.select("passenger_name", "passenger_id"), "passenger_name", "left")
          .join(routes, ["flight_number", "departure_airport", "arrival_airport"], "left")
@@ -181,8 +176,7 @@ def build_fact_flights(flights: DataFrame, dim_flights: DataFrame, airports: Dat
     """J1 x2 + J2 + N11, keys numbered in (date, flight, times) order."""
     routes = route_codes(dim_flights, airports).select(
         "flight_id", "flight_number", F.col("dep_code").alias("departure"), F.col("arr_code").alias("arrival"))
-    day = bounded_broadcast(dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("flight_date_id")),
-                            MAX_DATE_ROWS)
+    day = dates.select(F.col("full_date").alias("_day"), F.col("date_id").alias("flight_date_id"))
     st = statuses_for(statuses, "flight").withColumnRenamed("status_code", "status")
     j = (flights.join(routes, ["flight_number", "departure", "arrival"], "left")
          .withColumn("_day", X.to_date("flight_date"))
@@ -196,15 +190,15 @@ def build_fact_flights(flights: DataFrame, dim_flights: DataFrame, airports: Dat
         F.col("actual_arrival").alias("actual_arrival_time"),
         X.delay_minutes("scheduled_departure", "actual_departure").alias("delay_minutes"),
         "flight_number", "aircraft_id")
-    order = ["flight_date_id", "flight_number", "scheduled_departure_time", "actual_departure_time",
-             "actual_arrival_time", "aircraft_id", "flight_id", "status_id"]
-    return assign_keys(facts, order, "flight_instance_id", unique=False).select(FACT_FLIGHT_COLUMNS)
+    order = ["flight_date_id", "flight_number", "scheduled_departure_time", "scheduled_arrival_time",
+             "actual_departure_time", "actual_arrival_time", "aircraft_id", "flight_id", "status_id"]
+    return assign_keys(facts, order, "flight_instance_id").select(FACT_FLIGHT_COLUMNS)
 
 
 def revenue_aggregate(fact_bookings: DataFrame, statuses: DataFrame,
                       codes: tuple[str, ...] | None = ("confirmed", "completed")) -> DataFrame:
     """Revenue per (flight, booking date) over the given statuses (all when ``None``)."""
-    st = F.broadcast(statuses.select("status_id", "status_code"))
+    st = statuses.select("status_id", "status_code")
     j = fact_bookings.join(st, "status_id")
     if codes is not None:
         j = j.where(F.col("status_code").isin(list(codes)))
@@ -229,7 +223,7 @@ def build_fact_maintenance(maintenance: DataFrame, aircraft: DataFrame, mtypes:
                            statuses: DataFrame) -> DataFrame:
     """J1 x3, keys numbered by (scheduled date, aircraft, type, description)."""
     st = statuses_for(statuses, "maintenance").withColumnRenamed("status_code", "status")
-    mt = F.broadcast(mtypes.select(F.col("type_code").alias("maintenance_type"), "maintenance_type_id"))
+    mt = mtypes.select(F.col("type_code").alias("maintenance_type"), "maintenance_type_id")
     j = (maintenance.join(aircraft.select("aircraft_code", "aircraft_id"), "aircraft_code", "left")
          .join(mt, "maintenance_type", "left").join(st, "status", "left"))
     facts = j.select("aircraft_id", "maintenance_type_id", "status_id", "scheduled_date", "completed_date",
@@ -237,7 +231,7 @@ def build_fact_maintenance(maintenance: DataFrame, aircraft: DataFrame, mtypes:
                      F.coalesce(F.col("description"), F.lit("")).alias("description"))
     order = ["scheduled_date", "aircraft_id", "maintenance_type_id", "status_id", "completed_date",
              "cost", "description"]
-    return assign_keys(facts, order, "maintenance_id", unique=False).select(
+    return assign_keys(facts, order, "maintenance_id").select(
         "maintenance_id", "aircraft_id", "maintenance_type_id", "status_id", "scheduled_date",
         "completed_date", "cost", "description")
 

@@ -169,6 +169,12 @@ STATUS_SEED = [
     ("in_progress", "В процессе", "maintenance"),
 ]
 
+# Pairs that the facts use and the seed lacks, ids 11 and 12.
+STATUS_ADDED = [
+    ("cancelled", "Отменён", "flight"),
+    ("completed", "Завершено", "maintenance"),
+]
+
 # dim_maintenance_types seed: (type_code, type_name, description), ids 1..6 in this order.
 MAINTENANCE_TYPE_SEED = [
     ("technical_inspection", "Технический осмотр", "Плановая проверка технического состояния"),
@@ -190,17 +196,15 @@ AIRCRAFT_MANUFACTURER = "Unknown"
 # ---------------------------------------------------------------------------
 
 
-def status_dim(spark: SparkSession, extra_pairs: bool = False) -> DataFrame:
+def status_dim(spark: SparkSession, added_pairs: bool = True) -> DataFrame:
     """Seeded dim_statuses.
 
-    With ``extra_pairs`` the (category, code) pairs the seed lacks
-    ('cancelled' for flights, 'completed' for maintenance) are appended
-    with ids after the seed (SURVEY Q6); the default keeps the seed as is.
+    The (category, code) pairs that facts use and the reference's seed lacks
+    are appended after it (SURVEY Q6); without ``added_pairs`` the seed stays
+    as it is and facts of those statuses resolve to NULL.
     """
-    rows = [(i + 1, c, n, cat) for i, (c, n, cat) in enumerate(STATUS_SEED)]
-    if extra_pairs:
-        rows += [(11, "cancelled", "Отменён", "flight"),
-                 (12, "completed", "Завершено", "maintenance")]
+    seed = STATUS_SEED + (STATUS_ADDED if added_pairs else [])
+    rows = [(i + 1, c, n, cat) for i, (c, n, cat) in enumerate(seed)]
     return spark.createDataFrame(rows, DIM_STATUSES)
 
 

@@ -1,21 +1,27 @@
 """Source readers.
 
-Every reader returns a lazy DataFrame with a declared schema (no schema
-inference pass over the data).  A disabled or missing source yields an
-empty DataFrame of the source schema, so downstream stages always run.
+Every reader returns a DataFrame with the declared columns and types.  Records
+that cannot be read go to a second DataFrame and are never dropped silently.  A
+disabled or missing source yields an empty DataFrame of the source schema, so
+downstream stages always run.
 """
 
 from __future__ import annotations
 
+import csv
 import logging
+import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runway.functions.expr import missing_to_null, parse_cell
+
 log = logging.getLogger(__name__)
 
 SKIP, FAIL = "skip", "fail"
@@ -116,7 +122,7 @@ def _arrow_uri(path: str) -> str:
 
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Read the first line of each file (runs inside tasks)."""
+    """Read the first line of each file, whatever its length (runs inside tasks); NULL for a file Arrow cannot open."""
     from pyarrow import fs as pafs
     for pdf in batches:
         headers = []
@@ -124,64 +130,88 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
                 with filesystem.open_input_stream(inner) as f:
-                    head = f.read(1 << 16).decode("utf-8-sig", errors="replace")
-                headers.append(head.splitlines()[0] if head else "")
-            except Exception as exc:  # unreadable file: reported as a missing header
+                    head = b""
+                    while not any(c in head for c in b"\r\n") and (block := f.read(1 << 16)):
+                        head += block
+                headers.append((head.decode("utf-8-sig", errors="replace").splitlines() or [""])[0])
+            except Exception:  # no client for that store on the executors: read through Spark instead
                 headers.append(None)
-                log.error("cannot read %s: %s", path, exc)
         yield pd.DataFrame({"path": pdf["path"], "header": headers})
 
 
 def read_headers(spark: SparkSession, files: list[str]) -> dict[str, str | None]:
-    """Header line of every file, read in parallel by the executors."""
+    """Header line of every file, read in parallel by the executors (one row per file comes back)."""
     if not files:
         return {}
     paths = spark.createDataFrame([(f,) for f in files], "path string")
     n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
     got = paths.repartition(n).mapInPandas(_first_lines, "path string, header string").collect()
     headers = {r["path"]: r["header"] for r in got}
-    # Files the executors' Arrow client cannot open (e.g. no libhdfs) are read
-    # through Spark's own Hadoop filesystem on the driver, first line only.
-    for path in [p for p, h in headers.items() if h is None]:
-        headers[path] = _hadoop_first_line(spark, path)
+    unread = [p for p, h in headers.items() if h is None]
+    if unread:
+        headers.update(_headers_through_spark(spark, unread))
     return headers
 
 
-def _hadoop_first_line(spark: SparkSession, path: str) -> str | None:
+def _headers_through_spark(spark: SparkSession, files: list[str]) -> dict[str, str | None]:
+    """Header lines read by Spark's own text scan, of the files Arrow cannot open: the first line of each first block."""
     try:
-        fs, p = _hadoop_fs(spark, path)
-        jvm = spark._jvm
-        stream = fs.open(p)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-        finally:
-            stream.close()
-        return None if line is None else line.lstrip("\ufeff")
-    except Exception as exc:  # unreadable: the file is reported as lacking the columns
-        log.error("cannot read %s: %s", path, exc)
-        return None
+        lines = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"),
+                                              F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+        firsts = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line")).collect()
+    except Exception as exc:  # unreadable: the files are reported as lacking the columns
+        log.error("cannot read %s: %s", files, exc)
+        return dict.fromkeys(files)
+    by_path = {_plain(r["file"]): r["line"].lstrip("\ufeff") for r in firsts}
+    return {f: by_path.get(_plain(f)) for f in files}
+
+
+def _plain(path: str) -> str:
+    """A file's path without the variants of writing it (``file:/x``, ``file:///x``, ``/x``, escaped characters)."""
+    from urllib.parse import unquote
+    return re.sub(r"^file:/+", "/", unquote(path))
 
 
 # ------------------------------------------------------------------ CSV
 
 def _split_header(header: str, sep: str) -> list[str]:
-    return [h.strip().strip('"') for h in header.split(sep)]
+    return [h.strip() for h in next(csv.reader([header], delimiter=sep), [])]
+
+
+_CORRUPT, _MORE = "_corrupt_record", "_more_cells"
+
+
+def _corrupt_text(cell: str) -> Column:
+    """The text of a record that did not parse, else NULL.  Spark refuses queries that need no other column than
+    that (a count, say), so the expression also reads a cell."""
+    return F.nullif(F.concat_ws("", F.col(_CORRUPT), F.substring(F.col(cell), 1, 0)), F.lit(""))
 
 
-def read_csv_files(spark: SparkSession, paths: list[str], expected: list[str],
-                   schema: T.StructType, on_error: str = SKIP, sep: str = ",") -> DataFrame:
-    """Multi-file CSV with a per-file header check, then a union by name.
+def _with_line_breaks(spark: SparkSession, files: list[str]) -> set[str]:
+    """Files in which a quoted cell holds a line break: some line has an odd number of quotation marks."""
+    lines = spark.read.text(files)
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    return {_plain(r[0]) for r in lines.where(odd).select("_metadata.file_path").distinct().collect()}
 
-    Files are grouped by header; each group is one parallel, splittable CSV
-    scan with a schema built from that header (known columns typed, extra
-    columns as text) and projected to the expected columns.  A file whose
-    header lacks an expected column is skipped or fails the read.
+
+def read_csv_parts(spark: SparkSession, paths: list[str], expected: list[str], schema: T.StructType,
+                   on_error: str = SKIP, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Multi-file CSV with a per-file header check: (rows of all files by name, rejected records).
+
+    Files are grouped by header; each group is one parallel scan of text cells
+    (RFC 4180 quoting), projected to the expected columns and parsed cell by
+    cell: a cell that does not parse is NULL, and so are the usual texts for
+    missing values.  Files are split between tasks, but for those with line
+    breaks inside quotes, which one task must read from the start.  A file
+    whose header lacks an expected column is skipped or fails the read.
+    Records with more cells than the header go to the rejects (file, record);
+    missing cells at the end of a record are NULL, as in pandas.
     """
     files = list_files(spark, paths, on_error)
     headers = read_headers(spark, files)
     typed = {f.name: f.dataType for f in schema.fields}
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    checked = []
     for path in files:
         header = headers.get(path)
         cols = _split_header(header, sep) if header else []
@@ -193,39 +223,79 @@ def read_csv_files(spark: SparkSession, paths: list[str], expected: list[str],
             continue
         if extra:
             log.warning("%s: extra columns ignored: %s", path, extra)
-        groups[tuple(cols)].append(path)
-    frames = []
-    mode = "FAILFAST" if on_error == FAIL else "PERMISSIVE"
-    for cols, group in groups.items():
-        file_schema = T.StructType([T.StructField(c, typed.get(c, T.StringType())) for c in cols])
-        df = (spark.read.schema(file_schema).option("header", True).option("sep", sep)
-              .option("mode", mode).option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
-              .csv(group))
-        frames.append(df.select(*expected))
-    if not frames:
-        return spark.createDataFrame([], T.StructType([T.StructField(c, typed[c]) for c in expected]))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        checked.append((path, tuple(cols)))
+    broken = _with_line_breaks(spark, [p for p, _ in checked]) if checked else set()
+    for path, cols in checked:
+        groups[cols, _plain(path) in broken].append(path)
+    rows, rejects = [], []
+    for (cols, multi_line), group in groups.items():
+        # Names are positions, so that a header may repeat names or differ only in case.
+        cells = [f"c{i}" for i in range(len(cols))]
+        text = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, _CORRUPT]])
+        options = {"sep": sep, "quote": '"', "escape": '"'}
+        df = (spark.read.schema(text).options(**options).option("header", True).option("multiLine", multi_line)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).option("columnPruning", False).csv(group))
+        wider = ", ".join(f"{c} string" for c in [*cells, _MORE])
+        too_wide = F.coalesce(F.from_csv(_corrupt_text(cells[0]), wider, options)[_MORE].isNotNull(), F.lit(False))
+        at = {name: cells[i] for i, name in reversed(list(enumerate(cols)))}
+        rows.append(df.where(~too_wide).select(*[parse_cell(missing_to_null(at[c]), typed[c]).alias(c) for c in expected]))
+        rejects.append(df.where(too_wide).select(F.col("_metadata.file_path").alias("file"), F.col(_CORRUPT).alias("record")))
+    if not rows:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, typed[c]) for c in expected])), _no_rejects(spark)
+    return reduce(DataFrame.unionByName, rows), _checked(reduce(DataFrame.unionByName, rejects), on_error)
+
+
+def read_csv_files(spark: SparkSession, paths: list[str], expected: list[str], schema: T.StructType,
+                   on_error: str = SKIP, sep: str = ",") -> DataFrame:
+    """The rows of ``read_csv_parts``."""
+    return read_csv_parts(spark, paths, expected, schema, on_error, sep)[0]
+
+
+def _no_rejects(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "file string, record string")
+
+
+def _checked(rejects: DataFrame, on_error: str) -> DataFrame:
+    """S7 for errors that show only when files are read: under ``fail`` any rejected record fails the read now."""
+    if on_error == FAIL:
+        first = rejects.first()
+        if first is not None:
+            raise SourceError(f"{first['file']}: cannot read record {first['record'][:200]!r}")
+    return rejects
 
 
 # ------------------------------------------------------------------ JSON
 
-def read_json(spark: SparkSession, paths: list[str], schema: T.StructType, on_error: str = SKIP,
-              json_array: bool = True) -> DataFrame:
-    """JSON records with a declared schema.
+def read_json_parts(spark: SparkSession, paths: list[str], schema: T.StructType, on_error: str = SKIP,
+                    json_array: bool = True) -> tuple[DataFrame, DataFrame]:
+    """JSON records: (declared columns, typed, then every other field as text; rejected records).
 
-    ``json_array`` reads files holding one top-level array (each file is one
-    task); line-delimited files (``json_array=False``) split across tasks and
-    are the layout to use at scale.
+    Cells are read as text and parsed one by one, so a cell of another type
+    costs that cell only.  Fields that are not declared are kept: their names
+    come from one pass over the files.  What is no JSON goes to the rejects
+    (file, record): a line, or a whole array file.  ``json_array`` reads files
+    holding one top-level array (each file is one task); line-delimited files
+    (``json_array=False``) split across tasks and are the layout to use at scale.
     """
     files = list_files(spark, paths, on_error)
     if not files:
-        return spark.createDataFrame([], schema)
-    mode = "FAILFAST" if on_error == FAIL else "DROPMALFORMED"
-    return (spark.read.schema(schema).option("multiLine", json_array).option("mode", mode)
-            .json(files))
+        return spark.createDataFrame([], schema), _no_rejects(spark)
+    reader = lambda: spark.read.option("multiLine", json_array).option("columnNameOfCorruptRecord", _CORRUPT)
+    found = reader().option("primitivesAsString", True).json(files).columns
+    declared = {f.name.lower() for f in schema.fields}
+    extra = [c for c in found if c.lower() not in declared and c != _CORRUPT]
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*schema.names, *extra, _CORRUPT]])
+    df = reader().schema(text).option("mode", "PERMISSIVE").json(files)
+    good = _corrupt_text(schema.names[0]).isNull()
+    rows = df.where(good).select(*[parse_cell(f.name, f.dataType).alias(f.name) for f in schema.fields], *[F.col(f"`{c}`") for c in extra])
+    rejects = df.where(~good).select(F.col("_metadata.file_path").alias("file"), F.col(_CORRUPT).alias("record"))
+    return rows, _checked(rejects, on_error)
+
+
+def read_json(spark: SparkSession, paths: list[str], schema: T.StructType, on_error: str = SKIP,
+              json_array: bool = True) -> DataFrame:
+    """The rows of ``read_json_parts``."""
+    return read_json_parts(spark, paths, schema, on_error, json_array)[0]
 
 
 # ------------------------------------------------------------------ parquet (S9) and SQL
@@ -242,13 +312,14 @@ def sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ switch and policy
 
-def extract_sources(spark: SparkSession, config: dict,
-                    schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
+def extract_sources(spark: SparkSession, config: dict, schemas: dict[str, T.StructType],
+                    rejects: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Read every configured source; disabled or unreadable ones become empty frames.
 
     ``config['sources'][name]`` holds ``enabled`` and ``format`` (``jdbc``,
     ``csv``, ``json``, ``parquet``) plus the format's own keys;
     ``config['processing']['on_validation_error']`` is ``skip`` or ``fail``.
+    ``rejects``, if given, gets the rejected records of each file source.
     """
     on_error = config.get("processing", {}).get("on_validation_error", SKIP)
     out = {}
@@ -261,25 +332,23 @@ def extract_sources(spark: SparkSession, config: dict,
         fmt = conf.get("format")
         # Maintenance files are always skipped on error, as in the reference.
         policy = SKIP if name == "maintenance" else on_error
+        bad = None
         try:
-            if fmt == "jdbc":
-                df = read_jdbc(spark, conf)
-                df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in df.columns])
+            if fmt in ("jdbc", "parquet"):
+                df = read_jdbc(spark, conf) if fmt == "jdbc" else read_parquet(spark, conf["path"])
+                df = select_expected(df, schema.names).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
             elif fmt == "csv":
-                df = read_csv_files(spark, conf["files"], [f.name for f in schema.fields], schema, policy)
+                df, bad = read_csv_parts(spark, conf["files"], schema.names, schema, policy)
             elif fmt == "json":
-                df = read_json(spark, conf["files"], schema, policy, conf.get("json_array", True))
-            elif fmt == "parquet":
-                df = read_parquet(spark, conf["path"]).select(
-                    *[F.col(f.name).cast(f.dataType) for f in schema.fields])
+                df, bad = read_json_parts(spark, conf["files"], schema, policy, conf.get("json_array", True))
             else:
                 raise SourceError(f"unknown format {fmt!r} for {name}")
-        except SourceError:
-            raise
         except Exception as exc:
-            if policy == FAIL:
+            if policy == FAIL or isinstance(exc, SourceError) and fmt not in ("csv", "json", "jdbc", "parquet"):
                 raise
             log.error("source %s failed, using empty input: %s", name, exc)
             df = spark.createDataFrame([], schema)
+        if rejects is not None and bad is not None:
+            rejects[name] = bad
         out[name] = df
     return out

@@ -23,6 +23,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def _rename(fs, source, target) -> None:
+    """Rename, or fail: ``FileSystem.rename`` tells of most failures by returning false."""
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
+
+
+def swap_in(fs, staging, target, old) -> None:
+    """Put ``staging`` in ``target``'s place; the old image is deleted only after that, and put back if it fails."""
+    _rename(fs, target, old)
+    try:
+        _rename(fs, staging, target)
+    except Exception:
+        _rename(fs, old, target)
+        raise
+    fs.delete(old, True)
+
+
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     """Full refresh as one staged write followed by a directory swap.
 
@@ -35,15 +52,12 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = N
     fs, Path = _fs(spark, path)
     target = Path(path)
     if fs.exists(target):
-        old = Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
-        fs.rename(target, old)
-        fs.rename(Path(staging), target)
-        fs.delete(old, True)
+        swap_in(fs, Path(staging), target, Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}"))
     else:
         parent = target.getParent()
         if parent is not None and not fs.exists(parent):
             fs.mkdirs(parent)
-        fs.rename(Path(staging), target)
+        _rename(fs, Path(staging), target)
     return path
 
 

@@ -89,3 +89,16 @@ def test_null_count(spark):
     df = spark.createDataFrame([(None, float("nan"), "a"), (1, 2.0, None)], "a int, b double, c string")
     got = df.select(X.null_count(["a", "b", "c"], {"b"}).alias("n")).collect()
     assert [r.n for r in got] == [2, 1]
+
+
+def test_written_forms_of_times(spark):
+    texts = ["2024-02-01T09:05:00Z", " 2024-02-01 09:05 ", "01.02.2024 9:05", "2/1/2024 09:05:00", "2024/2/1 9:05", "20240201 090500", "1 Feb 2024 9:05",
+             "Feb 1, 2024 9:05"]
+    got = one_col(spark, texts, lambda c: X.safe_timestamp(c).cast("timestamp_ntz"))
+    assert {str(x) for x in got} == {"2024-02-01 09:05:00"}
+    assert one_col(spark, ["", "32.01.2024", "13/13/2024", "soon", None, "20241", "09:05:00"], lambda c: X.safe_timestamp(c).cast("string")) == [None] * 7
+    assert [str(x) for x in one_col(spark, ["1.2.2024", "2/1/2024", "20240201"], X.safe_date)] == ["2024-02-01"] * 3
+
+
+def test_strip_any_white_space(spark):
+    assert one_col(spark, ["\t a b \u00a0\n", "\u2003x\u3000", "", None], X.strip_ws) == ["a b", "x", "", None]

@@ -24,33 +24,34 @@ def test_end_to_end(spark, tmp_dir):
     res = job.run(spark, _raw(spark, tmp_dir), root)
     rep = {r.source: r for r in res.report.collect()}
     b = rep["bookings"]
-    assert (b.initial_rows, b.final_rows, b.rejected_rows, b.duplicates_removed) == (7, 6, 1, 1)
+    assert (b.initial_rows, b.final_rows, b.rejected_rows, b.duplicates_removed) == (10, 8, 1, 2)
     assert b.fill_report["ticket_price"].method == "median"
-    # median of the six known prices after dedupe: 9000 11000 13500 17000 21000 -> 13500
-    assert b.fill_report["ticket_price"].value == "13500.0"
+    # known prices after dedupe: 3100 3300 5200 7400 7900 8100
+    assert b.fill_report["ticket_price"].value == "6300.0" and b.fill_report["ticket_price"].filled == 2
     assert rep["maintenance"].rejected_rows == 1 and rep["maintenance"].final_rows == 3
     assert rep["weather"].outliers_report["temperature"]["count"] == 1
 
     clean = res.cleaned["bookings"]
-    assert sorted(r.flight_number for r in clean.collect()) == ["SU201", "SU202", "SU203", "SU204", "SU205", "SU206"]
-    assert {r.departure_airport for r in clean.collect()} == {"SVO", "DME", "LED"}
-    assert clean.where("currency <> 'RUB' OR status NOT IN ('confirmed', 'cancelled')").count() == 0
+    assert sorted(r.flight_number for r in clean.collect()) == [
+        "DP410", "DP410", "DP411", "N477", "N477", "N478", "WZ900", "WZ901"]
+    assert {r.departure_airport for r in clean.collect()} == {"KZN", "AER", "OVB", "KJA", "UFA", "ROV"}
+    assert clean.where("currency <> 'EUR' OR status NOT IN ('confirmed', 'cancelled', 'pending', 'completed')").count() == 0
 
     t = res.tables
-    assert sorted(r.airport_code for r in t["dim_airports"].collect()) == ["DME", "KZN", "LED", "SVO", "SVX"]
-    assert t["dim_passengers"].count() == 6 and t["fact_bookings"].count() == 6
-    delays = {r.flight_id: r.delay_minutes for r in t["fact_flights"].collect()}
-    assert sorted(d for d in delays.values() if d is not None) == [0, 20, 45]
+    assert sorted(r.airport_code for r in t["dim_airports"].collect()) == ["AER", "KJA", "KZN", "OVB", "ROV", "UFA"]
+    assert t["dim_passengers"].count() == 5 and t["fact_bookings"].count() == 8
+    delays = [r.delay_minutes for r in t["fact_flights"].collect()]
+    assert sorted(d for d in delays if d is not None) == [0, 0, 12, 30]
     rev = t["fact_revenue"].collect()
-    assert all(r.cancelled_count == 0 for r in rev) and sum(r.passenger_count for r in rev) == 5
+    assert all(r.cancelled_count == 0 for r in rev) and sum(r.passenger_count for r in rev) == 6
 
     checks = {r.check: r for r in res.checks.collect()}
     assert checks["no_duplicate_airports"].passed and checks["airport_codes_format"].passed
     assert checks["fk_bookings_flight"].passed and checks["flight_status_values"].passed
-    assert not checks["orphan_maintenance_status"].passed  # 'completed' has no maintenance row (seed)
+    assert checks["orphan_maintenance_status"].passed  # 'completed' is among the added pairs
 
     view = marts.bookings_view(t).collect()
-    assert len(view) == 6 and view[0].booking_date >= view[-1].booking_date
+    assert len(view) == 8 and view[0].booking_date >= view[-1].booking_date
 
     # A second load of the same sources leaves every dimension as it was.
     before = {n: sorted(tuple(r) for r in t[n].collect()) for n in ("dim_airports", "dim_flights", "dim_passengers")}
@@ -86,9 +87,9 @@ def test_dashboard_charts(spark, tmp_dir):
     charts = marts.dashboard(res.tables, res.report, statuses=["confirmed"], price_range=(0, 50000))
     counts = {k: v.count() for k, v in charts.items()}
     assert counts["booking_status_counts"] == 1 and counts["kpis"] == 4 and counts["quality_summary"] == 5
-    assert counts["flights_table"] == 5 and counts["price_histogram"] >= 1
+    assert counts["flights_table"] == 6 and counts["price_histogram"] >= 1
     kp = {r.metric: r.value for r in charts["kpis"].collect()}
-    assert kp["total_bookings"] == 6.0 and kp["total_flights"] == 5.0
+    assert kp["total_bookings"] == 8.0 and kp["total_flights"] == 6.0
 
 
 def test_command_line_with_reference_config(spark, tmp_dir):
@@ -113,7 +114,7 @@ processing:
     # Bookings are switched off, so fact_bookings is empty and its not-empty check fails.
     assert main(["--config", conf, "--out", out]) == 1
     raw = spark.read.parquet(f"{out}/raw/flights_raw")
-    assert raw.count() == 5 and spark.read.parquet(f"{out}/raw/logs_raw").count() == 3
+    assert raw.count() == 6 and spark.read.parquet(f"{out}/raw/logs_raw").count() == 3
     assert spark.read.parquet(f"{out}/raw/bookings_raw").count() == 0
 
 
@@ -125,10 +126,10 @@ def test_date_partitioned_facts_prune(spark, tmp_dir):
         a = sorted(repr(tuple(r[c] for c in sorted(plain.tables[name].columns))) for r in plain.tables[name].collect())
         b = sorted(repr(tuple(r[c] for c in sorted(parted.tables[name].columns))) for r in parted.tables[name].collect())
         assert a == b, name
-    assert os.path.isdir(os.path.join(tmp_dir, "parted/dwh/fact_flights/flight_date_id=20240201"))
+    assert os.path.isdir(os.path.join(tmp_dir, "parted/dwh/fact_flights/flight_date_id=20240305"))
     t = parted.tables
-    q = (t["fact_flights"].join(t["dim_dates"].where(F.col("day") == 1),
+    q = (t["fact_flights"].join(t["dim_dates"].where(F.col("day") == 10),
                                 F.col("flight_date_id") == F.col("date_id")).select("flight_instance_id"))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
-    assert q.count() == 2
+    assert q.count() == 1
