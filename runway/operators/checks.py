@@ -94,6 +94,29 @@ def orphan_facts(fact: DataFrame, dim: DataFrame, name: str, fk: str, pk: str) -
     return _result(name, missing.agg(F.count(F.lit(1)).alias("v")))
 
 
+def declared_constraints(t: dict[str, DataFrame], constraints: dict[str, tuple], parent_keys: dict[str, str]) -> list[DataFrame]:
+    """One row per declared NOT NULL, UNIQUE and foreign-key constraint.
+
+    A table's NOT NULL columns and foreign keys share one pass: the keys of each parent are joined once
+    per foreign key and a key without parent is counted in the same aggregate.  NULL keys break neither a
+    foreign key nor a UNIQUE group, as in SQL.
+    """
+    out = []
+    for name, (not_null, unique, foreign) in constraints.items():
+        if name not in t:
+            continue
+        rows = t[name].select(*dict.fromkeys([*not_null, *foreign]))
+        conditions = {f"not_null_{name}_{c}": F.col(c).isNull() for c in not_null}
+        for key, parent in foreign.items():
+            found = t[parent].select(F.col(parent_keys[parent]).alias(f"_{key}")).distinct()
+            rows = rows.join(found, F.col(key) == F.col(f"_{key}"), "left")
+            conditions[f"fk_{name}_{key}"] = F.col(key).isNotNull() & F.col(f"_{key}").isNull()
+        if conditions:
+            out.append(row_checks(rows, conditions))
+        out += [unique_key(t[name].dropna(subset=keys), f"unique_{name}_{'_'.join(keys)}", keys) for keys in unique]
+    return out
+
+
 def run_suite(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -113,14 +113,11 @@ def quality_checks(t: dict[str, DataFrame]) -> DataFrame:
                          S.VALID_BOOKING_STATUSES),
         C.allowed_values(ff, t["dim_statuses"], "flight_status_values", "status_id", "status_id", "status_code",
                          S.VALID_FLIGHT_STATUSES),
-        C.foreign_key(fb, t["dim_passengers"], "fk_bookings_passenger", "passenger_id", "passenger_id"),
-        C.foreign_key(fb, t["dim_flights"], "fk_bookings_flight", "flight_id", "flight_id"),
-        C.foreign_key(ff, t["dim_flights"], "fk_flights_flight", "flight_id", "flight_id"),
         C.orphan_facts(fb, t["dim_statuses"], "orphan_bookings_status", "status_id", "status_id"),
         C.orphan_facts(ff, t["dim_statuses"], "orphan_flights_status", "status_id", "status_id"),
         C.orphan_facts(fm, t["dim_statuses"], "orphan_maintenance_status", "status_id", "status_id"),
     ]
-    return C.run_suite(suite)
+    return C.run_suite(suite + C.declared_constraints(t, S.CONSTRAINTS, S.PARENT_KEYS))
 
 
 def run_from_config(spark: SparkSession, config: dict, root: str, exact: bool = True,

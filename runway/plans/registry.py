@@ -480,7 +480,7 @@ def m15(spark, sf):
             .select("status_id", "status_code", "category", F.coalesce("count", F.lit(0)).alias("facts")))
 
 
-@register("m16_dim_weather", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE, Q.WEATHER_RAW, Q.WEATHER_CLEAN) + """
+_WEATHER_DIM = """
 SELECT row_number() OVER (ORDER BY airport_id NULLS FIRST, observation_time NULLS FIRST) AS weather_id, *
 FROM (SELECT a.airport_id, w."timestamp" AS observation_time,
              min(""" + Q.dec('w.temperature', 5, 2) + """) AS temperature,
@@ -489,7 +489,10 @@ FROM (SELECT a.airport_id, w."timestamp" AS observation_time,
              arg_min(CAST(w.visibility AS INTEGER), """ + Q.dec('w.temperature', 5, 2) + """) AS visibility,
              arg_min(w.conditions, """ + Q.dec('w.temperature', 5, 2) + """) AS conditions
       FROM weather_clean w LEFT JOIN dim_airports a ON w.airport_code = a.airport_code
-      GROUP BY a.airport_id, w."timestamp")""")
+      GROUP BY a.airport_id, w."timestamp")"""
+
+
+@register("m16_dim_weather", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE, Q.WEATHER_RAW, Q.WEATHER_CLEAN) + _WEATHER_DIM)
 def m16(spark, sf):
     return _tables(spark, sf)["dim_weather"].withColumn(
         "observation_time", F.col("observation_time").cast("timestamp_ntz"))
@@ -978,19 +981,6 @@ _CHECK_SQL = {
         ("no_null_flight_numbers", "SELECT count(*) FROM fact_flights ff JOIN dim_flights df ON ff.flight_id = df.flight_id "
                                    "WHERE df.flight_number IS NULL"),
         ("no_null_booking_refs", "SELECT count(*) FROM fact_bookings WHERE booking_ref IS NULL")],
-    "v9c_declared_constraints": [
-        ("fk_bookings_passenger", "SELECT count(*) FROM fact_bookings f WHERE passenger_id IS NOT NULL AND passenger_id "
-                                  "NOT IN (SELECT passenger_id FROM dim_passengers)"),
-        ("fk_bookings_flight", "SELECT count(*) FROM fact_bookings f WHERE flight_id IS NOT NULL AND flight_id NOT IN "
-                               "(SELECT flight_id FROM dim_flights)"),
-        ("fk_flights_flight", "SELECT count(*) FROM fact_flights f WHERE flight_id IS NOT NULL AND flight_id NOT IN "
-                              "(SELECT flight_id FROM dim_flights)"),
-        ("orphan_bookings_status", "SELECT count(*) FROM fact_bookings f WHERE status_id IS NULL OR status_id NOT IN "
-                                   "(SELECT status_id FROM dim_statuses)"),
-        ("orphan_flights_status", "SELECT count(*) FROM fact_flights f WHERE status_id IS NULL OR status_id NOT IN "
-                                  "(SELECT status_id FROM dim_statuses)"),
-        ("orphan_maintenance_status", "SELECT count(*) FROM fact_maintenance f WHERE status_id IS NULL OR status_id "
-                                      "NOT IN (SELECT status_id FROM dim_statuses)")],
 }
 
 for _qname, _items in _CHECK_SQL.items():
@@ -999,6 +989,27 @@ for _qname, _items in _CHECK_SQL.items():
             [n for n, _ in _items]))
 
 
+def _constraint_sql() -> list[tuple[str, str]]:
+    from runway.schemas import CONSTRAINTS, PARENT_KEYS
+    out = [(f"orphan_{n}_status", f"SELECT count(*) FROM fact_{n} WHERE status_id IS NULL OR status_id NOT IN (SELECT status_id FROM dim_statuses)")
+           for n in ("bookings", "flights", "maintenance")]
+    for table, (not_null, unique, foreign) in CONSTRAINTS.items():
+        out += [(f"not_null_{table}_{c}", f"SELECT count(*) FROM {table} WHERE {c} IS NULL") for c in not_null]
+        out += [(f"fk_{table}_{c}", f"SELECT count(*) FROM {table} WHERE {c} NOT IN (SELECT {PARENT_KEYS[p]} FROM {p})") for c, p in foreign.items()]
+        for keys in unique:
+            present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+            out.append((f"unique_{table}_{'_'.join(keys)}", f"SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {present} "
+                                                            f"GROUP BY {', '.join(keys)} HAVING count(*) > 1)"))
+    return out
+
+
+@register("v9c_declared_constraints", Q.with_(*Q.SOURCES_CLEAN, Q.WAREHOUSE, Q.WEATHER_RAW, Q.WEATHER_CLEAN, f"dim_weather AS ({_WEATHER_DIM})")
+          + "\nUNION ALL\n".join(_check_sql(n, q) for n, q in _constraint_sql()))
+def v9c(spark, sf):
+    """All 12 NOT NULL, 7 UNIQUE and 16 foreign-key constraints, and the facts without a status."""
+    return _checks(spark, sf).where(F.col("check").isin([n for n, _ in _constraint_sql()]))
+
+
 # =============================================================== 2.1 sources and sinks
 
 def _scratch(spark, name: str) -> str:

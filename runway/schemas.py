@@ -185,6 +185,29 @@ MAINTENANCE_TYPE_SEED = [
     ("cabin_check", "Проверка салона", "Проверка состояния салона"),
 ]
 
+# Declared constraints: table -> (NOT NULL columns, UNIQUE column groups, {foreign key: parent table}).
+# Status codes are unique within a category, since the added pairs repeat two of them.
+CONSTRAINTS = {
+    "dim_airports": (["airport_code"], [["airport_code"]], {}),
+    "dim_aircraft": (["aircraft_code"], [["aircraft_code"]], {}),
+    "dim_dates": (["full_date"], [], {}),
+    "dim_flights": (["flight_number"], [["flight_number", "departure_airport_id", "arrival_airport_id"]],
+                    {"departure_airport_id": "dim_airports", "arrival_airport_id": "dim_airports", "aircraft_id": "dim_aircraft"}),
+    "dim_passengers": (["passenger_name"], [["passenger_name"]], {}),
+    "dim_weather": (["observation_time"], [["airport_id", "observation_time"]], {"airport_id": "dim_airports"}),
+    "dim_maintenance_types": (["type_code"], [["type_code"]], {}),
+    "dim_statuses": (["status_code"], [["category", "status_code"]], {}),
+    "fact_bookings": (["booking_ref"], [], {"passenger_id": "dim_passengers", "flight_id": "dim_flights",
+                                            "booking_date_id": "dim_dates", "status_id": "dim_statuses"}),
+    "fact_flights": ([], [], {"flight_id": "dim_flights", "flight_date_id": "dim_dates", "status_id": "dim_statuses"}),
+    "fact_revenue": (["total_revenue", "passenger_count"], [], {"flight_id": "dim_flights", "date_id": "dim_dates"}),
+    "fact_maintenance": (["scheduled_date"], [], {"aircraft_id": "dim_aircraft", "maintenance_type_id": "dim_maintenance_types",
+                                                  "status_id": "dim_statuses"}),
+}
+# The key column of each parent table.
+PARENT_KEYS = {"dim_airports": "airport_id", "dim_aircraft": "aircraft_id", "dim_dates": "date_id", "dim_flights": "flight_id",
+               "dim_passengers": "passenger_id", "dim_statuses": "status_id", "dim_maintenance_types": "maintenance_type_id"}
+
 # Allowed status values used by the data-quality checks.
 VALID_BOOKING_STATUSES = ["confirmed", "cancelled", "pending", "completed"]
 VALID_FLIGHT_STATUSES = ["scheduled", "landed", "delayed", "cancelled", "diverted"]

@@ -47,7 +47,7 @@ def test_end_to_end(spark, tmp_dir):
 
     checks = {r.check: r for r in res.checks.collect()}
     assert checks["no_duplicate_airports"].passed and checks["airport_codes_format"].passed
-    assert checks["fk_bookings_flight"].passed and checks["flight_status_values"].passed
+    assert checks["fk_fact_bookings_flight_id"].passed and checks["flight_status_values"].passed
     assert checks["orphan_maintenance_status"].passed  # 'completed' is among the added pairs
 
     view = marts.bookings_view(t).collect()
