@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from runway import schemas as S
 from runway.operators import checks as C
+from runway.operators import quality
 from runway.plans import cleaning
 from runway.plans.stages import in_parallel
 from runway.plans.warehouse import Warehouse
@@ -30,6 +31,7 @@ class JobResult:
     report: DataFrame
     tables: dict[str, DataFrame]
     checks: DataFrame
+    final_report: DataFrame
 
 
 def extract_raw(spark: SparkSession, config: dict, root: str) -> dict[str, DataFrame]:
@@ -59,7 +61,10 @@ def extract_raw(spark: SparkSession, config: dict, root: str) -> dict[str, DataF
 
 def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True,
               workers: int = 5):
-    """T1-T5, with the cleaned zone, the reject tables and the quality report written under ``root``."""
+    """T1-T5, with the cleaned zone, the reject tables and the reports written under ``root``.
+
+    Each cleaned table is validated (A2) where its pipeline ends: rows, duplicates, empty rows, NULLs per column.
+    """
 
     def clean_one(name: str):
         out = cleaning.TRANSFORMS[name](raw[name], exact=exact)
@@ -71,6 +76,8 @@ def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact:
             rpath = f"{root}/cleaned/{name}_rejected"
             sinks.write_rejects(out.rejects, rpath)
             rejected = spark.read.schema(out.rejects.schema).parquet(rpath)
+        fpath = f"{root}/reports/final_report/{name}"
+        sinks.write_parquet(quality.validate_results(clean, name, S.REQUIRED[name]), fpath)
         return clean, rejected, out.report
 
     done = in_parallel({n: (lambda n=n: clean_one(n)) for n in cleaning.TRANSFORMS}, workers)
@@ -79,7 +86,8 @@ def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact:
     report = cleaning.report_frame(spark, [done[n][2] for n in cleaning.TRANSFORMS])
     sinks.write_report(report, f"{root}/reports/quality_report")
     report = sinks.read_report(spark, f"{root}/reports/quality_report", cleaning.SOURCE_REPORT)
-    return cleaned, rejects, report
+    final = spark.read.schema(quality.REPORT_SCHEMA).parquet(*[f"{root}/reports/final_report/{n}" for n in cleaning.TRANSFORMS])
+    return cleaned, rejects, report, final
 
 
 def quality_checks(t: dict[str, DataFrame]) -> DataFrame:
@@ -133,8 +141,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool =
     ``partition_facts`` stores the facts in date-key folders (see ``Warehouse``), the layout to use
     on a cluster; it is off by default because small local runs only pay its file-listing cost.
     """
-    cleaned, rejects, report = clean_all(spark, raw, root, exact, workers)
+    cleaned, rejects, report, final_report = clean_all(spark, raw, root, exact, workers)
     wh = Warehouse(spark, f"{root}/dwh", partition_facts=partition_facts)
     tables = wh.load(cleaned["bookings"], cleaned["flights"], cleaned["maintenance"], cleaned["weather"],
                      workers=workers)
-    return JobResult(cleaned, rejects, report, tables, quality_checks(tables))
+    return JobResult(cleaned, rejects, report, tables, quality_checks(tables), final_report)

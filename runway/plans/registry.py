@@ -439,6 +439,36 @@ register("t4_clean_weather", Q.with_(Q.WEATHER_RAW, Q.WEATHER_CLEAN) + "SELECT *
 register("t5_clean_maintenance", Q.with_(*Q.SOURCES_CLEAN) + "SELECT * FROM maintenance_clean")(
     lambda spark, sf: job_result(spark, sf).cleaned["maintenance"])
 
+# ---- A2 at the end of T1-T5: the report of each cleaned source
+_CLEANED = {"bookings": (Q.SOURCES_CLEAN, Q.BOOKING_COLS), "flights": (Q.SOURCES_CLEAN, Q.FLIGHT_COLS),
+            "logs": ([Q.LOGS_RAW, Q.LOGS_CLEAN], ["timestamp", "level", "flight_number", "message"]),
+            "weather": ([Q.WEATHER_RAW, Q.WEATHER_CLEAN], ["airport_code", "timestamp", "temperature", "humidity", "wind_speed",
+                                                          "visibility", "conditions"]),
+            "maintenance": (Q.SOURCES_CLEAN, Q.MAINT_COLS)}
+
+
+def _final_report_sql(name: str) -> str:
+    parts, cols = _CLEANED[name]
+    names = [f'"{c}"' for c in cols]
+    z = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in names)
+    return Q.with_(*parts) + f"""
+SELECT '{name}' AS source, CAST(sum(n) AS BIGINT) AS total_rows, {len(cols)} AS total_columns, CAST(sum(n - 1) AS BIGINT) AS duplicate_count,
+       CAST(coalesce(sum(n) FILTER (WHERE z = {len(cols)}), 0) AS BIGINT) AS empty_rows, CAST(sum(n * z) AS BIGINT) AS nulls,
+       (1 - CAST(sum(n * z) AS DOUBLE) / CAST(sum(n) * {len(cols)} AS DOUBLE)) * 100.0 AS completeness_percent
+FROM (SELECT {', '.join(names)}, {z} AS z, count(*) AS n FROM {name}_clean GROUP BY ALL)"""
+
+
+def _final_report(name: str):
+    def run(spark, sf):
+        nulls = F.aggregate(F.map_values("null_counts"), F.lit(0).cast("long"), lambda a, x: a + x)
+        return job_result(spark, sf).final_report.where(F.col("source") == name).select(
+            "source", "total_rows", "total_columns", "duplicate_count", "empty_rows", nulls.alias("nulls"), "completeness_percent")
+    return run
+
+
+for _n, _source in enumerate(("bookings", "flights", "logs", "weather", "maintenance"), 1):
+    register(f"t{_n}_final_report", _final_report_sql(_source))(_final_report(_source))
+
 # ---- M6-M14, M16: warehouse tables after a fresh load
 for _name, _table in [("m6_dim_airports", "dim_airports"), ("m7_dim_aircraft", "dim_aircraft"),
                       ("m8_dim_dates", "dim_dates"), ("m9_dim_passengers", "dim_passengers"),
@@ -1116,14 +1146,34 @@ def s13(spark, sf):
                               "AS DECIMAL(18,2)) AS total FROM {orders} GROUP BY o_orderstatus", orders=o)
 
 
-@register("s8_extract_sources", Q.with_(Q.FLIGHTS_RAW, Q.MAINTENANCE_RAW, Q.LOGS_RAW, Q.WEATHER_RAW) + """
-SELECT 'bookings' AS source, CAST(0 AS BIGINT) AS rows
-UNION ALL SELECT 'flights', count(*) FROM flights_raw
-UNION ALL SELECT 'maintenance', count(*) FROM maintenance_raw
-UNION ALL SELECT 'logs', count(*) FROM logs_raw
-UNION ALL SELECT 'weather', count(*) FROM weather_raw""")
+def _record_sql(source: str) -> str:
+    """Every row of a source as one text, cells in schema order; in the raw zone CSV's missing texts are NULL."""
+    from runway import schemas as S
+    from pyspark.sql import types as T
+    cells = []
+    for f in S.SOURCE_SCHEMAS[source].fields:
+        c = f'"{f.name}"'
+        if isinstance(f.dataType, T.DoubleType):
+            c = Q.dec(c, 18, 3)
+        elif source == "maintenance":
+            c = f"nullif({c}, 'n/a')"
+        cells.append(f"coalesce(CAST({c} AS VARCHAR), '~')")
+    return f"SELECT '{source}' AS source, concat_ws('|', {', '.join(cells)}) AS record FROM {source}_raw"
+
+
+def _record(df: DataFrame, source: str) -> DataFrame:
+    from runway import schemas as S
+    cells = [F.col(f.name).cast("decimal(18,3)") if f.dataType.typeName() == "double" else F.col(f.name) for f in S.SOURCE_SCHEMAS[source].fields]
+    return df.select(F.lit(source).alias("source"), F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in cells]).alias("record"))
+
+
+_READ = ("flights", "maintenance", "logs", "weather")
+
+
+@register("s8_extract_sources", Q.with_(Q.FLIGHTS_RAW, Q.MAINTENANCE_RAW, Q.LOGS_RAW, Q.WEATHER_RAW)
+          + "\nUNION ALL\n".join(map(_record_sql, _READ)))
 def s8(spark, sf):
-    """S7/S8 + extract: files of four sources, the bookings source switched off, raw zone written."""
+    """S7/S8 + extract: files of four sources, the bookings source switched off; all rows of the raw zone."""
     from runway.plans import job
     t = _t(spark, sf, "orders", "lineitem", "part", "events")
     root = _scratch(spark, "s8-extract")
@@ -1141,9 +1191,9 @@ def s8(spark, sf):
         "weather": {"enabled": True, "format": "json", "files": [f"{root}/in/weather"], "json_array": False}},
         "processing": {"on_validation_error": "skip"}}
     raw = job.extract_raw(spark, config, root)
-    parts = [raw[n].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("source"), "rows")
-             for n in ("bookings", "flights", "maintenance", "logs", "weather")]
-    return dedupe.union_by_name(parts)
+    if not raw["bookings"].isEmpty():
+        raise AssertionError("a disabled source must be empty")
+    return dedupe.union_by_name([_record(raw[n], n) for n in _READ])
 
 
 @register("f2_f5_dashboard_filters", W() + """
