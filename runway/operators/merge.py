@@ -52,8 +52,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], id_col: str,
     merged = j.select(F.col(f"t.{id_col}").alias(id_col), *[pick(c) for c in cols],
                       F.coalesce(F.col("t._in_tgt"), F.lit(False)).alias("_old"))
     if not _known_empty(target):
-        # Both halves below read the join; checkpoint it so it runs once.
-        merged = merged.checkpoint()
+        # Both halves below read the join; staged so that it runs once.
+        from runway.sources.sinks import materialize
+        merged = materialize(merged, "merged")
     existing = merged.where("_old").drop("_old")
     fresh = merged.where(~F.col("_old")).drop("_old", id_col)
     fresh = assign_keys(fresh, keys, id_col, start=max_key(target, id_col))

@@ -1,8 +1,8 @@
 """Per-source cleaning pipelines (T1-T5): DataFrame -> (clean, rejects, report).
 
-Intermediate results that several actions read (counts, quantile passes,
-fill values) are written once to the shared folder and read back, so the
-source is scanned once and each statistic reads only its own column.
+Each pipeline reads a source as landed in the raw zone and writes one
+intermediate copy, the standardised and de-duplicated rows, which the
+quantile passes and fill values read column by column.
 """
 
 from __future__ import annotations
@@ -67,41 +67,28 @@ def standardize_formats(df: DataFrame) -> DataFrame:
     return df.withColumns(fixes) if fixes else df
 
 
-def split_bad_rows(df: DataFrame, name: str, max_nulls: int = 2,
-                   stage: bool = True) -> tuple[DataFrame, DataFrame]:
-    """F1 + S10 in one pass: the flagged rows are written once, partitioned by the flag."""
+def split_bad_rows(df: DataFrame, max_nulls: int = 2) -> tuple[DataFrame, DataFrame]:
+    """F1 + S10: the flag is a cheap expression of the row, so both sides are filters on ``df`` and need no copy."""
     flagged = quality.flag_bad_rows(df, max_nulls)
-    if stage:
-        # The filters below prune to one partition folder each.
-        flagged = materialize(flagged, f"{name}-flagged", ["_bad"])
     good = flagged.where(~F.col("_bad")).drop("_bad", "null_count").select(*df.columns)
     bad = flagged.where(F.col("_bad")).drop("_bad").select(*df.columns, "null_count")
     return good, bad
 
 
-def _split_summary(good: DataFrame, bad: DataFrame, required: list[str]) -> tuple[int, int, float | None]:
-    """Rows on each side of a split and the completeness of ``required`` over both, one job.
-
-    Completeness is that of ``quality.completeness_percent`` on all rows of the
-    source (good and bad together): the NULL counts are integers summed per
-    side, so the result is the same number.
-    """
-    missing = any(c not in good.columns for c in required)
-    measured = bool(required) and not missing
-    nulls = null_count(required, stats.float_columns(good)) if measured else F.lit(0)
-    both = good.select(F.lit(False).alias("b"), nulls.alias("z")).unionAll(
-        bad.select(F.lit(True).alias("b"), nulls.alias("z")))
-    got = {r["b"]: (r["n"], r["z"]) for r in
-           both.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum("z").alias("z")).collect()}
-    (n_good, z_good), (n_bad, z_bad) = got.get(False, (0, 0)), got.get(True, (0, 0))
-    rows = n_good + n_bad
+def _split_summary(df: DataFrame, required: list[str], max_nulls: int = 2) -> tuple[int, int, float | None]:
+    """Good and rejected rows of a source and the completeness of ``required`` over both, one scan."""
+    missing = any(c not in df.columns for c in required)
+    nulls = null_count(required, stats.float_columns(df)) if required and not missing else F.lit(0)
+    flagged = quality.flag_bad_rows(df, max_nulls)
+    row = flagged.agg(F.count_if(~F.col("_bad")).alias("good"), F.count_if("_bad").alias("bad"), F.sum(nulls).alias("z")).first()
+    rows = row["good"] + row["bad"]
     if missing:
         before = 0.0
     elif not required or not rows:
         before = None
     else:
-        before = (1 - (z_good + z_bad) / (rows * len(required))) * 100
-    return n_good, n_bad, before
+        before = (1 - row["z"] / (rows * len(required))) * 100
+    return row["good"], row["bad"], before
 
 
 def _fill_map(fill: DataFrame) -> dict:
@@ -131,9 +118,8 @@ def _standard_pipeline(df: DataFrame, source: str, outlier_cols: list[str], *,
                        ignore_cols=dedupe.DEFAULT_IGNORE, dedupe_after_standardize: bool = False,
                        exact: bool = True, stage: bool = True) -> Cleaned:
     required = REQUIRED[source]
-    good, bad = split_bad_rows(df, source, stage=stage)
-    # One job over the staged split (all of the source): both row counts and completeness before cleaning.
-    initial, rejected, before = _split_summary(good, bad, required)
+    good, bad = split_bad_rows(df)
+    initial, rejected, before = _split_summary(df, required)
     if dedupe_after_standardize:
         cleaned = dedupe.dedupe_rows(standardize_formats(good), ignore_cols)
     else:
@@ -205,8 +191,8 @@ def standardize_maintenance(df: DataFrame) -> DataFrame:
 
 def transform_maintenance(df: DataFrame, exact: bool = True, stage: bool = True, **_) -> Cleaned:
     """T5: completeness, bad-row split, standardisation, imputation; no dedupe."""
-    good, bad = split_bad_rows(df, "maintenance", stage=stage)
-    n, rejected, before = _split_summary(good, bad, REQUIRED["maintenance"])
+    good, bad = split_bad_rows(df)
+    n, rejected, before = _split_summary(df, REQUIRED["maintenance"])
     std = standardize_maintenance(good)
     if stage:
         std = materialize(std, "maintenance-std")

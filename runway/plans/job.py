@@ -45,20 +45,26 @@ def extract_raw(spark: SparkSession, config: dict, root: str) -> dict[str, DataF
     frames = readers.extract_sources(spark, config, S.SOURCE_SCHEMAS, rejects)
 
     def land(name: str) -> DataFrame:
-        path = f"{root}/raw/{name}_raw"
-        sinks.write_parquet(frames[name], path)
+        landed = _land(frames[name], name, root)
         if name in rejects:
             bad_path = f"{root}/raw/{name}_unreadable"
             sinks.write_rejects(rejects[name], bad_path)
             bad = spark.read.schema(rejects[name].schema).parquet(bad_path)
             for row in bad.groupBy("file").count().collect():  # one row per file with such records
                 log.error("%s: %d records cannot be read, see %s", row["file"], row["count"], bad_path)
-        return spark.read.schema(frames[name].schema).parquet(path)
+        return landed
 
     # The sources are independent: their writes are submitted side by side.
     return in_parallel({name: (lambda name=name: land(name)) for name in frames})
 
 
+def _land(df: DataFrame, name: str, root: str) -> DataFrame:
+    """A source in the raw zone."""
+    path = f"{root}/raw/{name}_raw"
+    sinks.write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True,
               workers: int = 5):
     """T1-T5, with the cleaned zone, the reject tables and the reports written under ``root``.
@@ -131,18 +137,24 @@ def quality_checks(t: dict[str, DataFrame]) -> DataFrame:
 def run_from_config(spark: SparkSession, config: dict, root: str, exact: bool = True,
                     partition_facts: bool = False) -> JobResult:
     """Extract -> transform -> load -> test, as the reference's four scripts in order."""
-    return run(spark, extract_raw(spark, config, root), root, exact, partition_facts=partition_facts)
+    return run(spark, extract_raw(spark, config, root), root, exact, partition_facts=partition_facts, landed=True)
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, exact: bool = True,
-        workers: int = 5, partition_facts: bool = False) -> JobResult:
+        workers: int = 5, partition_facts: bool = False, landed: bool = False) -> JobResult:
     """Transform, load and test; independent stages run concurrently (``workers=1``: one at a time).
 
+    Sources that are not ``landed`` in the raw zone yet are written there first, so every later step scans files.
+    Staged tables of the run are deleted at its end.
+
     ``partition_facts`` stores the facts in date-key folders (see ``Warehouse``), the layout to use
     on a cluster; it is off by default because small local runs only pay its file-listing cost.
     """
-    cleaned, rejects, report, final_report = clean_all(spark, raw, root, exact, workers)
-    wh = Warehouse(spark, f"{root}/dwh", partition_facts=partition_facts)
-    tables = wh.load(cleaned["bookings"], cleaned["flights"], cleaned["maintenance"], cleaned["weather"],
-                     workers=workers)
+    with sinks.scratch(spark):
+        if not landed:
+            raw = in_parallel({n: (lambda n=n: _land(raw[n], n, root)) for n in raw}, workers)
+        cleaned, rejects, report, final_report = clean_all(spark, raw, root, exact, workers)
+        wh = Warehouse(spark, f"{root}/dwh", partition_facts=partition_facts)
+        tables = wh.load(cleaned["bookings"], cleaned["flights"], cleaned["maintenance"], cleaned["weather"],
+                         workers=workers)
     return JobResult(cleaned, rejects, report, tables, quality_checks(tables), final_report)

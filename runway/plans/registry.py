@@ -1117,7 +1117,7 @@ SELECT *, {Q.null_count_sql(Q.BOOKING_COLS)} AS null_count FROM bookings_raw
 WHERE {Q.null_count_sql(Q.BOOKING_COLS)} > 2""")
 def s10(spark, sf):
     from runway.sources import sinks
-    _, bad = cleaning.split_bad_rows(tpch.bookings(_t(spark, sf, "orders", "customer")), "s10")
+    _, bad = cleaning.split_bad_rows(tpch.bookings(_t(spark, sf, "orders", "customer")))
     path = _scratch(spark, "s10-rejects")
     sinks.write_rejects(bad, path)
     return spark.read.parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,5 +16,6 @@ def in_parallel(tasks: dict[str, Callable[[], object]], workers: int = 5) -> dic
     if len(tasks) <= 1 or workers <= 1:
         return {k: fn() for k, fn in tasks.items()}
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
-        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        # Each thread runs in a copy of the caller's context (its scratch folder, see ``sinks.scratch``).
+        futures = {k: pool.submit(contextvars.copy_context().run, fn) for k, fn in tasks.items()}
         return {k: f.result() for k, f in futures.items()}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextvars
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -61,14 +63,33 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = N
     return path
 
 
+_SCRATCH: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Staged tables written inside this block go to a folder of their own, which is deleted at its end."""
+    from runway.session import shared_path
+    path = shared_path(spark, "scratch")
+    token = _SCRATCH.set(path)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        fs, Path = _fs(spark, path)
+        fs.delete(Path(path), True)
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and return a scan of it.
 
     Cuts lineage for results that several later jobs read: they scan the
     written columns instead of recomputing the plan (joins, shuffles) each time.
+    Inside ``scratch`` the table lives until the end of that block.
     """
     from runway.session import shared_path
-    path = shared_path(df.sparkSession, name)
+    folder = _SCRATCH.get()
+    path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}" if folder else shared_path(df.sparkSession, name)
     write_parquet(df, path, partition_by=partition_by)
     # The schema is passed so that an empty result (no files) reads back too.
     return df.sparkSession.read.schema(df.schema).parquet(path)

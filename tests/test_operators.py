@@ -252,14 +252,12 @@ def test_split_summary_equals_counts_and_completeness(spark):
     from runway.plans.cleaning import _split_summary
     df = bookings_df(spark)
     good, bad = quality.mark_bad_rows(df, 2)
-    bad = bad.drop("null_count")
     required = ["passenger_name", "ticket_price", "status"]
-    n_good, n_bad, before = _split_summary(good, bad, required)
+    n_good, n_bad, before = _split_summary(df, required)
     assert (n_good, n_bad) == (good.count(), bad.count())
-    assert before == quality.completeness_percent(good.unionByName(bad), required)
-    assert _split_summary(good, bad, ["absent"])[2] == 0.0
-    empty = good.limit(0)
-    assert _split_summary(empty, empty, required) == (0, 0, None)
+    assert before == quality.completeness_percent(df, required)
+    assert _split_summary(df, ["absent"])[2] == 0.0
+    assert _split_summary(df.limit(0), required) == (0, 0, None)
 
 
 def test_outliers_and_completeness_equal_separate_passes(spark):
