@@ -15,13 +15,24 @@ from runway.session import shared_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch between the JVM and Python workers; whole texts stand in them.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow buffers of executors and workers: Spark's 10,000 rows may hold hundreds of MB of text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
+    small_batches(spark)
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
