@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from runway.llm import bpe, mixing, quality, simhash, substrings
 from runway.llm.queries import RANKS
-from runway.llm.tables import crc32_mod, load, stage
+from runway.llm.tables import crc32_mod, load, small_batches, stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.encode(docs, RANKS, public_tokenizers.PATTERN, digests=True)
 
 
