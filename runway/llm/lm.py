@@ -84,29 +84,32 @@ def summed(keys: np.ndarray, columns: list[np.ndarray], counts: list[np.ndarray]
     return keys[heads], [c[first] for c in columns], sums
 
 
+def _planes(column: np.ndarray) -> bytes:
+    return column.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
 def _pack(words: list[np.ndarray], counts: list[np.ndarray]) -> bytes:
-    """48-bit words and counts as compressed columns."""
-    parts = [np.array([len(words[0]), len(words), len(counts)], dtype=np.int64).tobytes()]
-    for w in words:
-        parts += [(w & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), (w >> np.uint64(32)).astype(np.uint16).tobytes()]
-    parts += [c.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in counts]
-    raw = b"".join(parts)
+    """48-bit words and counts as compressed columns; words that recur as places in the sorted list of them."""
+    n = len(words[0])
+    listed, places = np.unique(np.concatenate(words), return_inverse=True)
+    if 2 * len(listed) > n * len(words):
+        listed, columns = listed[:0], words
+    else:
+        columns = [places[j * n:(j + 1) * n] for j in range(len(words))]
+    parts = [np.array([n, len(words), len(counts), len(listed)], dtype=np.int64).tobytes(), _planes(np.diff(listed, prepend=np.uint64(0)))]
+    raw = b"".join([*parts, *map(_planes, columns), *map(_planes, counts)])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
     raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    n, n_words, n_counts = np.frombuffer(raw, np.int64, 3)
-    at, words, counts = 24, [], []
-    for _ in range(n_words):
-        low = np.frombuffer(raw, np.uint32, n, at).astype(np.uint64)
-        high = np.frombuffer(raw, np.uint16, n, at + 4 * n).astype(np.uint64)
-        words.append(low | high << np.uint64(32))
-        at += 6 * n
-    for _ in range(n_counts):
-        counts.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, at).reshape(8, n).T).view(np.uint64)[:, 0])
-        at += 8 * n
-    return words, counts
+    n, n_words, n_counts, n_listed = np.frombuffer(raw, np.int64, 4)
+    at, columns = 32, []
+    for size in [n_listed] + [n] * (n_words + n_counts):
+        columns.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * size, at).reshape(8, size).T).view(np.uint64)[:, 0])
+        at += 8 * size
+    listed, words, counts = np.cumsum(columns[0]), columns[1:1 + n_words], columns[1 + n_words:]
+    return [listed[w] for w in words] if n_listed else words, counts
 
 
 def _split64(h: np.ndarray) -> list[np.ndarray]:
@@ -177,7 +180,7 @@ def _add_up(folder: str, bits: int):
 
 
 def _write(uri: str, keys: np.ndarray, counts: list[np.ndarray]) -> None:
-    kind = np.uint64 if any(len(c) and c.max() >> np.uint64(32) for c in counts) else np.uint32
+    kind = np.min_scalar_type(max((int(c.max(initial=0)) for c in counts), default=0))
     put(uri, [np.array([len(keys), len(counts), np.dtype(kind).itemsize], dtype=np.int64), keys, *(c.astype(kind) for c in counts)])
 
 
@@ -194,7 +197,7 @@ class HashArrays:
                 self.open[i] = None
             else:
                 n, k, size = np.frombuffer(raw, np.int64, 3)
-                kind = np.uint64 if size == 8 else np.uint32
+                kind = np.dtype(f"u{size}")
                 self.open[i] = np.frombuffer(raw, np.uint64, n, 24), [np.frombuffer(raw, kind, n, 24 + 8 * n + j * size * n) for j in range(k)]
         return self.open[i]
 

@@ -40,9 +40,9 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probability of every document under a Kneser-Ney bigram model of four fifths of them."""
+    """Probability of every document under a Kneser-Ney trigram model of four fifths of them."""
     docs = load(spark, sf_dir, "documents")
-    model = lm.fit(docs, learn=crc32_mod(F.col("doc_id"), 5) != 1)
+    model = lm.fit(docs, learn=crc32_mod(F.col("doc_id"), 5) != 1, order=3)
     return lm.score(docs, model).select("doc_id", (crc32_mod(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known",
                                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 

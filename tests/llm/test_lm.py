@@ -96,3 +96,21 @@ def test_empty_tables(spark):
 def test_held_out_texts_are_likelier_than_under_the_base(spark):
     rows = queries.op5_language_model(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
+
+
+def test_the_query_knows_two_words_before(spark, tmp_dir):
+    texts = {i: "b a c" if i % 2 else "d a e" for i in range(40)}
+    docs(spark, [(i, t, "en", "x") for i, t in texts.items()]).write.parquet(f"{tmp_dir}/documents.parquet")
+    rows = queries.op5_language_model(spark, tmp_dir).collect()
+    learned = [t for i, t in texts.items() if not any(r["held_out"] for r in rows if r["doc_id"] == i)]
+    brute = Brute(learned, 3)
+    for r in rows:
+        assert r["score"] == pytest.approx(brute.score(texts[r["doc_id"]]))
+
+
+def test_packed_words_come_back():
+    rng = np.random.default_rng(1)
+    for most in (9, 1 << 48):
+        words, counts = [rng.integers(0, most, 500).astype(np.uint64) for _ in range(3)], [rng.integers(1, 1 << 40, 500).astype(np.uint64)]
+        got = lm._unpack(lm._pack(words, counts))
+        assert all((a == b).all() for x, y in zip(got, (words, counts)) for a, b in zip(x, y))
