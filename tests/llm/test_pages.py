@@ -77,3 +77,18 @@ def test_articles_of_the_given_pages_stay_whole(spark):
         article = re.search(r"<article>(.*?)(?:</article>|\Z)", html[r["page_id"]], re.S)[1]
         blocks = [" ".join(unescape(re.sub(r"<[^>]*(>|$)", " " if "br" in b else "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert r["text"] == "\n\n".join(b for b in blocks if b)
+
+
+def test_copies_and_near_copies_lose_the_lines_of_the_site_only(spark):
+    page = "<body><div>Our Site</div><div>Home | News</div><p>Story {i} begins and goes on for a while, as stories do.{i}</p><p>Story {i} ends after {i} more lines of text.</p>" \
+           "<div>Seen {n} times</div><div>All rights reserved</div></body>"
+    rows = [(i, f"http://a.example/x/{i}", page.format(i=i, n=i)) for i in range(10, 16)]
+    rows += [(100 + n, f"http://a.example/x/12?utm={n}", page.format(i=12, n=n)) for n in range(6)]  # near copies
+    rows += [(200 + n, f"http://a.example/y/{n}", page.format(i=50, n=1)) for n in range(4)]  # exact copies
+    rows += [(300 + n, f"http://only.example/{n}", page.format(i=60, n=n)) for n in range(3)]  # nothing else on the host
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    text = {r["page_id"]: r["text"] for r in pages.extract(df).collect()}
+    for page_id, _, _ in rows:
+        i = 12 if 100 <= page_id < 200 else 50 if 200 <= page_id < 300 else 60 if page_id >= 300 else page_id
+        assert f"Story {i} begins" in text[page_id] and f"Story {i} ends" in text[page_id], page_id
+        assert ("Home | News" in text[page_id]) == (page_id >= 300), page_id
