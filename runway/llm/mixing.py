@@ -81,15 +81,22 @@ def first_words(text: str, n: int) -> str:
 
 def mixed_documents(docs: DataFrame, plan: DataFrame | None = None, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each pass over a document, the last one cut where the
-    budget ends (``text`` and ``n_chars`` then follow).  Rows equal in doc_id, source and text share what they take."""
+    budget ends (``text`` and ``n_chars`` then follow).  Rows equal in doc_id, source and text share what they take
+    evenly, to the word."""
     plan = mix(docs, **options) if plan is None else plan
     share = plan.groupBy("doc_id", "source", "digest").agg(
-        F.floor(F.sum("taken") / F.count("*")).alias("_taken"), F.first("size").alias("_size")).where("_taken > 0")
-    share = share.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest"),
-                         F.floor(F.col("_taken") / F.col("_size")).alias("_whole"), (F.col("_taken") % F.col("_size")).alias("_rest"))
-    share = stage(share, "mix_share")
+        F.sum("taken").alias("_taken"), F.count("*").alias("_copies"), F.first("size").alias("_size")).where("_taken > 0")
+    share = stage(share.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest"),
+                               "_taken", "_copies", "_size"), "mix_share")
     taken = docs.join(share, docs["doc_id"].eqNullSafe(share["_id"]) & docs["source"].eqNullSafe(share["_source"])
                       & (F.xxhash64(docs["text"]) == share["_digest"]))
+    taken = taken.select(F.struct(*docs.columns).alias("_row"), *share.columns)
+    # Copies are numbered; the first ones take a word more where the words of all do not divide evenly.
+    copies = taken.where("_copies > 1").withColumn("_salt", F.monotonically_increasing_id()).withColumn("_one", F.lit(1).cast("long"))
+    copies = running_totals(copies, ["_id", "_source", "_digest"], ["_salt"], {"_copy": "_one"}).drop("_salt", "_one")
+    taken = taken.where("_copies = 1").withColumn("_copy", F.lit(0).cast("long")).unionByName(copies)
+    mine = F.floor(F.col("_taken") / F.col("_copies")) + (F.col("_copy") < F.col("_taken") % F.col("_copies")).cast("long")
+    taken = taken.select("_row.*", F.floor(mine / F.col("_size")).alias("_whole"), (mine % F.col("_size")).alias("_rest"))
     passes = F.when(F.col("_rest") > 0, F.array_append(F.array_repeat(F.lit(-1).cast("long"), F.col("_whole").cast("int")),
                                                        F.col("_rest"))).otherwise(
         F.array_repeat(F.lit(-1).cast("long"), F.col("_whole").cast("int")))

@@ -68,3 +68,16 @@ def test_mixed_documents_follow_the_plan(spark):
     for k in want:
         assert abs(words[k] - want[k]) <= 1, k
     assert mixing.mixed_documents(empty(spark)).count() == 0
+
+
+def test_equal_rows_take_the_whole_budget(spark):
+    given = [(5, "same", "en", "x")] * 10 + [(6, "a b c", "en", "x")] + [(i, "one two three four", "en", "y") for i in range(20, 23)] + [(30, "u v", "en", "z")]
+    df = docs(spark, given).drop("taken")
+    plan = mixing.mix(df).cache()
+    want, got = defaultdict(int), defaultdict(int)
+    for r in plan.collect():
+        want[r["doc_id"]] += r["taken"]
+    for r in mixing.mixed_documents(df, plan).collect():
+        got[r["doc_id"]] += size(r["text"])
+    assert want[5] % 10
+    assert got == {k: v for k, v in want.items() if v}
