@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imi, lm, mixing, pages, quality, simhash, substrings, topk, toxicity
+from . import bpe, imi, lm, mixing, pages, quality, simhash, substrings, topk, toxicity, whitening
 from .tables import crc32_mod, load
 
 
@@ -76,7 +76,13 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.passages(load(spark, sf_dir, "documents"), least=50, similarity=0.8)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity, op10_substrings)}
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whitened along the first eight principal components."""
+    found = whitening.whiten(load(spark, sf_dir, "embeddings"), k=8, scale=1024, shift=100_000)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity, op10_substrings, op12_whitening)}
 
 ORACLE = {
     "op4_topk": r"""

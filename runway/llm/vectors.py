@@ -28,6 +28,22 @@ def usable(df: DataFrame, id_col: str, vector_col: str, zero: bool) -> tuple[Dat
     return rows.where(F.size("v") == lengths["n"]), lengths["count"], lengths["n"]
 
 
+def whole(df: DataFrame, columns: dict, vector_col: str, name: str) -> tuple[DataFrame, int, int]:
+    """(row, *columns, v) of the rows whose vector takes part, how many there are, and the vectors' length.
+
+    Left out: NULL and empty vectors, NULL or non-finite components, and vectors of another length than most have (of
+    equally frequent lengths, the longest).  Repeated rows and NULL ids stay; ``row`` tells rows apart and is fixed
+    in the staged copy.
+    """
+    rows = df.select(*[c.alias(n) for n, c in columns.items()], F.col(vector_col).alias("v")).where("size(v) > 0")
+    rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    rows = stage(rows.select(F.monotonically_increasing_id().alias("row"), *columns, "v"), name)
+    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    if lengths is None:
+        return rows, 0, 0
+    return rows.where(F.size("v") == lengths["n"]), lengths["count"], lengths["n"]
+
+
 def matrix(column: pa.Array | pa.ChunkedArray, length: int) -> np.ndarray:
     """A column of equally long lists as rows of doubles."""
     if isinstance(column, pa.ChunkedArray):
