@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imi, lm, mixing, pages, quality, simhash, substrings, topk, toxicity, whitening
+from . import bpe, imi, lm, mixing, negatives, pages, quality, simhash, substrings, topk, toxicity, whitening
 from .tables import crc32_mod, load
 
 
@@ -76,13 +76,19 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.passages(load(spark, sf_dir, "documents"), least=50, similarity=0.8)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five best positives of every fiftieth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label, positives=5, k=3, low=50, high=95, scale=256)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector whitened along the first eight principal components."""
     found = whitening.whiten(load(spark, sf_dir, "embeddings"), k=8, scale=1024, shift=100_000)
     return found.withColumn("deviation", F.col("deviation").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity, op10_substrings, op12_whitening)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity, op10_substrings, op11_hard_negatives, op12_whitening)}
 
 ORACLE = {
     "op4_topk": r"""
@@ -123,5 +129,22 @@ placed AS (
 SELECT doc_id, size, source_size, target,
        CASE WHEN source_size = 0 THEN 0
             ELSE (budget // source_size) * size + least(greatest(budget % source_size - words_before, 0), size) END::BIGINT AS taken
-FROM placed""",
+FROM placed""",    "op11_hard_negatives": r"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) = (SELECT mode(len(embedding)) FROM embeddings)
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM rows),
+scores AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }
