@@ -78,7 +78,7 @@ def word_bounds(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _powers(n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate([[1], np.full(n, _BASE)]).astype(np.uint64))
+    return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, _BASE)]))
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
