@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imi, lm, mixing, negatives, pages, quality, simhash, substrings, topk, toxicity, whitening
+from . import bpe, imi, jaccard, lm, mixing, negatives, pages, quality, simhash, substrings, topk, toxicity, whitening
 from .tables import crc32_mod, load
 
 
@@ -88,7 +88,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity, op10_substrings, op11_hard_negatives, op12_whitening)}
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of at least 90 % of distinct three-word shingles in common."""
+    return jaccard.join(load(spark, sf_dir, "documents"), words=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_quality, op4_topk, op5_language_model, op6_mixing, op7_multi_index, op8_pages, op9_toxicity, op10_substrings, op11_hard_negatives, op12_whitening, op13_jaccard)}
 
 ORACLE = {
     "op4_topk": r"""
