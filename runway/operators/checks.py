@@ -94,27 +94,63 @@ def orphan_facts(fact: DataFrame, dim: DataFrame, name: str, fk: str, pk: str) -
     return _result(name, missing.agg(F.count(F.lit(1)).alias("v")))
 
 
-def declared_constraints(t: dict[str, DataFrame], constraints: dict[str, tuple], parent_keys: dict[str, str]) -> list[DataFrame]:
-    """One row per declared NOT NULL, UNIQUE and foreign-key constraint.
-
-    A table's NOT NULL columns and foreign keys share one pass: the keys of each parent are joined once
-    per foreign key and a key without parent is counted in the same aggregate.  NULL keys break neither a
-    foreign key nor a UNIQUE group, as in SQL.
+def declared_constraints(t: dict[str, DataFrame], constraints: dict[str, tuple], parent_keys: dict[str, str],
+                         mandatory: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """One row per declared NOT NULL, UNIQUE and foreign-key constraint, from one pass over each table.
+
+    Every table gives its entries (domain, key, role): its own key in the domain of its table, each foreign key
+    in the domain of the parent, each UNIQUE key in a domain of its own, and one entry per NULL that a NOT NULL column
+    holds.  They are counted by (domain, key, role), with partial counts in the map tasks, so a hot key sends one
+    row per task; a second, narrow aggregate finds the keys without a parent and the UNIQUE keys counted twice.
+    NULL keys break neither a foreign key nor a UNIQUE group, as in SQL; ``mandatory`` names checks of foreign keys
+    (table, column) that count NULL ones too: the facts that an inner join would drop.
     """
-    out = []
-    for name, (not_null, unique, foreign) in constraints.items():
-        if name not in t:
-            continue
-        rows = t[name].select(*dict.fromkeys([*not_null, *foreign]))
-        conditions = {f"not_null_{name}_{c}": F.col(c).isNull() for c in not_null}
+    names: list[str] = []
+    parents = {p for n, (_, _, foreign) in constraints.items() if n in t for p in foreign.values()}
+    entries = []
+
+    def entry(domain: str, role: int, number=None, text=None, when: Column | None = None) -> Column:
+        e = F.struct(F.lit(domain).alias("domain"), (F.lit(None) if number is None else number).cast("long").alias("number"),
+                     (F.lit(None) if text is None else text).cast("string").alias("text"), F.lit(role).alias("role"))
+        return F.when(F.lit(True) if when is None else when, e)
+
+    def role(name: str) -> int:
+        names.append(name)
+        return len(names) - 1
+
+    for name in t:
+        not_null, unique, foreign = constraints.get(name, ([], [], {}))
+        mine = []
+        if name in parents:
+            mine.append(entry(name, -1, number=F.col(parent_keys[name])))
+        for c in not_null:
+            mine.append(entry("null", role(f"not_null_{name}_{c}"), when=F.col(c).isNull()))
         for key, parent in foreign.items():
-            found = t[parent].select(F.col(parent_keys[parent]).alias(f"_{key}")).distinct()
-            rows = rows.join(found, F.col(key) == F.col(f"_{key}"), "left")
-            conditions[f"fk_{name}_{key}"] = F.col(key).isNotNull() & F.col(f"_{key}").isNull()
-        if conditions:
-            out.append(row_checks(rows, conditions))
-        out += [unique_key(t[name].dropna(subset=keys), f"unique_{name}_{'_'.join(keys)}", keys) for keys in unique]
-    return out
+            mine.append(entry(parent, role(f"fk_{name}_{key}"), number=F.col(key), when=F.col(key).isNotNull()))
+        for check, (table, key) in (mandatory or {}).items():
+            if table == name:
+                mine.append(entry(foreign[key], role(check), number=F.col(key)))
+        for keys in unique:
+            check = f"unique_{name}_{'_'.join(keys)}"
+            present = F.lit(True)
+            for k in keys:
+                present &= F.col(k).isNotNull()
+            text = F.concat(*[x for k in keys for x in (F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string"))])
+            mine.append(entry(check, role(check), text=text, when=present))
+        if mine:
+            entries.append(t[name].select(F.explode(F.array_compact(F.array(*mine))).alias("e")).select("e.*"))
+    counted = reduce(DataFrame.unionByName, entries).groupBy("domain", "number", "text", "role").agg(F.count(F.lit(1)).alias("n"))
+    # A UNIQUE key that occurs once, and a parent's key, violate nothing.
+    unique_role = F.col("role").isin([i for i, n in enumerate(names) if n.startswith("unique_")])
+    held = counted.where(~unique_role | (F.col("n") > 1)).groupBy("domain", "number", "text").agg(
+        F.max(F.col("role") == -1).alias("parent"), F.collect_list(F.struct("role", "n")).alias("roles"))
+    # At most one entry per constraint in the list; a NULL key has no parent.
+    found = held.select(F.col("parent") & F.col("number").isNotNull(), F.explode("roles").alias("r")).toDF("parent", "r").select("parent", "r.*")
+    null_role = F.col("role").isin([i for i, n in enumerate(names) if n.startswith("not_null_")])
+    violations = F.when(null_role, F.col("n")).when(unique_role, F.lit(1)).when(~F.col("parent"), F.col("n")).otherwise(F.lit(0))
+    one = found.agg(*[F.coalesce(F.sum(F.when(F.col("role") == i, violations)), F.lit(0)).cast("long").alias(f"c{i}") for i in range(len(names))])
+    pairs = ", ".join(f"'{n}', c{i}" for i, n in enumerate(names))
+    return one.selectExpr(f"stack({len(names)}, {pairs}) as (check, violations)").select("check", "violations", (F.col("violations") == 0).alias("passed"))
 
 
 def run_suite(checks: list[DataFrame]) -> DataFrame:

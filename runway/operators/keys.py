@@ -3,14 +3,12 @@
 Keys are ``start + rank`` of the natural key, the order a SERIAL column
 would give rows inserted in natural-key order.
 
-1. The input is written once to the shared folder, each row with a tiebreak
-   fixed in the file, so the range partitioner samples and sorts a scan, not
-   the joins upstream, and a re-run task sends every row to the same range.
-2. The rows are range-partitioned and sorted by the natural key, then by all
-   other columns, then by the tiebreak, and written with their partition and
-   position.  Only rows equal in every column can swap keys between runs, and
-   a natural key that repeats spans as many partitions as it needs.
-3. Rows per partition (one row each) give the partition's offset, a small
+1. The rows are range-partitioned and sorted by the natural key, then by all
+   other columns, and written with their partition and position.  Rows can swap keys
+   between runs only if they are equal in every column, so numbering again, from any
+   layout or after a lost task, gives the same table; a natural key that repeats spans
+   as many partitions as it needs.
+2. Rows per partition (one row each) give the partition's offset, a small
    table that is joined; key = offset + position.
 
 No step moves a whole table through one task or the driver.
@@ -31,13 +29,12 @@ def assign_keys(df: DataFrame, natural_key: list[str], id_col: str, start: int =
     """Return ``df`` with ``id_col`` = start + 1, start + 2, ... in natural-key order (NULLs first)."""
     from runway.sources.sinks import materialize
     spark = df.sparkSession
-    fixed = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "keys-input")
     orderable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     order = [F.col(c).asc_nulls_first() for c in
-             [*natural_key, *(c for c in orderable if c not in natural_key), "_tie"]]
+             [*natural_key, *(c for c in orderable if c not in natural_key)]]
     # Without an explicit count AQE sizes the range partitions from the data.
-    ranged = fixed.repartitionByRange(partitions, *order) if partitions else fixed.repartitionByRange(*order)
-    placed = materialize(ranged.sortWithinPartitions(*order).drop("_tie")
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    placed = materialize(ranged.sortWithinPartitions(*order)
                          .withColumn("_mid", F.monotonically_increasing_id()), "keys-placed")
     pid = F.shiftright(F.col("_mid"), _ROW_BITS)
     counts = sorted(tuple(r) for r in placed.groupBy(pid.alias("p")).count().collect())  # one row per partition

@@ -271,3 +271,44 @@ def test_outliers_and_completeness_equal_separate_passes(spark):
     assert outliers == expected and outliers["w"][0] == 1
     assert (rows, after) == quality.rows_and_completeness(df)
     assert _outliers_and_completeness(df, [], True)[0] == {}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(30,2)"])
+def test_quantiles_of_large_values_are_exact(spark, kind):
+    from decimal import Decimal
+    big = 9007199254740993
+    df = spark.createDataFrame([(str(big + i // 3),) for i in range(4)] + [(None,)], "t string").select(F.col("t").cast(kind).alias("v"))
+    s = stats.summarize(df, ["v"], [0.0, 0.5, 0.75, 1.0], buckets=4)[0]
+    assert s.exact == [big, big, Decimal(big) + Decimal("0.25"), big + 1]
+    filled, _ = stats.smart_fill(df.where(f"v IS NULL OR v = {big}"))
+    assert {int(r.v) for r in filled.collect()} == {big}
+
+
+@pytest.mark.parametrize("limit", [5, 50, 100_000])
+def test_brackets_are_narrowed_where_they_hold_many_values(spark, limit):
+    df = spark.range(20_000).select(((F.col("id") * 7919) % 20_000).cast("double").alias("v"), (F.col("id") % 3).alias("w"), F.lit("g").alias("g"))
+    probs = [0.001, 0.3, 0.5, 0.9999]
+    v, w = stats.summarize(df, ["v", "w"], probs, buckets=limit)
+    want = np.percentile(np.arange(20_000), [100 * p for p in probs])
+    assert v.quantiles == pytest.approx(want.tolist()) and w.quantiles == [0.0, 0.0, 1.0, 2.0]
+    got = stats.grouped_quantiles(df, "g", "v", probs, buckets=limit).first()
+    assert [got[f"q{i}"] for i in range(4)] == pytest.approx(want.tolist()) and got["count"] == 20_000
+
+
+def test_a_broken_sketch_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(stats, "_bracket", lambda grid, sketched, n, k, lo, hi: (lo, lo))
+    df = spark.range(101).select(F.col("id").cast("double").alias("v"))
+    assert stats.summarize(df, ["v"], [0.0, 0.5])[0].quantiles == [0.0, 50.0]
+
+
+def test_declared_constraints_in_one_pass(spark):
+    dim = spark.createDataFrame([(1, "SVO"), (2, "LED"), (3, "SVO"), (4, None), (5, None)], "id long, code string")
+    fact = spark.createDataFrame([(1, 1, "a", "b"), (2, None, "a", "b"), (9, 9, "a", None), (None, 2, "ab", "")], "fk long, other int, x string, y string")
+    constraints = {"dim": (["code"], [["code"]], {}), "fact": (["y", "x"], [["x", "y"]], {"fk": "dim", "other": "dim"})}
+    tables = {"dim": dim, "fact": fact}
+    res = checks.declared_constraints(tables, constraints, {"dim": "id"}, {"orphans": ("fact", "fk")})
+    assert {r.check: (r.violations, r.passed) for r in res.collect()} == {
+        "not_null_dim_code": (2, False), "unique_dim_code": (1, False), "not_null_fact_y": (1, False), "not_null_fact_x": (0, True),
+        "unique_fact_x_y": (1, False), "fk_fact_fk": (1, False), "fk_fact_other": (1, False), "orphans": (2, False)}
+    empty = checks.declared_constraints({n: d.limit(0) for n, d in tables.items()}, constraints, {"dim": "id"}, {"orphans": ("fact", "fk")})
+    assert {(r.violations, r.passed) for r in empty.collect()} == {(0, True)} and empty.count() == 8
