@@ -1037,7 +1037,8 @@ def _constraint_sql() -> list[tuple[str, str]]:
           + "\nUNION ALL\n".join(_check_sql(n, q) for n, q in _constraint_sql()))
 def v9c(spark, sf):
     """All 12 NOT NULL, 7 UNIQUE and 16 foreign-key constraints, and the facts without a status."""
-    return _checks(spark, sf).where(F.col("check").isin([n for n, _ in _constraint_sql()]))
+    from runway.plans import job
+    return job.constraint_checks(_tables(spark, sf))
 
 
 # =============================================================== 2.1 sources and sinks
@@ -1312,3 +1313,67 @@ def n6_forms(spark, sf):
     forms = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm", "d.M.yyyy H:mm", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd HHmmss", "d MMM yyyy HH:mm", "MMM d, yyyy H:mm"]
     text = F.element_at(F.array(*[F.date_format(at, f) for f in forms]), (F.col("o_orderkey") % len(forms) + 1).cast("int"))
     return o.select("o_orderkey", X.safe_timestamp(text).cast("timestamp_ntz").alias("at"))
+
+
+@register("s4_json_name_variants", """
+SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN event_type END AS event_type, CASE WHEN event_id % 10 = 3 THEN event_type END AS "Event_Type_2",
+       CASE WHEN event_id % 7 = 0 THEN CAST(user_id AS VARCHAR) END AS user_id, CASE WHEN event_id % 7 > 0 THEN CAST(user_id AS VARCHAR) END AS "the user"
+FROM events""")
+def s4_names(spark, sf):
+    """JSON arrays whose names differ in case only, or hold a backtick or a space."""
+    from pyspark.sql import types as T
+
+    from runway.sources import readers, sinks
+    path = _scratch(spark, "s4-names")
+    n = F.col("event_id")
+    fields = lambda kind, user: F.to_json(F.struct("event_id", F.col("event_type").alias(kind), F.col("user_id").alias(user)))
+    named = lambda user: F.when(n % 10 == 3, fields("Event_Type", user)).otherwise(fields("event_type", user))
+    text = F.when(n % 7 == 0, named("user`id")).otherwise(named("the user"))
+    lines = _t(spark, sf, "events")["events"].select(text.alias("value"))
+    lines.mapInPandas(sinks._as_array_lines, "value string").write.text(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    rows, rejects = readers.read_json_parts(spark, [path], schema)
+    if not rejects.isEmpty():
+        raise AssertionError("no record may be rejected")
+    return rows
+
+
+def _with_blank_lines(header: str):
+    """Every file begins with blank lines and its header, and every record is followed by a blank line."""
+    def run(batches):
+        import pandas as pd
+        yield pd.DataFrame({"value": ["", "  ", header]})
+        for pdf in batches:
+            yield pd.DataFrame({"value": [x for v in pdf["value"] for x in (v, "")]})
+    return run
+
+
+@register("s2_csv_blank_lines", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN concat('two', chr(10), chr(10), 'lines, "', o_orderpriority, '"') ELSE o_orderpriority END AS note
+FROM orders""")
+def s2_blank(spark, sf):
+    """Blank lines before the header, between records and within quoted cells."""
+    from pyspark.sql import types as T
+
+    from runway.sources import readers
+    o = _t(spark, sf, "orders")["orders"]
+    root = _scratch(spark, "s2-blank")
+    quoted = F.concat(F.lit('"two\n\nlines, ""'), "o_orderpriority", F.lit('"""'))
+    note = F.when(F.col("o_orderkey") % 3 == 0, quoted).otherwise(F.col("o_orderpriority"))
+    lines = o.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(","), note).alias("value"))
+    lines.mapInPandas(_with_blank_lines("o_orderkey,note"), "value string").write.text(root)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("note", T.StringType())])
+    return readers.read_csv_files(spark, [root], schema.names, schema)
+
+
+@register("a4_median_large_longs", """
+WITH v AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN 9007199254740993 + 2 * o_orderkey END AS big FROM orders),
+r AS (SELECT big, row_number() OVER (ORDER BY big) AS i, count(*) OVER () AS n FROM v WHERE big IS NOT NULL),
+m AS (SELECT CAST((min(big) + max(big)) // 2 AS BIGINT) AS big FROM r WHERE i IN ((n + 1) // 2, n // 2 + 1))
+SELECT o_orderkey, CAST(coalesce(v.big, m.big) AS BIGINT) AS big FROM v, m""")
+def a4_large(spark, sf):
+    """Integers beyond 2**53, which no double tells apart, filled with their exact median."""
+    o = _t(spark, sf, "orders")["orders"]
+    big = F.when(F.col("o_orderkey") % 5 != 0, F.lit(9007199254740993).cast("long") + 2 * F.col("o_orderkey"))
+    filled, _ = stats.smart_fill(o.select("o_orderkey", big.alias("big")), exclude={"o_orderkey"})
+    return filled.select("o_orderkey", "big")

@@ -1,8 +1,10 @@
 """Readers and sinks: header check, skip/fail policy, JSON arrays, source switch, staged overwrite."""
 
+import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runway import schemas as S
@@ -18,6 +20,32 @@ def test_jdbc_options_build_parallel_reads():
     assert opts["partitionColumn"] == "id" and opts["numPartitions"] == "8" and opts["dbtable"] == "raw_bookings"
 
 
+@pytest.mark.parametrize("cuts", [[5], [-3, 0, 4, 4, 90], readers.jdbc_cuts(-10, 99, 7)])
+def test_every_row_meets_one_jdbc_predicate(spark, cuts):
+    ids = spark.range(-10, 100).select(F.col("id").alias("the id")).unionByName(spark.range(1).select(F.lit(None).cast("long").alias("the id")))
+    predicates = [p.replace('"', "`") for p in readers.jdbc_predicates("the id", cuts)]
+    assert len(predicates) == len(set(cuts)) + 1
+    hits = ids.select(sum(F.expr(f"CAST(coalesce({p}, false) AS INT)") for p in predicates).alias("n"))
+    assert {r.n for r in hits.collect()} == {1}
+
+
+def test_jdbc_scan_is_planned_from_the_table(monkeypatch):
+    monkeypatch.setattr(readers, "JDBC_TASK_ROWS", 100)
+    asked = []
+
+    def table(lo, hi, n, cuts=()):
+        def read(query):
+            asked.append(query)
+            return [{"cut": c} for c in cuts] if "TABLESAMPLE" in query else [{"lo": lo, "hi": hi, "n": n}]
+        return readers.plan_jdbc_scan(read, "raw_bookings", "id")
+
+    assert table(1, 400, 400) == ['"id" < 101 OR "id" IS NULL', '"id" >= 101 AND "id" < 201', '"id" >= 201 AND "id" < 301', '"id" >= 301']
+    sparse = table(1, 10 ** 12, 250, [7, 80, 10 ** 12])
+    assert sparse == ['"id" < 7 OR "id" IS NULL', '"id" >= 7 AND "id" < 80', '"id" >= 80']
+    assert "TABLESAMPLE SYSTEM (100.000000)" in asked[-1] and "ntile(3)" in asked[-1]
+    assert table(None, None, 0) == [] and table(5, 9, 4) == []
+
+
 def test_validate_columns():
     ok, missing, extra = readers.validate_columns(["a", "b", "x"], ["a", "b", "c"])
     assert not ok and missing == ["c"] and extra == ["x"]
@@ -150,7 +178,7 @@ def test_a_bad_json_cell_costs_that_cell_and_extra_fields_stay(spark, tmp_dir):
     rows, rejects = readers.read_json_parts(spark, [array, cut], S.WEATHER)
     got = {r.airport_code: r for r in rows.collect()}
     assert rows.count() == 2 and rows.columns[-2:] == ["note", "station"]
-    assert (got["SVO"].temperature, got["SVO"].humidity, got["SVO"].station) == (None, 80, '{"id": 4}')
+    assert (got["SVO"].temperature, got["SVO"].humidity, json.loads(got["SVO"].station)) == (None, 80, {"id": 4})
     assert (got["LED"].temperature, got["LED"].humidity, got["LED"].note) == (-3.0, 71, "dry")
     assert [os.path.basename(r.file) for r in rejects.collect()] == ["cut.json"]
     lines = write_text(os.path.join(tmp_dir, "l.json"), '{"level": "info", "host": "a"}\n{"level": \n{"level": "warn"}\n')
