@@ -13,9 +13,9 @@ class 2 and triples of class 3, within a subclass, are the keys under which sets
 of its own has no partner, and no key.
 
 Sets that meet are verified by intersecting whole sets.  First each with the least of its key, so groups of near
-copies become components in one round; then, for keys that still hold several components, in blocks: parity bitmaps bound
-the symmetric difference of two sets from below, and spanning forests of the pairs that pass, over components, are
-verified, twice as many forests each round, until every such pair is verified or within a component.  So no link is
+copies become components in one round; then, for keys that still hold several components (first each set's most frequent
+key, then the others), in blocks: parity bitmaps bound the symmetric difference of two sets from below, and spanning forests of
+the pairs that pass, over components, are verified, eight times as many forests each round, until every such pair is verified or within a component.  So no link is
 lost and no group emits all of its pairs unless most of them pass the bound and fail the check.
 
 Frequencies are counted in blocks of the hash range; a token that many sets of one map task hold is marked there and not
@@ -61,8 +61,8 @@ def token_sets(column: pa.Array, words: int):
             k = min(words, len(h))
             grams = np.full(len(h) - k + 1, _U(k), dtype=np.uint64)
             for j in range(k):
-                grams = mix64(grams * _PRIMES[0] + h[j:len(h) - k + 1 + j])
-            yield row + int(i), np.unique(grams)
+                grams = grams * _PRIMES[0] + h[j:len(h) - k + 1 + j]  # words' hashes are mixed already
+            yield row + int(i), np.unique(mix64(grams))
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -106,9 +106,10 @@ def by_frequency(hashes: np.ndarray, level: int) -> np.ndarray:
 
 
 def at_level(tokens: np.ndarray, level: int) -> tuple[np.ndarray, int]:
-    """The tokens' hashes at a level, sorted, and how many of them are ordered by frequency."""
-    hashes = np.sort(mix64(tokens + _salt(level, 2)))
-    return hashes, int(by_frequency(hashes, level).sum())
+    """The tokens' hashes at a level, those ordered by frequency first, the others by hash; and how many the former are."""
+    hashes = mix64(tokens + _salt(level, 2))
+    first = by_frequency(hashes, level)
+    return np.concatenate([hashes[first], np.sort(hashes[~first])]), int(first.sum())
 
 
 def view_id(sid: int, level: int) -> np.ndarray:
@@ -126,7 +127,7 @@ def _rows(words: int, rule: Rule):
                 out["sid"][i], size[i] = set_id(tokens), len(tokens)
                 for v, r, level in zip(("v1", "v2"), ("r1", "r2"), rule.levels(len(tokens))):
                     out[v][i] = int(view_id(out["sid"][i], level).view(np.int64)[0])
-                    out[r][i] = at_level(tokens, level)[1]
+                    out[r][i] = int(by_frequency(mix64(tokens + _salt(level, 2)), level).sum())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size), *(pa.array(x, pa.int64()) for x in out.values())],
                                              ["doc_id", "digest", "n", *out])
     return run
@@ -298,7 +299,7 @@ def _bitmaps(batches):
 def passing_pairs(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, rule: Rule):
     """(i, j, differing bits) of the bitmap rows that may belong to sets of the wanted similarity."""
     a, b = a.view(np.uint64), b.view(np.uint64)
-    out = [], [], []
+    out = ([np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)])
     for i in range(len(a)):
         d = np.bitwise_count(b ^ a[i]).sum(axis=1, dtype=np.int64)
         j = np.flatnonzero(d * (100 + rule.percent) <= (100 - rule.percent) * (na[i] + nb))
@@ -331,29 +332,30 @@ def forests(left: np.ndarray, right: np.ndarray, weight: np.ndarray, many: int)
 
 
 def _cells(rule: Rule, many: int):
-    """Rows of cells (key, lo, hi): sets on side 0 or 1, then pairs that failed (``other`` is not NULL); to pairs worth verifying."""
+    """Sets of cells (key, lo, hi), on side 0 or 1, with the smaller sets that each has failed against; to pairs worth verifying."""
     def run(batches):
         names = ["key", "lo", "hi"]
         for table in grouped_stream(batches, names, 1 << 12):
             bounds = [*group_starts(table, names), table.num_rows]
             for s, e in zip(bounds, bounds[1:]):
-                cell = table.slice(s, e - s).combine_chunks()
-                is_set = np.asarray(cell["other"].is_null())
-                sets, failed = cell.filter(pa.array(is_set)), cell.filter(pa.array(~is_set))
+                sets = table.slice(s, e - s).combine_chunks()
                 if sets.num_rows < 2:
                     continue
                 sid, n, root, side = (sets[c].to_numpy() for c in ("sid", "n", "root", "side"))
                 bits = np.frombuffer(b"".join(x.as_buffer() for x in sets["bits"]), dtype=np.uint8).reshape(len(sid), -1)
-                whole = cell["lo"][0].as_py() == cell["hi"][0].as_py()
+                cell = [sets[c][0].as_py() for c in names]
+                whole = cell[1] == cell[2]
                 one, two = (np.arange(len(sid)),) * 2 if whole else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
                 i, j, d = passing_pairs(bits[one], n[one], bits[two], n[two], rule)
                 i, j = one[i], two[j]
                 open_ = (root[i] != root[j]) & ((sid[i] < sid[j]) if whole else True)
                 i, j, d = i[open_], j[open_], d[open_]
-                if failed.num_rows and len(i):
-                    gone = set(zip(failed["sid"].to_pylist(), failed["other"].to_pylist()))
-                    u, v = np.minimum(sid[i], sid[j]).tolist(), np.maximum(sid[i], sid[j]).tolist()
-                    open_ = np.array([p not in gone for p in zip(u, v)])
+                known = sets["known"].combine_chunks()
+                if len(i) and len(known.flatten()):
+                    here = {x: at for at, x in enumerate(sid.tolist())}
+                    gone = {(at, here[u]) for at, us in enumerate(known.to_pylist()) for u in us or () if u in here}
+                    larger, smaller = np.where(sid[i] > sid[j], i, j).tolist(), np.where(sid[i] > sid[j], j, i).tolist()
+                    open_ = np.array([p not in gone for p in zip(larger, smaller)])
                     i, j, d = i[open_], j[open_], d[open_]
                 if not len(i):
                     continue
@@ -361,9 +363,7 @@ def _cells(rule: Rule, many: int):
                 u, v = sid[i[chosen]], sid[j[chosen]]
                 m = len(chosen)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, cell["key"][0].as_py())), pa.array(np.full(m, cell["lo"][0].as_py(), dtype=np.int32)),
-                     pa.array(np.full(m, cell["hi"][0].as_py(), dtype=np.int32)), pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
-                    [*names, "u", "v"])
+                    [pa.array(np.full(m, cell[0])), pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["key", "u", "v"])
     return run
 
 
@@ -422,38 +422,52 @@ def _links(keyed: DataFrame, sets: DataFrame, rule: Rule, block: int) -> DataFra
     fits = 100 * F.least("n", "hub_n") >= rule.percent * F.greatest("n", "hub_n")
     tried = stage(others.where(fits).select(F.col("hub").alias("u"), F.col("sid").alias("v")).distinct(), "jaccard_pairs")
     links = _verified(tried, sets, rule)
-    failed, many = None, 1
+    # What is left: keys whose sets beside the least one lie in several components.  First every set's most frequent key,
+    # under which most of its partners meet, then the others: so few pairs are asked for under several keys.
+    sizes = others.groupBy("key").agg(F.count("*").alias("size")).select(F.col("key").alias("k"), "size")
+    sizes = stage(sizes, "jaccard_sizes")
+    largest = others.join(sizes, F.col("key") == F.col("k")).groupBy("sid").agg(F.max(F.struct("size", "k")).alias("most"))
+    active, covering, many = stage(largest.select(F.col("most.k").alias("k")).distinct(), "jaccard_active"), True, 8
+    roots = stage(components(links), "jaccard_roots")
     while True:
-        # What is left: keys whose sets beside the least one lie in several components.
-        roots = stage(components(links), "jaccard_roots")
-        rooted = others.join(roots, F.col("sid") == F.col("node"), "left").select("key", "sid", "n", "level", F.coalesce("root", "sid").alias("root"))
-        split = rooted.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
-        split = stage(split.select(F.col("key").alias("k"), F.ceil(F.col("size") / block).cast("int").alias("grid")), "jaccard_split")
-        if split.isEmpty():
-            return roots
-        met = stage(rooted.join(split, F.col("key") == F.col("k")).drop("k"), "jaccard_met")
-        bitmaps = met.select("sid", "level").distinct().join(sets.withColumnRenamed("sid", "of").hint("merge"), F.col("sid") == F.col("of"))
-        bitmaps = stage(bitmaps.select("sid", "level", "tokens").mapInArrow(_bitmaps, "sid long, level int, bits binary"), "jaccard_bitmaps")
-        bitmaps = bitmaps.select(F.col("sid").alias("of"), F.col("level").alias("at"), "bits")
-        met = met.join(bitmaps.hint("merge"), (F.col("sid") == F.col("of")) & (F.col("level") == F.col("at")))
-        met = met.withColumn("mine", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("grid")).cast("int"))
-        met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
-        met = met.select("key", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"), "sid", "n", "root",
-                         (F.col("mine") > F.col("with")).cast("int").alias("side"), "bits", F.lit(None).cast("long").alias("other"))
-        if failed is not None:
-            none = F.lit(0).cast("long")
-            met = met.unionByName(failed.select("key", "lo", "hi", F.col("u").alias("sid"), none.alias("n"), none.alias("root"),
-                                                F.lit(0).alias("side"), F.lit(b"").alias("bits"), F.col("v").alias("other")))
-        dealt = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-        asked = stage(dealt.mapInArrow(_cells(rule, many), "key long, lo int, hi int, u long, v long"), "jaccard_cells")
-        if asked.isEmpty():
-            return roots
-        new = stage(asked.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "jaccard_new")
-        links = stage(links.unionByName(_verified(new, sets, rule)), "jaccard_links")
-        tried = tried.unionByName(new)
-        missed = asked.join(links, ["u", "v"], "left_anti").select("key", "lo", "hi", "u", "v")
-        failed = stage(missed if failed is None else failed.unionByName(missed), "jaccard_failed")
-        many *= 2
+        asked = _asked(others.join(active, F.col("key") == F.col("k"), "left_semi"), sets, links, roots, tried, rule, block, many)
+        if asked is None or asked.isEmpty():
+            if not covering:
+                return roots
+            active, covering, many = sizes.select("k"), False, 8
+            continue
+        new = stage(asked.select("u", "v").distinct(), "jaccard_new")
+        tried, found = tried.unionByName(new), _verified(new, sets, rule)
+        if not found.isEmpty():
+            links = stage(links.unionByName(found), "jaccard_links")
+            roots = stage(components(links), "jaccard_roots")
+        # A cell that asked for nothing has nothing left to ask.
+        active = stage(asked.select(F.col("key").alias("k")).distinct(), "jaccard_active")
+        many *= 8
+
+
+def _asked(others: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame, tried: DataFrame, rule: Rule, block: int,
+           many: int) -> DataFrame | None:
+    """(key, u, v) of pairs worth verifying, among sets that share a key and lie in different components; None if none do."""
+    rooted = others.join(roots, F.col("sid") == F.col("node"), "left").select("key", "sid", "n", "level", F.coalesce("root", "sid").alias("root"))
+    split = rooted.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
+    split = stage(split.select(F.col("key").alias("k"), F.ceil(F.col("size") / block).cast("int").alias("grid")), "jaccard_split")
+    if split.isEmpty():
+        return None
+    met = stage(rooted.join(split, F.col("key") == F.col("k")).drop("k"), "jaccard_met")
+    bitmaps = met.select("sid", "level").distinct().join(sets.withColumnRenamed("sid", "of").hint("merge"), F.col("sid") == F.col("of"))
+    bitmaps = bitmaps.select("sid", "level", "tokens").mapInArrow(_bitmaps, "sid long, level int, bits binary")
+    # Failed pairs are kept with their larger set, which has a few of them for each of its keys.
+    failed = tried.join(links, ["u", "v"], "left_anti").groupBy(F.col("v").alias("w")).agg(F.collect_set("u").alias("known"))
+    about = stage(bitmaps.join(failed.hint("merge"), F.col("sid") == F.col("w"), "left").select("sid", "level", "bits", "known"), "jaccard_bitmaps")
+    about = about.select(F.col("sid").alias("of"), F.col("level").alias("at"), "bits", "known")
+    met = met.join(about.hint("merge"), (F.col("sid") == F.col("of")) & (F.col("level") == F.col("at")))
+    met = met.withColumn("mine", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("grid")).cast("int"))
+    met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
+    met = met.select("key", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"), "sid", "n", "root",
+                     (F.col("mine") > F.col("with")).cast("int").alias("side"), "bits", "known")
+    dealt = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return stage(dealt.mapInArrow(_cells(rule, many), "key long, u long, v long"), "jaccard_cells")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, percent: int = 90, block: int = 1024) -> DataFrame:
@@ -463,7 +477,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     rows = stage(rows.mapInArrow(_rows(words, rule), "doc_id long, digest long, n long, sid long, v1 long, r1 long, v2 long, r2 long"), "jaccard_rows")
     sets = stage(rows.where("n > 0").groupBy("sid", "n", "v1", "r1", "v2", "r2").agg(F.min("doc_id").alias("least_doc")), "jaccard_sets")
     keyed = stage(_signatures(docs, text_col, sets, words, rule), "jaccard_keys")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("k"))
+    # Of keys under which the same sets meet, one is enough.
+    groups = keyed.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(2))).alias("y"))
+    shared = groups.where("c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("k"))
     keyed = stage(keyed.join(shared, F.col("key") == F.col("k"), "left_semi"), "jaccard_shared")
     whole = _whole_sets(docs, rows, keyed.select("sid").distinct(), id_col, text_col, words)
     roots = _links(keyed, whole, rule, block)

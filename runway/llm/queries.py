@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with DuckDB SQL where SQL can express them."""
+"""Registered queries of the thirteen operators, with DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -152,4 +152,22 @@ SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, po
 FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
   AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY rank <= 3""",
+    "op13_jaccard": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+lists AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2])) END) AS s FROM words),
+grams AS (SELECT doc_id, unnest(s) AS gram FROM lists),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN lists a ON a.doc_id = x JOIN lists b ON b.doc_id = y
+  WHERE 100 * shared >= 90 * (len(a.s) + len(b.s) - shared)),
+reach AS (
+  SELECT doc_id, doc_id AS root FROM lists
+  UNION
+  SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.doc_id)
+SELECT l.doc_id, len(s)::BIGINT AS n_shingles, min(root) AS component_id FROM lists l JOIN reach r USING (doc_id) GROUP BY ALL""",
 }
