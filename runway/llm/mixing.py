@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import WORD, running_totals, stage
+from .tables import WORD, packed, running_totals, stage, unpacked
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
@@ -88,20 +88,23 @@ def mixed_documents(docs: DataFrame, plan: DataFrame | None = None, **options) -
         F.sum("taken").alias("_taken"), F.count("*").alias("_copies"), F.first("size").alias("_size")).where("_taken > 0")
     share = stage(share.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest"),
                                "_taken", "_copies", "_size"), "mix_share")
-    taken = docs.join(share, docs["doc_id"].eqNullSafe(share["_id"]) & docs["source"].eqNullSafe(share["_source"])
-                      & (F.xxhash64(docs["text"]) == share["_digest"]))
-    taken = taken.select(F.struct(*docs.columns).alias("_row"), *share.columns)
+    rows = packed(docs, doc=F.col("doc_id"), of=F.col("source"), text_digest=F.xxhash64("text"))
+    taken = rows.join(share, F.col("doc").eqNullSafe(F.col("_id")) & F.col("of").eqNullSafe(F.col("_source"))
+                      & (F.col("text_digest") == F.col("_digest"))).select("row", *share.columns)
     # Copies are numbered; the first ones take a word more where the words of all do not divide evenly.
     copies = taken.where("_copies > 1").withColumn("_salt", F.monotonically_increasing_id()).withColumn("_one", F.lit(1).cast("long"))
     copies = running_totals(copies, ["_id", "_source", "_digest"], ["_salt"], {"_copy": "_one"}).drop("_salt", "_one")
     taken = taken.where("_copies = 1").withColumn("_copy", F.lit(0).cast("long")).unionByName(copies)
     mine = F.floor(F.col("_taken") / F.col("_copies")) + (F.col("_copy") < F.col("_taken") % F.col("_copies")).cast("long")
-    taken = taken.select("_row.*", F.floor(mine / F.col("_size")).alias("_whole"), (mine % F.col("_size")).alias("_rest"))
+    taken = taken.select("row", F.floor(mine / F.col("_size")).alias("_whole"), (mine % F.col("_size")).alias("_rest"))
     passes = F.when(F.col("_rest") > 0, F.array_append(F.array_repeat(F.lit(-1).cast("long"), F.col("_whole").cast("int")),
                                                        F.col("_rest"))).otherwise(
         F.array_repeat(F.lit(-1).cast("long"), F.col("_whole").cast("int")))
-    rows = taken.select(*docs.columns, F.explode(passes).alias("_words"))
-    cut = F.udf(first_words, "string")  # runs for one row of each source
-    text = F.coalesce(cut(F.when(F.col("_words") >= 0, F.col("text")), "_words"), F.col("text"))
-    rows = rows.withColumn("text", text).drop("_words")
-    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
+    rows = taken.select("row", F.explode(passes).alias("_words"))
+    cut = F.udf(first_words, "string")  # has text to cut in one row of each source, gets NULL in the others
+    text = F.col("row")["text"]
+    rows = rows.withColumn("_text", F.coalesce(cut(F.when(F.col("_words") >= 0, text), "_words"), text))
+    changed = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return unpacked(rows, docs.columns, **changed)

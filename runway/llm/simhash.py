@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import group_starts, grouped_stream, stage
+from .tables import group_starts, grouped_stream, packed, stage, unpacked
 
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -207,7 +207,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     copies = classes.groupBy(F.col("doc_id").alias("c_id"), F.col("digest").alias("c_digest")).agg(F.count("*").alias("_copies"))
     same = F.col("_id").eqNullSafe(F.col("c_id")) & (F.col("_digest") == F.col("c_digest"))
     kept = stage(least.join(copies, same).select("_id", "_digest", "_copies"), "simhash_kept")
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (_digest("text") == kept["_digest"]))
-    once = found.where("_copies = 1").select(*docs.columns)
-    again = found.where("_copies > 1").groupBy("_id", "_digest").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return once.unionByName(again.select("row.*"))
+    rows = packed(docs, doc=F.col("doc_id"), text_digest=_digest("text"))
+    found = rows.join(kept, F.col("doc").eqNullSafe(F.col("_id")) & (F.col("text_digest") == F.col("_digest")))
+    once = found.where("_copies = 1").select("row")
+    again = found.where("_copies > 1").groupBy("_id", "_digest").agg(F.min("row").alias("row"))
+    return unpacked(once.unionByName(again.select("row")), docs.columns)

@@ -38,6 +38,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """``docs`` with each row in one struct, ``row``, beside the given columns: no name of its columns can clash with theirs."""
+    return docs.select(F.struct(*[docs[f"`{c.replace('`', '``')}`"].alias(c) for c in docs.columns]).alias("row"), *[k.alias(n) for n, k in keys.items()])
+
+
+def unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``row`` again, some replaced."""
+    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in columns])
+
+
 def crc32_mod(col: Column, n: int) -> Column:
     """crc32 of the decimal text of an id, modulo ``n``; NULL ids count as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % n

@@ -23,7 +23,8 @@ ODD = [
 def docs(spark, rows=ODD):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     df = df.withColumn("n_chars", F.length("text").cast("long"))
-    for c in ("size", "key", "fp", "k", "taken", "target", "ids", "score", "row", "n", "_pid", "digest"):
+    for c in ("size", "key", "fp", "k", "taken", "target", "ids", "score", "row", "n", "_pid", "digest", "_id", "_copies", "_words", "_rest", "_whole",
+              "_spans", "_digest", "_source", "_taken", "_size", "_row", "_text", "doc", "of", "text_digest", "a.b", "c`d"):
         df = df.withColumn(c, F.lit("clash"))
     return df.repartition(3)
 
