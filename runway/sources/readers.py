@@ -319,8 +319,9 @@ def read_csv_parts(spark: SparkSession, paths: list[str], expected: list[str], s
         wider = ", ".join(f"{c} string" for c in [*cells, _MORE])
         at = {name: cells[i] for i, name in reversed(list(enumerate(cols)))}
         if multi_line:
-            mine = {_plain(p) for p in group}
-            df = _quoted_cells(spark, group, [x for x in splits if _plain(x["file"]) in mine], wider, options)
+            # Where Spark splits a file depends on all files of the scan, so a part of them is summed up anew.
+            mine = splits if len(group) == len(checked) else records.quote_summaries(spark, group)
+            df = _quoted_cells(spark, group, mine, wider, options)
             too_wide, record = F.col(_MORE).isNotNull(), F.col("text")
         else:
             text = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, _CORRUPT]])

@@ -294,7 +294,7 @@ def quote_summaries(spark: SparkSession, files: list[str]) -> list[dict]:
 
 def quoted_records(spark: SparkSession, files: list[str], splits: list[dict]) -> DataFrame:
     """(file, start, nth, text) of the records of CSV files whose quoted cells hold line breaks, each file cut by
-    several tasks; line breaks inside quotes become ``\\n``."""
+    several tasks; line breaks inside quotes become ``\\n``.  ``splits`` are the summaries of exactly these files."""
     from runway.sources.sinks import materialize
 
     by_file = defaultdict(list)

@@ -133,6 +133,17 @@ def test_quoted_line_breaks_over_many_splits(spark, tmp_dir, small_splits, head)
     assert sorted((r.id, r.text) for r in rows.collect()) == want and rejects.count() == 0
 
 
+@pytest.mark.parametrize("beside", ["id,text\n", "id,text\n" + "7000,plain\n" * 300, "text,id\n" + '"a\nb",7000\n' * 300])
+def test_quoted_line_breaks_beside_other_files(spark, tmp_dir, small_splits, beside):
+    # Splits of a size that depends on the sum of the files of a scan.
+    spark.conf.set(SPLIT, str(1 << 20))
+    want, text = quoted_csv(400, 3)
+    paths = [write_text(os.path.join(tmp_dir, n), t) for n, t in (("q.csv", "id,text\n" + text), ("p.csv", beside))]
+    rows, rejects = readers.read_csv_parts(spark, paths, SCHEMA.names, SCHEMA)
+    other = [(7000, "a\nb" if "a" in beside.split(",", 2)[1] else "plain")] * beside.count("7000")
+    assert sorted((r.id, r.text) for r in rows.collect()) == sorted(want + other) and rejects.count() == 0
+
+
 @pytest.mark.parametrize("quoted", [True, False])
 def test_blank_lines_as_pandas_reads_them(spark, tmp_dir, quoted):
     text = "\n\nid,text\n\n1,a\n   \n2,b\n\n" + ('3,"c\nd"\n' if quoted else "3,c\n")
