@@ -89,13 +89,18 @@ def _planes(column: np.ndarray) -> bytes:
 
 
 def _pack(words: list[np.ndarray], counts: list[np.ndarray]) -> bytes:
-    """48-bit words and counts as compressed columns; words that recur as places in the sorted list of them."""
+    """48-bit words and counts as compressed columns; words that recur as places in the sorted list of them.
+
+    Of the first column's places the differences are kept, which are small where the rows come in its order.
+    """
     n = len(words[0])
     listed, places = np.unique(np.concatenate(words), return_inverse=True)
     if 2 * len(listed) > n * len(words):
         listed, columns = listed[:0], words
     else:
-        columns = [places[j * n:(j + 1) * n] for j in range(len(words))]
+        columns = [places[j * n:(j + 1) * n].astype(np.uint64) for j in range(len(words))]
+    if len(listed):
+        columns = [np.diff(columns[0], prepend=np.uint64(0)), *columns[1:]]
     parts = [np.array([n, len(words), len(counts), len(listed)], dtype=np.int64).tobytes(), _planes(np.diff(listed, prepend=np.uint64(0)))]
     raw = b"".join([*parts, *map(_planes, columns), *map(_planes, counts)])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
@@ -109,7 +114,7 @@ def _unpack(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
         columns.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * size, at).reshape(8, size).T).view(np.uint64)[:, 0])
         at += 8 * size
     listed, words, counts = np.cumsum(columns[0]), columns[1:1 + n_words], columns[1 + n_words:]
-    return [listed[w] for w in words] if n_listed else words, counts
+    return [listed[w] for w in [np.cumsum(words[0]), *words[1:]]] if n_listed else words, counts
 
 
 def _split64(h: np.ndarray) -> list[np.ndarray]:
@@ -118,10 +123,13 @@ def _split64(h: np.ndarray) -> list[np.ndarray]:
 
 
 def _blocks(kind: str, level: int, bits: int, keys: np.ndarray, words: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
-    """Rows of sorted keys, cut by their first bits."""
+    """Rows of sorted keys, cut by their first bits; n-grams in the order of their first words, in which they pack best."""
     cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-    rows = [(i, _pack([w[a:b] for w in words], [c[a:b] for c in counts]))
-            for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(keys)])) if b > a]
+    rows = []
+    for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(keys)])):
+        if b > a:
+            order = a + np.argsort(words[0][a:b], kind="stable") if kind == "gram" else slice(a, b)
+            rows.append((i, _pack([w[order] for w in words], [c[order] for c in counts])))
     return _rows(kind, level, [i for i, _ in rows], [d for _, d in rows])
 
 

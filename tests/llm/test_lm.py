@@ -114,3 +114,12 @@ def test_packed_words_come_back():
         words, counts = [rng.integers(0, most, 500).astype(np.uint64) for _ in range(3)], [rng.integers(1, 1 << 40, 500).astype(np.uint64)]
         got = lm._unpack(lm._pack(words, counts))
         assert all((a == b).all() for x, y in zip(got, (words, counts)) for a, b in zip(x, y))
+
+
+def test_blocks_come_in_the_order_of_their_first_words():
+    rng = np.random.default_rng(2)
+    words, n = [rng.integers(0, 300, 20000).astype(np.uint64) for _ in range(3)], [np.ones(20000, dtype=np.uint64)]
+    keys, words, n = lm.summed(lm.gram_hash(words), words, n)
+    got = [lm._unpack(d) for d in lm._blocks("gram", 3, 2, keys, words, n).column("data").to_pylist()]
+    assert sorted(zip(*words, *n)) == sorted(r for w, c in got for r in zip(*w, *c))
+    assert all((w[0][1:] >= w[0][:-1]).all() for w, _ in got)
