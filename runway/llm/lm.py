@@ -9,7 +9,9 @@ them; the sums of their contexts and the counts of single words are sent on once
 frequent words and totals of the blocks come to the driver.
 
 Model: for each order compact arrays of hashes with counts and of contexts with their sums, in the shared folder,
-one file for each block.  Scoring tasks map the files into memory and look up sorted keys.
+one file for each block.  A context behind which one word stands once is not listed: it is an n-gram itself, of the
+order below, so one that is an n-gram and not in the list is such a context.  Scoring tasks map the files into memory
+and look up sorted keys.
 
 Tokens are words (A-Z lower-cased), then one end; start marks stand before a text as context only.  Words enter
 n-grams as 48 bits of their hash; the counts of single words use all 64.  A word never seen gets its share of the
@@ -178,16 +180,30 @@ def _frequent(texts: DataFrame, order: int, bits: int) -> np.ndarray:
     return np.array(sorted(w for w in n if n[w] << bits >= total), dtype=np.uint64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The 64-bit and 48-bit tokens of runs of rows, of ``SLICE`` tokens or more but for the last."""
+    held, n = [], 0
+    for batch in batches:
+        for _, _, full, short, _ in token_rows(batch.column(0), order, SLICE):
+            held.append((full, short))
+            n += len(full)
+            if n >= SLICE:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, n = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def _count(order: int, bits: int, frequent: np.ndarray):
     def run(batches):
-        for batch in batches:
-            for _, _, full, short, _ in token_rows(batch.column(0), order, SLICE):
-                at = np.flatnonzero(full != START)
-                keys, _, (n,) = summed(mix64(full[at]), [], [np.ones(len(at), dtype=np.uint64)])
-                yield _blocks("word", 0, bits, keys, _split64(keys), [n])
-                columns = [short[at - order + 1 + j] for j in range(order)]
-                keys, columns, (n,) = summed(gram_keys(columns, frequent, bits), columns, [np.ones(len(at), dtype=np.uint64)])
-                yield _blocks("gram", order, bits, keys, [columns[-2], *columns[:-2], columns[-1]], [n])
+        for full, short in _slices(batches, order):
+            at = np.flatnonzero(full != START)
+            keys, _, (n,) = summed(mix64(full[at]), [], [np.ones(len(at), dtype=np.uint64)])
+            del full
+            yield _blocks("word", 0, bits, keys, _split64(keys), [n])
+            columns = [short[at - order + 1 + j] for j in range(order)]
+            keys, columns, (n,) = summed(gram_keys(columns, frequent, bits), columns, [np.ones(len(at), dtype=np.uint64)])
+            yield _blocks("gram", order, bits, keys, [columns[-2], *columns[:-2], columns[-1]], [n])
     return run
 
 
@@ -199,6 +215,12 @@ def _total(level: int, block: int, n: np.ndarray) -> pa.RecordBatch:
     return _rows("total", level, [block], [np.array(_counts_of_counts(n), np.int64).tobytes()])
 
 
+def _repeated(keys: np.ndarray, sums: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The contexts behind which more stands than one word once."""
+    more = sums[0] > 1
+    return keys[more], [s[more] for s in sums]
+
+
 def _orders(folder: str, bits: int, frequent: np.ndarray, block: int, words: list[np.ndarray], n: np.ndarray):
     """Write the n-grams of a block and, order by order down to 2, the shorter ones in them, and the sums of their contexts."""
     for level in range(len(words), 1, -1):
@@ -209,7 +231,7 @@ def _orders(folder: str, bits: int, frequent: np.ndarray, block: int, words: lis
         contexts, many = gram_hash(words[:-1]), _among(words[-2], frequent)
         near = ~many
         keys, _, sums = summed(_routed(mix64(words[-2][near]), contexts[near], bits), [], [k[near] for k in kinds])
-        _write(f"{folder}/near-{level}-{block}", bits, keys, sums)
+        _write(f"{folder}/near-{level}-{block}", bits, *_repeated(keys, sums))
         keys, _, sums = summed(contexts[many], [], [k[many] for k in kinds])
         yield _blocks("far", level, bits, keys, _split64(keys), sums)
         # One for each word seen before; behind a start mark nothing else stands, so texts count.
@@ -239,9 +261,11 @@ def _add_up(folder: str, bits: int, frequent: np.ndarray):
                 continue
             keys = gram_hash(words) if kind == "gram" else words[0] << np.uint64(32) | words[1]
             keys, _, counts = summed(keys, [], counts)
+            if kind == "far":
+                _write(f"{folder}/far-{level}-{block}", bits, *_repeated(keys, counts))
+                continue
             _write(f"{folder}/{kind}-{level}-{block}", bits, keys, counts)
-            if kind != "far":
-                yield _total(level, block, counts[0])
+            yield _total(level, block, counts[0])
     return run
 
 
@@ -406,13 +430,15 @@ class Scorer:
         return count - self.discount[n][np.minimum(count, 3).astype(np.int64)]
 
     def _contexts(self, words: list[np.ndarray]) -> list[np.ndarray]:
-        """The sum of the counts behind each context, and the numbers of counts 1, 2 and above."""
+        """The sum of the counts behind each context seen, and the numbers of counts 1, 2 and above."""
         keys, many = gram_hash(words), _among(words[-1], self.m.frequent)
         out = [np.zeros(len(keys)) for _ in range(4)]
         near, far = np.flatnonzero(~many), np.flatnonzero(many)
         for arrays, at, sought in ((self.near, near, _routed(mix64(words[-1][near]), keys[near], self.m.bits)), (self.far, far, keys[far])):
             for values, found in zip(arrays[len(words) + 1].find(sought), out):
                 found[at] = values
+        once = out[0] == 0
+        out[0][once] = out[1][once] = 1
         return out
 
     def probabilities(self, short: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -421,16 +447,21 @@ class Scorer:
         words, back = np.unique(short[at], return_inverse=True)
         d, (n1, n2, _, _, kinds, total) = self.discount[1], m.totals[1]
         free = d[1] * n1 + d[2] * n2 + d[3] * (kinds - n1 - n2)
-        p = (self._kept(1, self.gram[1].find(gram_hash([words]))[0]) + free / (kinds + 1)) / total if total else np.ones(len(words))
-        p = p[back]
+        count = self.gram[1].find(gram_hash([words]))[0]
+        p = (self._kept(1, count) + free / (kinds + 1)) / total if total else np.ones(len(words))
+        p, count = p[back], count[back]
         for n in range(2, m.order + 1):
-            columns = [short[at - n + 1 + j] for j in range(n)]
+            # A context is seen if it ends a training text's n-gram one word shorter, or is of start marks alone.
+            ends = np.full(len(short), m.tokens > 0)
+            ends[at] = count > 0
+            seen = np.flatnonzero(ends[at - 1])
+            columns = [short[at[seen] - n + 1 + j] for j in range(n)]
             total, n1, n2, n3 = self._contexts(columns[:-1])
             d = self.discount[n]
             free = d[1] * n1 + d[2] * n2 + d[3] * n3
-            seen = total > 0
-            kept = self._kept(n, self.gram[n].find(gram_keys([c[seen] for c in columns], m.frequent, m.bits))[0])
-            p[seen] = (kept + free[seen] * p[seen]) / total[seen]
+            count = np.zeros(len(at))
+            count[seen] = self.gram[n].find(gram_keys(columns, m.frequent, m.bits))[0]
+            p[seen] = (self._kept(n, count[seen]) + free * p[seen]) / total
         return p
 
 

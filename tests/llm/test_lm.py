@@ -1,7 +1,9 @@
 import math
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,54 @@ def test_blocks_come_in_the_order_of_their_first_words():
     got = [lm._unpack(d) for d in lm._blocks("gram", 3, 2, keys, words, n).column("data").to_pylist()]
     assert sorted(zip(*words, *n)) == sorted(r for w, c in got for r in zip(*w, *c))
     assert all((w[0][1:] >= w[0][:-1]).all() for w, _ in got)
+
+
+def test_frequent_words_in_all_blocks_do_not_change_the_scores(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.5, 40) if x < 300), None, None) for i in range(60)]
+    brute = Brute([t for _, t, *_ in rows], 3)
+    given = docs(spark, rows)
+    assert not len(lm._frequent(empty(spark).select("text"), 3, 4))
+    monkeypatch.setattr(lm, "SOUGHT", 1.0)
+    frequent = lm._frequent(given.select("text"), 3, 4)
+    assert 0 < len(frequent) <= 16
+    for chosen in (frequent, np.sort(np.append(frequent, lm.START)), np.zeros(0, np.uint64)):
+        monkeypatch.setattr(lm, "_frequent", lambda *_: chosen)
+        for r in lm.score(given, lm.fit(given, order=3)).collect():
+            assert r["score"] == pytest.approx(brute.score(rows[r["doc_id"]][1]))
+
+
+def test_one_short_text_is_learned(spark):
+    given = docs(spark, [(1, "a", None, None), (2, "b a", None, None)])
+    brute = Brute(["a"], 3)
+    got = {r["doc_id"]: r["score"] for r in lm.score(given, lm.fit(given, learn=F.col("doc_id") == 1, order=3)).collect()}
+    assert got == pytest.approx({1: brute.score("a"), 2: brute.score("b a")})
+
+
+def test_files_keep_a_few_bytes_of_an_n_gram(spark, tmp_dir, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.integers(0, 3000, 1000)), None, None) for i in range(60)]
+    monkeypatch.setattr(lm, "shared_uri", lambda *_: f"file:{tmp_dir}/lm")
+    model = lm.fit(docs(spark, rows), order=3, bits=2)
+    size = sum(os.path.getsize(f"{tmp_dir}/lm/{f}") for f in os.listdir(f"{tmp_dir}/lm"))
+    assert size < 8 * (model.totals[3][4] + model.totals[2][4])
+
+
+def test_slices_go_over_batches(monkeypatch):
+    monkeypatch.setattr(lm, "SLICE", 100)
+    batches = [pa.RecordBatch.from_arrays([pa.array(["a b c", None, "d"] * 3)], ["text"]) for _ in range(20)]
+    got = list(lm._slices(iter(batches), 3))
+    assert all(len(full) == len(short) for full, short in got) and all(len(full) >= 100 for full, _ in got[:-1])
+    assert len(got) <= 7 and sum(int((full != lm.START).sum()) for full, _ in got) == 20 * 3 * 7
+
+
+def test_arrays_give_back_all_counts(tmp_dir):
+    rng = np.random.default_rng(5)
+    for size in (1, 7, 5000):
+        keys = np.unique(rng.integers(0, 1 << 62, size, dtype=np.uint64))  # all in the first of four blocks
+        counts = [rng.zipf(1.3, len(keys)).clip(1, 1 << 33).astype(np.uint64) for _ in range(2)]
+        lm._write(f"file:{tmp_dir}/{size}-0", 2, keys, counts)
+        found = lm.HashArrays(f"file:{tmp_dir}/{size}", 2, 2)
+        for got, want in zip(found.find(keys[::-1]), counts):
+            assert (got == want[::-1]).all()
+        assert not any(x.any() for x in found.find(keys ^ np.uint64(1 << 63)) + found.find(keys ^ np.uint64(1 << 30)))
