@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import stage
+from .tables import lean, stage
 
 #: Pre-tokens up to this length are remembered, up to this many in a worker.
 CACHED_CHARS, CACHED = 48, 200_000
@@ -165,7 +165,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     out = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     fits = F.coalesce(F.length("text"), F.lit(0)) <= chunk
-    short = rows.where(fits).mapInArrow(_plain(ranks, pattern, digests), f"doc_id long, {out}")
+    short = rows.where(fits).mapInArrow(lean(_plain(ranks, pattern, digests)), f"doc_id long, {out}")
 
     # Longer texts, each once: repeated texts share key and result.
     keyed = rows.where(~fits).withColumn("key", F.sha2("text", 256))
@@ -174,7 +174,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     starts = texts.select("key", "text", F.explode(F.sequence(F.lit(0), F.ceil(F.length("text") / chunk).cast("int") - 1)).alias("k"))
     chunks = starts.select("key", "k", F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("text"))
     scanned = chunks.repartition("key", "k").mapInArrow(
-        _scan(pattern, chunk, overlap), "key string, k int, heads array<int>, tails array<int>, sure boolean")
+        lean(_scan(pattern, chunk, overlap)), "key string, k int, heads array<int>, tails array<int>, sure boolean")
 
     @F.pandas_udf("array<int>")
     def cuts(parts: pd.Series) -> pd.Series:
@@ -186,9 +186,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     cut = texts.join(joints, "key").select("key", "text", "cuts", F.posexplode("cuts").alias("k", "start"))
     end = F.coalesce(F.get("cuts", F.col("k") + 1), F.length("text"))
     pieces = cut.select("key", "k", F.substring("text", F.col("start") + 1, end - F.col("start")).alias("text"))
-    coded = pieces.repartition("key", "k").mapInArrow(_pieces(ranks, pattern), "key string, k int, ids binary")
+    coded = pieces.repartition("key", "k").mapInArrow(lean(_pieces(ranks, pattern)), "key string, k int, ids binary")
     gathered = coded.groupBy("key").agg(F.collect_list(F.struct("k", "ids")).alias("parts"))
-    long = gathered.mapInArrow(_gathered(ranks, pattern, digests), f"key string, {out}")
+    long = gathered.mapInArrow(lean(_gathered(ranks, pattern, digests)), f"key string, {out}")
     return short.unionByName(ids.join(long, "key").drop("key"))
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .features import feature_blocks, labelled_sample
+from .tables import give_back, lean
 
 BITS, GRAMS, DIM = 16, (3, 4), 12
 #: So many features of weight zero stand in every average: a text of a few words hardly leaves the constant.
@@ -98,8 +99,8 @@ def _trained(batches):
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None, per_class: tuple[int, int] = (1500, 4500)) -> Model:
     """Learn from at most ``per_class`` documents of labels 0 and 1; the model is 3 MB whatever the input."""
     sample = labelled_sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class)
-    bags = sample.mapInArrow(_bags, "doc_id long, label int, buckets binary, counts binary")
-    found = bags.repartition(1).mapInArrow(_trained, "model binary").collect()  # the bounded sample: one task
+    bags = sample.mapInArrow(lean(_bags), "doc_id long, label int, buckets binary, counts binary")
+    found = bags.repartition(1).mapInArrow(lean(_trained), "model binary").collect()  # the bounded sample: one task
     return Model(**pickle.loads(found[0]["model"])) if found else train([])
 
 
@@ -118,5 +119,6 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
                 count[block.row:block.row + block.n] += np.add.reduceat(c, block.starts)
             z = constant + total / (count + NEUTRAL)
             yield pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+        give_back()
 
     return score

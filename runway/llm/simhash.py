@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import group_starts, grouped_stream, packed, stage, unpacked
+from .tables import group_starts, grouped_stream, lean, packed, stage, unpacked
 
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -174,7 +174,7 @@ def links(prints: DataFrame, radius: int = 3, bands: int = 5, block: int = 1024)
     cells = cells.select("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "fp",
                          (F.col("mine") > F.col("other")).cast("int").alias("side"))
     dealt = cells.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.mapInArrow(_compare(radius, block), "u long, v long")
+    return dealt.mapInArrow(lean(_compare(radius, block)), "u long, v long")
 
 
 def _digest(text_col: str):
@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     bands: int = 5, block: int = 1024) -> DataFrame:
     """doc_id, digest of the text, fp (signed long), class_fp (least of the class) and component_id of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _digest(text_col).alias("digest"), F.col(text_col))
-    rows = stage(rows.mapInArrow(_fingerprints(words), "doc_id long, digest long, fp long"), "simhash_rows")
+    rows = stage(rows.mapInArrow(lean(_fingerprints(words)), "doc_id long, digest long, fp long"), "simhash_rows")
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least_doc")), "simhash_prints")
     found = stage(links(prints, radius, bands, block).distinct(), "simhash_links")
     roots = stage(components(found), "simhash_roots")
